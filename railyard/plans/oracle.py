@@ -129,3 +129,113 @@ LEFT JOIN supplier u ON s.l_suppkey = u.s_suppkey
 # streaming twins: same result as their batch counterparts
 ORACLE_SQL["q_stream_append"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 ORACLE_SQL["q_stream_silver"] = ORACLE_SQL["q_dedup_positions"]
+
+# ── transit tables derived from the driver tables, through silver and gold ──
+
+_VP_REST = ("gtfs_realtime_version incrementality trip_id route_id direction_id start_time start_date "
+            "schedule_relationship vehicle_id vehicle_label license_plate wheelchair_accessible latitude "
+            "longitude bearing odometer speed current_stop_sequence stop_id current_status vehicle_timestamp "
+            "congestion_level occupancy_status occupancy_percentage").split()
+_TU_REST = ("gtfs_realtime_version incrementality trip_id route_id direction_id start_time start_date "
+            "schedule_relationship vehicle_id vehicle_label trip_delay trip_timestamp stop_id arrival_delay "
+            "arrival_time arrival_uncertainty departure_delay departure_time departure_uncertainty "
+            "stop_schedule_relationship").split()
+
+
+def _asc(cols):
+    return ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
+
+
+def _transit_ctes(vp_window_seconds=None):
+    vp_filter = ""
+    if vp_window_seconds:
+        vp_filter = f"WHERE feed_timestamp >= (SELECT max(feed_timestamp) FROM raw_vp) - {vp_window_seconds}"
+    return f"""
+raw_vp AS (
+  SELECT CAST(user_id AS VARCHAR) AS entity_id, {_DAY_BUCKET} AS feed_timestamp,
+    '2.0' AS gtfs_realtime_version, 'FULL_DATASET' AS incrementality,
+    CAST(user_id AS VARCHAR) AS trip_id, CAST(user_id AS VARCHAR) AS route_id, 0 AS direction_id,
+    '' AS start_time, strftime(ts, '%Y%m%d') AS start_date, 'SCHEDULED' AS schedule_relationship,
+    CAST(user_id AS VARCHAR) AS vehicle_id, event_type AS vehicle_label, '' AS license_plate,
+    'NO_VALUE' AS wheelchair_accessible, CAST(value AS FLOAT) AS latitude, CAST(-value AS FLOAT) AS longitude,
+    CAST(0 AS FLOAT) AS bearing, value AS odometer,
+    CASE WHEN event_type <> 'error' THEN CAST(value AS FLOAT) END AS speed,
+    0 AS current_stop_sequence, json_extract_string(props, '$.k') AS stop_id, 'IN_TRANSIT_TO' AS current_status,
+    CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp, 'UNKNOWN_CONGESTION_LEVEL' AS congestion_level,
+    'EMPTY' AS occupancy_status, 0 AS occupancy_percentage, epoch_us(ts) AS ingested_at
+  FROM events),
+routes AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS route_id, c_mktsegment AS route_short_name, c_name AS route_long_name,
+    c_nationkey AS route_type FROM customer WHERE c_acctbal > 0),
+stops AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS stop_id, p_name AS stop_name, p_retailprice AS stop_lat,
+    CAST(p_size AS DOUBLE) AS stop_lon FROM part WHERE p_size > 5),
+trips AS (SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, o_orderpriority AS trip_headsign FROM orders),
+vp AS (
+  SELECT * FROM raw_vp {vp_filter}
+  QUALIFY row_number() OVER (PARTITION BY entity_id, feed_timestamp ORDER BY ingested_at DESC, {_asc(_VP_REST)}) = 1),
+slv_vp AS (
+  SELECT vp.entity_id, vp.feed_timestamp, vp.feed_timestamp * 1000000 AS feed_time, vp.trip_id, vp.route_id,
+    r.route_short_name, r.route_long_name, r.route_type, t.trip_headsign, vp.direction_id, vp.start_time,
+    vp.start_date, vp.schedule_relationship, vp.vehicle_id, vp.vehicle_label, vp.latitude, vp.longitude,
+    vp.bearing, vp.speed,
+    CASE WHEN vp.speed IS NOT NULL THEN round(CAST(vp.speed AS DOUBLE) * CAST(3.6 AS DOUBLE), 1) END AS speed_kmh,
+    vp.current_stop_sequence, vp.stop_id, s.stop_name, s.stop_lat AS stop_latitude, s.stop_lon AS stop_longitude,
+    vp.current_status, vp.congestion_level, vp.occupancy_status, vp.vehicle_timestamp * 1000000 AS vehicle_time,
+    vp.ingested_at
+  FROM vp LEFT JOIN routes r ON vp.route_id = r.route_id LEFT JOIN stops s ON vp.stop_id = s.stop_id
+  LEFT JOIN trips t ON vp.trip_id = t.trip_id),
+shift AS (
+  SELECT (SELECT CAST(floor(floor(epoch(max(ts))) / 86400) * 86400 AS BIGINT) FROM events)
+       - (SELECT CAST(floor(floor(epoch(max(l_shipdate))) / 86400) * 86400 AS BIGINT) FROM lineitem) AS s),
+lo AS (
+  SELECT l.*, o.o_custkey, o.o_orderdate, o.o_orderpriority,
+    CAST(floor(epoch(l.l_shipdate)) AS BIGINT) + (SELECT s FROM shift) AS fts,
+    CAST(date_diff('day', o.o_orderdate, l.l_shipdate) * 60 AS INT) AS mins
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+raw_tu AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, fts AS feed_timestamp, '2.0' AS gtfs_realtime_version,
+    'FULL_DATASET' AS incrementality, CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id,
+    0 AS direction_id, '' AS start_time, strftime(o_orderdate, '%Y%m%d') AS start_date,
+    'SCHEDULED' AS schedule_relationship, CAST(o_custkey AS VARCHAR) AS vehicle_id, o_orderpriority AS vehicle_label,
+    mins AS trip_delay, fts AS trip_timestamp, l_linenumber AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop_id,
+    CASE WHEN l_returnflag <> 'R' THEN mins END AS arrival_delay, fts AS arrival_time, 0 AS arrival_uncertainty,
+    CASE WHEN l_linestatus <> 'F' THEN mins + 30 END AS departure_delay, fts AS departure_time,
+    0 AS departure_uncertainty, 'SCHEDULED' AS stop_schedule_relationship,
+    fts * 1000000 + CAST(l_quantity * 1000000 AS BIGINT) AS ingested_at
+  FROM lo),
+tu AS (
+  SELECT * FROM raw_tu
+  QUALIFY row_number() OVER (PARTITION BY entity_id, feed_timestamp, stop_sequence
+    ORDER BY ingested_at DESC, {_asc(_TU_REST)}) = 1),
+slv_tu AS (
+  SELECT tu.entity_id, tu.feed_timestamp, tu.feed_timestamp * 1000000 AS feed_time, tu.trip_id, tu.route_id,
+    r.route_short_name, r.route_long_name, r.route_type, t.trip_headsign, tu.direction_id, tu.start_time,
+    tu.start_date, tu.schedule_relationship, tu.vehicle_id, tu.vehicle_label, tu.trip_delay, tu.stop_sequence,
+    tu.stop_id, s.stop_name, tu.arrival_delay, tu.arrival_time, tu.departure_delay, tu.departure_time,
+    tu.stop_schedule_relationship, coalesce(tu.arrival_delay, tu.departure_delay) AS delay_seconds,
+    CASE WHEN coalesce(tu.arrival_delay, tu.departure_delay) IS NULL THEN 'UNKNOWN'
+         WHEN coalesce(tu.arrival_delay, tu.departure_delay) <= -60 THEN 'EARLY'
+         WHEN coalesce(tu.arrival_delay, tu.departure_delay) <= 60 THEN 'ON_TIME'
+         WHEN coalesce(tu.arrival_delay, tu.departure_delay) <= 300 THEN 'LATE' ELSE 'VERY_LATE' END AS delay_category,
+    tu.ingested_at
+  FROM tu LEFT JOIN routes r ON tu.route_id = r.route_id LEFT JOIN stops s ON tu.stop_id = s.stop_id
+  LEFT JOIN trips t ON tu.trip_id = t.trip_id)"""
+
+
+ORACLE_SQL["q_transit_silver_positions"] = f"WITH {_transit_ctes()} SELECT * FROM slv_vp"
+ORACLE_SQL["q_transit_silver_trip_updates"] = f"WITH {_transit_ctes()} SELECT * FROM slv_tu"
+ORACLE_SQL["q_transit_silver_window"] = f"WITH {_transit_ctes(2 * 86400)} SELECT * FROM slv_vp"
+ORACLE_SQL["q_transit_gold_current"] = f"""WITH {_transit_ctes()},
+ref_time AS (SELECT max(feed_timestamp) AS a FROM raw_vp),
+lvp AS (
+  SELECT * FROM slv_vp WHERE feed_timestamp >= (SELECT a FROM ref_time) - {7 * 86400}
+  QUALIFY row_number() OVER (PARTITION BY vehicle_id
+    ORDER BY feed_timestamp DESC, ingested_at DESC, entity_id ASC NULLS FIRST) = 1),
+ltu AS (
+  SELECT trip_id AS _tu_trip_id, trip_delay, delay_seconds, delay_category FROM slv_tu
+  WHERE feed_timestamp >= (SELECT a FROM ref_time) - {7 * 86400}
+  QUALIFY row_number() OVER (PARTITION BY trip_id
+    ORDER BY feed_timestamp DESC, ingested_at DESC, stop_sequence ASC NULLS FIRST, entity_id ASC NULLS FIRST) = 1)
+SELECT lvp.*, ltu.trip_delay, ltu.delay_seconds, ltu.delay_category
+FROM lvp LEFT JOIN ltu ON lvp.trip_id = ltu._tu_trip_id"""
