@@ -73,11 +73,12 @@ def raw_positions_from_events(events: DataFrame) -> DataFrame:
 
 
 def raw_trip_updates_from_lines(lineitem: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
-    newest_event_day = events.select(bucket_start(epoch_seconds(F.max("ts")), DAY)).scalar()
-    newest_ship_day = lineitem.select(bucket_start(epoch_seconds(F.max("l_shipdate")), DAY)).scalar()
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
-    j = lineitem.join(o, "l_orderkey")
-    feed_ts = epoch_seconds("l_shipdate") + (newest_event_day - newest_ship_day)
+    shift = events.select(bucket_start(epoch_seconds(F.max("ts")), DAY)).scalar() - lineitem.select(
+        bucket_start(epoch_seconds(F.max("l_shipdate")), DAY)).scalar()
+    # computed once per row, then reused (the scalar subqueries run once)
+    j = lineitem.join(o, "l_orderkey").withColumn("__fts", epoch_seconds("l_shipdate") + shift)
+    feed_ts = F.col("__fts")
     minutes = F.datediff("l_shipdate", "o_orderdate") * 60
     return conform(j.select(
         _s("l_orderkey").alias("entity_id"),

@@ -41,7 +41,7 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = {"spark.ui.enabled": "false", **ENGINE_CONF}
+    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **ENGINE_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

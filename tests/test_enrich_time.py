@@ -1,0 +1,60 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from railyard.operators.enrich import DuplicateKeyError, assert_unique_key, attach_latest, enrich
+from railyard.operators.timeops import fresh, latest, rolling_window
+
+
+def test_left_enrichment_keeps_misses_and_null_keys(spark):
+    fact = spark.createDataFrame([(1, "r1"), (2, "zz"), (3, None)], "id int, route_id string")
+    dim = spark.createDataFrame([("r1", "Route one")], "route_id string, route_long_name string")
+    got = sorted(tuple(r) for r in enrich(fact, dim, "route_id").select("id", "route_long_name").collect())
+    assert got == [(1, "Route one"), (2, None), (3, None)]
+
+
+def test_duplicate_dimension_key_fans_out_and_is_detected(spark):
+    fact = spark.createDataFrame([(1, "r1")], "id int, route_id string")
+    dim = spark.createDataFrame([("r1", "a"), ("r1", "b")], "route_id string, name string")
+    assert enrich(fact, dim, "route_id").count() == 2
+    with pytest.raises(DuplicateKeyError):
+        assert_unique_key(dim, "route_id")
+    assert_unique_key(dim.limit(1), "route_id")
+
+
+def test_enrich_renamed_key_and_attach_latest(spark):
+    fact = spark.createDataFrame([(1, 10), (2, 20), (3, None)], "id int, k int")
+    dim = spark.createDataFrame([(10, "x")], "dk int, name string")
+    assert enrich(fact, dim, "k", dim_key="dk").count() == 3
+    right = spark.createDataFrame([(10, 5)], "_k int, delay int")
+    out = attach_latest(fact, right, "k", "_k")
+    assert out.count() == 3 and "_k" not in out.columns
+
+
+def test_cutoff_edge_inclusive(spark):
+    as_of = 10_000
+    df = spark.createDataFrame([(as_of - 900,), (as_of - 901,), (as_of,)], "feed_timestamp long")
+    got = sorted(r[0] for r in fresh(df, "feed_timestamp", as_of, 900).collect())
+    assert got == [as_of - 900, as_of]
+
+
+def test_cutoff_on_timestamps_and_scalar_as_of(spark):
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    df = spark.createDataFrame([(base,), (base - dt.timedelta(seconds=900),),
+                                (base - dt.timedelta(seconds=901),)], "ts timestamp_ntz")
+    assert fresh(df, "ts", latest(df, "ts"), 900).count() == 2
+
+
+def test_wall_clock_default_excludes_old_rows(spark):
+    df = spark.createDataFrame([(0,)], "feed_timestamp long")
+    assert fresh(df, "feed_timestamp").count() == 0
+
+
+def test_retention_predicate_reaches_parquet_scan(spark, tmp_dir):
+    spark.range(100).select(F.col("id").alias("feed_timestamp"), F.lit("e").alias("entity_id")) \
+        .write.parquet(tmp_dir)
+    df = rolling_window(spark.read.parquet(tmp_dir), "feed_timestamp", 99, 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(feed_timestamp), GreaterThanOrEqual(feed_timestamp,89)]" in plan
+    assert df.count() == 11
