@@ -42,10 +42,32 @@ def cutoff(df: DataFrame, column: str, as_of: Column | int | None, seconds: int)
     raise TypeError(f"{column}: event time must be epoch seconds or a timestamp, got {dtype}")
 
 
+FEED_DATE = "feed_date"
+
+
+def epoch_date(epoch: Column | str) -> Column:
+    """UTC calendar date of POSIX seconds, independent of the session zone."""
+    e = F.col(epoch) if isinstance(epoch, str) else epoch
+    return F.date_from_unix_date(F.floor(e / F.lit(86400)).cast("int"))
+
+
+def with_feed_date(df: DataFrame, column: str = "feed_timestamp") -> DataFrame:
+    """Add the ``feed_date`` partition column of a raw table."""
+    return df.withColumn(FEED_DATE, epoch_date(column))
+
+
 def fresh(df: DataFrame, column: str, as_of: Column | int | None = None,
           seconds: int = FRESHNESS_SECONDS) -> DataFrame:
-    """Rows whose event time is at most ``seconds`` before ``as_of`` (inclusive)."""
-    return df.filter(F.col(column) >= cutoff(df, column, as_of, seconds))
+    """Rows whose event time is at most ``seconds`` before ``as_of`` (inclusive).
+
+    On a table partitioned by ``feed_date`` (derived from this epoch column)
+    the same bound is also stated on the partition column, so whole date
+    directories are pruned before any file is opened."""
+    bound = cutoff(df, column, as_of, seconds)
+    cond = F.col(column) >= bound
+    if FEED_DATE in df.columns and isinstance(df.schema[column].dataType, NumericType):
+        cond = cond & (F.col(FEED_DATE) >= epoch_date(bound))
+    return df.filter(cond)
 
 
 def rolling_window(df: DataFrame, column: str, as_of: Column | int | None = None,

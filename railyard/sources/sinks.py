@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from railyard.operators.timeops import FEED_DATE, with_feed_date
 from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
 
 
@@ -37,23 +38,28 @@ def ingest_metrics(df: DataFrame, name: str = "ingest") -> tuple[DataFrame, Obse
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def append_raw(df: DataFrame, path: str, schema: StructType, partition_by: list[str] | None = None) -> int:
+def append_raw(df: DataFrame, path: str, schema: StructType, date_partitioned: bool = False) -> int:
     """Append rows to a raw table folder after enforcing its schema; returns
-    the number of rows accepted."""
-    observed, obs = ingest_metrics(conform(df, schema))
+    the number of rows accepted. ``date_partitioned`` lays files out under
+    ``feed_date=YYYY-MM-DD/`` (UTC day of ``feed_timestamp``) so time-window
+    reads prune whole days."""
+    rows = conform(df, schema)
+    if date_partitioned:
+        rows = with_feed_date(rows)
+    observed, obs = ingest_metrics(rows)
     writer = observed.write.mode("append")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if date_partitioned:
+        writer = writer.partitionBy(FEED_DATE)
     writer.parquet(path)
     return int(obs.get["rows"])
 
 
-def append_vehicle_positions(df: DataFrame, path: str) -> int:
-    return append_raw(df, path, RAW_VEHICLE_POSITIONS)
+def append_vehicle_positions(df: DataFrame, path: str, date_partitioned: bool = False) -> int:
+    return append_raw(df, path, RAW_VEHICLE_POSITIONS, date_partitioned)
 
 
-def append_trip_updates(df: DataFrame, path: str) -> int:
-    return append_raw(df, path, RAW_TRIP_UPDATES)
+def append_trip_updates(df: DataFrame, path: str, date_partitioned: bool = False) -> int:
+    return append_raw(df, path, RAW_TRIP_UPDATES, date_partitioned)
 
 
 def materialize(df: DataFrame, path: str | None = None, table: str | None = None,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from railyard.operators.timeops import FEED_DATE, with_feed_date
 from railyard.sources.sinks import conform
 
 
@@ -21,7 +22,7 @@ def stream_raw(stream: DataFrame, path: str, checkpoint: str,
                schema: StructType | None = None,
                available_now: bool = True,
                processing_time: str = "1 minute",
-               partition_by: list[str] | None = None) -> StreamingQuery:
+               date_partitioned: bool = False) -> StreamingQuery:
     """Start a query appending ``transform(stream)`` (e.g. a flatten) to the
     raw folder ``path``, schema-enforced when ``schema`` is given.
     ``available_now`` drains what is there and stops (scheduled runs);
@@ -29,9 +30,11 @@ def stream_raw(stream: DataFrame, path: str, checkpoint: str,
     df = transform(stream) if transform else stream
     if schema is not None:
         df = conform(df, schema)
+    if date_partitioned:
+        df = with_feed_date(df)
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    if date_partitioned:
+        writer = writer.partitionBy(FEED_DATE)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

@@ -58,3 +58,18 @@ def test_retention_predicate_reaches_parquet_scan(spark, tmp_dir):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(feed_timestamp), GreaterThanOrEqual(feed_timestamp,89)]" in plan
     assert df.count() == 11
+
+
+def test_date_partitioned_raw_prunes_days(spark, tmp_dir):
+    from railyard.schemas import RAW_VEHICLE_POSITIONS
+    from railyard.sources.sinks import append_raw
+    from tests.conftest import rows_df
+    day = 86400
+    rows = [dict(entity_id=f"e{i}", feed_timestamp=1_700_000_000 - i * day) for i in range(5)]
+    assert append_raw(rows_df(spark, RAW_VEHICLE_POSITIONS, rows), tmp_dir, RAW_VEHICLE_POSITIONS,
+                      date_partitioned=True) == 5
+    raw = spark.read.parquet(tmp_dir)
+    kept = rolling_window(raw, "feed_timestamp", 1_700_000_000, 7200)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feed_date" in plan and "feed_date#" in plan
+    assert [r.entity_id for r in kept.collect()] == ["e0"]

@@ -117,3 +117,22 @@ def test_refresh_end_to_end(spark, tmp_dir):
     gold = out["gld_current_vehicle_positions"].collect()
     assert len(gold) == 1 and gold[0].speed == 3.0 and gold[0].delay_category == "ON_TIME"
     assert gold[0].route_long_name == "Route one"
+
+
+def test_gold_reuses_trip_partitioning(spark, tmp_dir):
+    vp, tu = _silver(spark, [dict()], [dict()])
+    vp.write.parquet(f"{tmp_dir}/vp")
+    tu.write.parquet(f"{tmp_dir}/tu")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        gold = gold_current_vehicle_positions(spark.read.parquet(f"{tmp_dir}/vp"),
+                                              spark.read.parquet(f"{tmp_dir}/tu"), as_of=NOW)
+        plan = gold._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # one exchange per ranking (vehicle_id, trip_id) and ONE more to bring the
+    # positions to the trip partitioning; the delay side is reused as is
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert "SortMergeJoin" in plan and plan.count("WindowGroupLimit") == 4
+    assert "EvalPython" not in plan
