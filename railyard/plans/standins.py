@@ -28,7 +28,7 @@ from railyard.operators.enrich import attach_latest, enrich
 from railyard.operators.flatten import stamp_ingested, unnest, zero_fill
 from railyard.operators.latest import keep_latest
 from railyard.operators.timeops import fresh, latest, rolling_window
-from railyard.schemas import _schema, I, L, D, S, TS
+from railyard.schemas import D, I, L, S, TS, struct_schema
 from railyard.session import scratch_path
 from railyard.sources.reference import read_reference
 from railyard.sources.sinks import append_raw
@@ -174,12 +174,13 @@ def q_unnest(spark, sf_dir):
 def nest_bounded(df: DataFrame, keys: list[str], item: str, payload: list[str],
                  max_items: int = 1024) -> DataFrame:
     """Group rows into ``(keys, item: array<struct<payload>>)`` rows of about
-    ``max_items`` elements: a key with n rows is split into ceil(n/max_items)
-    hash chunks, so a hot key never becomes one huge row."""
+    ``max_items`` elements: a key with n rows is spread uniformly over
+    ceil(n/max_items) chunks (even identical rows), so a hot key never becomes
+    one huge row. Chunk choice does not affect the flattened result."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    chunks = F.ceil(F.col("__n") / F.lit(max_items)).cast("int")
+    chunks = F.ceil(F.col("__n") / F.lit(max_items))
     salted = df.join(counts, keys).withColumn(
-        "__chunk", F.pmod(F.xxhash64(*payload), chunks))
+        "__chunk", F.floor(F.rand(17) * chunks).cast("int"))
     return salted.groupBy(*keys, "__chunk").agg(
         F.collect_list(F.struct(*payload)).alias(item)).drop("__chunk")
 
@@ -226,7 +227,7 @@ def q_feed_json(spark, sf_dir):
 
 # ── S1-S8: header-bound CSV read ──
 
-NATION_CSV = _schema(("n_nationkey", I), ("n_name", S), ("n_regionkey", I))
+NATION_CSV = struct_schema(("n_nationkey", I), ("n_name", S), ("n_regionkey", I))
 
 
 def q_csv_by_name(spark, sf_dir):
@@ -241,7 +242,7 @@ def q_csv_by_name(spark, sf_dir):
 
 # ── S12, S14, F9: schema-enforced append ──
 
-EVENT_RAW = _schema(("event_id", L), ("user_id", L), ("value", D), ("ingested_at", TS))
+EVENT_RAW = struct_schema(("event_id", L), ("user_id", L), ("value", D), ("ingested_at", TS))
 
 
 def q_append_raw(spark, sf_dir):

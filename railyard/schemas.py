@@ -23,13 +23,13 @@ from pyspark.sql.types import (
 S, I, L, F, D, TS = StringType(), IntegerType(), LongType(), FloatType(), DoubleType(), TimestampType()
 
 
-def _schema(*fields: tuple[str, DataType]) -> StructType:
+def struct_schema(*fields: tuple[str, DataType]) -> StructType:
     return StructType([StructField(name, dtype, True) for name, dtype in fields])
 
 
 # ── Fixed values: raw fact tables (one row per vehicle / per stop update) ──
 
-RAW_VEHICLE_POSITIONS = _schema(
+RAW_VEHICLE_POSITIONS = struct_schema(
     ("entity_id", S), ("feed_timestamp", L), ("gtfs_realtime_version", S), ("incrementality", S),
     ("trip_id", S), ("route_id", S), ("direction_id", I), ("start_time", S), ("start_date", S),
     ("schedule_relationship", S), ("vehicle_id", S), ("vehicle_label", S), ("license_plate", S),
@@ -39,7 +39,7 @@ RAW_VEHICLE_POSITIONS = _schema(
     ("occupancy_percentage", I), ("ingested_at", TS),
 )
 
-RAW_TRIP_UPDATES = _schema(
+RAW_TRIP_UPDATES = struct_schema(
     ("entity_id", S), ("feed_timestamp", L), ("gtfs_realtime_version", S), ("incrementality", S),
     ("trip_id", S), ("route_id", S), ("direction_id", I), ("start_time", S), ("start_date", S),
     ("schedule_relationship", S), ("vehicle_id", S), ("vehicle_label", S), ("trip_delay", I),
@@ -50,28 +50,28 @@ RAW_TRIP_UPDATES = _schema(
 
 # ── Fixed values: reference (static timetable) files ──
 
-AGENCY = _schema(
+AGENCY = struct_schema(
     ("agency_id", S), ("agency_name", S), ("agency_url", S), ("agency_timezone", S),
     ("agency_lang", S), ("agency_phone", S),
 )
-ROUTES = _schema(
+ROUTES = struct_schema(
     ("route_id", S), ("agency_id", S), ("route_short_name", S), ("route_long_name", S),
     ("route_desc", S), ("route_type", I), ("route_url", S), ("route_color", S), ("route_text_color", S),
 )
-STOPS = _schema(
+STOPS = struct_schema(
     ("stop_id", S), ("stop_code", S), ("stop_name", S), ("stop_desc", S), ("stop_lat", D),
     ("stop_lon", D), ("zone_id", S), ("stop_url", S), ("location_type", I), ("parent_station", S),
     ("platform_code", S),
 )
-TRIPS = _schema(
+TRIPS = struct_schema(
     ("route_id", S), ("service_id", S), ("trip_id", S), ("trip_headsign", S), ("trip_short_name", S),
     ("direction_id", I), ("block_id", S), ("shape_id", S), ("wheelchair_accessible", I),
 )
-CALENDAR = _schema(
+CALENDAR = struct_schema(
     ("service_id", S), ("monday", I), ("tuesday", I), ("wednesday", I), ("thursday", I),
     ("friday", I), ("saturday", I), ("sunday", I), ("start_date", S), ("end_date", S),
 )
-CALENDAR_DATES = _schema(("service_id", S), ("date", S), ("exception_type", I))
+CALENDAR_DATES = struct_schema(("service_id", S), ("date", S), ("exception_type", I))
 
 # dataset name -> (file name, schema); only these members of a delivery are loaded
 REFERENCE_FILES: dict[str, tuple[str, StructType]] = {
@@ -85,31 +85,31 @@ REFERENCE_FILES: dict[str, tuple[str, StructType]] = {
 
 # ── Nested feed snapshot (header + repeated entity), enums as numbers ──
 
-_TRIP = _schema(
+_TRIP = struct_schema(
     ("trip_id", S), ("route_id", S), ("direction_id", L), ("start_time", S), ("start_date", S),
     ("schedule_relationship", I),
 )
-_EVENT = _schema(("delay", I), ("time", L), ("uncertainty", I))
-_STOP_TIME_UPDATE = _schema(
+_EVENT = struct_schema(("delay", I), ("time", L), ("uncertainty", I))
+_STOP_TIME_UPDATE = struct_schema(
     ("stop_sequence", L), ("stop_id", S), ("schedule_relationship", I),
     ("arrival", _EVENT), ("departure", _EVENT),
 )
-_VEHICLE_POSITION = _schema(
+_VEHICLE_POSITION = struct_schema(
     ("trip", _TRIP),
-    ("vehicle", _schema(("id", S), ("label", S), ("license_plate", S), ("wheelchair_accessible", I))),
-    ("position", _schema(("latitude", F), ("longitude", F), ("bearing", F), ("odometer", D), ("speed", F))),
+    ("vehicle", struct_schema(("id", S), ("label", S), ("license_plate", S), ("wheelchair_accessible", I))),
+    ("position", struct_schema(("latitude", F), ("longitude", F), ("bearing", F), ("odometer", D), ("speed", F))),
     ("current_stop_sequence", L), ("stop_id", S), ("current_status", I), ("timestamp", L),
     ("congestion_level", I), ("occupancy_status", I), ("occupancy_percentage", L),
 )
-_TRIP_UPDATE = _schema(
+_TRIP_UPDATE = struct_schema(
     ("trip", _TRIP),
-    ("vehicle", _schema(("id", S), ("label", S))),
+    ("vehicle", struct_schema(("id", S), ("label", S))),
     ("delay", I), ("timestamp", L),
     ("stop_time_update", ArrayType(_STOP_TIME_UPDATE)),
 )
-FEED = _schema(
-    ("header", _schema(("gtfs_realtime_version", S), ("incrementality", I), ("timestamp", L))),
-    ("entity", ArrayType(_schema(("id", S), ("vehicle", _VEHICLE_POSITION), ("trip_update", _TRIP_UPDATE)))),
+FEED = struct_schema(
+    ("header", struct_schema(("gtfs_realtime_version", S), ("incrementality", I), ("timestamp", L))),
+    ("entity", ArrayType(struct_schema(("id", S), ("vehicle", _VEHICLE_POSITION), ("trip_update", _TRIP_UPDATE)))),
 )
 
 # ── Fixed values: ordered output columns of the derived tables ──
