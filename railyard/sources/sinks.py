@@ -63,16 +63,19 @@ def append_trip_updates(df: DataFrame, path: str, date_partitioned: bool = False
 
 
 def materialize(df: DataFrame, path: str | None = None, table: str | None = None,
-                comment: str | None = None) -> DataFrame:
+                comment: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
     """Fully rebuild a derived dataset (overwrite) and return it read back,
     which also cuts the lineage of downstream plans at this layer."""
     spark = df.sparkSession
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path is not None:
-        df.write.mode("overwrite").parquet(path)
+        writer.parquet(path)
         return spark.read.parquet(path)
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+    writer.format("parquet").saveAsTable(table)
     if comment:
         spark.sql(f"COMMENT ON TABLE IDENTIFIER(:t) IS {_sql_string(comment)}", args={"t": table})
     return spark.read.table(table)

@@ -73,3 +73,30 @@ def test_date_partitioned_raw_prunes_days(spark, tmp_dir):
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(feed_date" in plan and "feed_date#" in plan
     assert [r.entity_id for r in kept.collect()] == ["e0"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+from railyard.functions.scalars import DELAY_BANDS, delay_category  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keys=st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=25),
+       dim_keys=st.sets(st.integers(0, 9), max_size=6))
+def test_enrichment_with_unique_dims_preserves_rows(spark, keys, dim_keys):
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k int")
+    dim = spark.createDataFrame([(k, f"n{k}") for k in sorted(dim_keys)] or [(None, None)], "k int, name string")
+    out = enrich(fact, dim, "k")
+    got = sorted((r.id, r.name) for r in out.collect())
+    assert got == sorted((i, f"n{k}" if k in dim_keys else None) for i, k in enumerate(keys))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(delays=st.lists(st.integers(-1000, 1000), min_size=2, max_size=40))
+def test_delay_category_is_monotone(spark, delays):
+    rank = {label: i for i, (_, label) in enumerate(DELAY_BANDS)}
+    rank["VERY_LATE"] = len(DELAY_BANDS)
+    df = spark.createDataFrame([(d,) for d in sorted(delays)], "d int")
+    cats = [rank[r[0]] for r in df.orderBy("d").select(delay_category("d")).collect()]
+    assert cats == sorted(cats)

@@ -136,3 +136,22 @@ def test_gold_reuses_trip_partitioning(spark, tmp_dir):
     assert plan.count("Exchange hashpartitioning") == 3
     assert "SortMergeJoin" in plan and plan.count("WindowGroupLimit") == 4
     assert "EvalPython" not in plan
+
+
+def test_refresh_gold_prunes_silver_days(spark, tmp_dir):
+    root = tmp_dir[len("file:"):] if tmp_dir.startswith("file:") else tmp_dir
+    landing = f"{root}/landing"
+    os.makedirs(landing)
+    routes, stops, trips = dims(spark)
+    for name, df in (("routes", routes), ("stops", stops), ("trips", trips)):
+        df.toPandas().to_csv(f"{landing}/{name}.txt", index=False)
+    positions(spark, [dict(feed_timestamp=NOW - d * 86400, entity_id=f"e{d}") for d in range(4)]) \
+        .write.parquet(f"{root}/raw_vp")
+    updates(spark, [dict()]).write.parquet(f"{root}/raw_tu")
+    out = refresh(spark, RefreshConfig(landing=landing, raw_positions=f"{root}/raw_vp",
+                                       raw_trip_updates=f"{root}/raw_tu", out=f"{root}/out", as_of=NOW))
+    assert out["slv_vehicle_positions"].count() == 4
+    gold = gold_current_vehicle_positions(out["slv_vehicle_positions"], out["slv_trip_updates"], as_of=NOW)
+    plan = gold._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feed_date" in plan
+    assert [r.entity_id for r in gold.collect()] == ["e0"]
