@@ -239,3 +239,51 @@ ltu AS (
     ORDER BY feed_timestamp DESC, ingested_at DESC, stop_sequence ASC NULLS FIRST, entity_id ASC NULLS FIRST) = 1)
 SELECT lvp.*, ltu.trip_delay, ltu.delay_seconds, ltu.delay_category
 FROM lvp LEFT JOIN ltu ON lvp.trip_id = ltu._tu_trip_id"""
+
+# ── feed snapshots built from the driver tables, flattened ──
+
+_OCC = ("CASE occ WHEN 0 THEN 'EMPTY' WHEN 1 THEN 'MANY_SEATS_AVAILABLE' WHEN 2 THEN 'FEW_SEATS_AVAILABLE' "
+        "WHEN 3 THEN 'STANDING_ROOM_ONLY' WHEN 4 THEN 'CRUSHED_STANDING_ROOM_ONLY' WHEN 5 THEN 'FULL' "
+        "WHEN 6 THEN 'NOT_ACCEPTING_PASSENGERS' WHEN 7 THEN 'NO_DATA_AVAILABLE' WHEN 8 THEN 'NOT_BOARDABLE' "
+        "ELSE CAST(occ AS VARCHAR) END")
+_SCHED = ("CASE k WHEN 0 THEN 'SCHEDULED' WHEN 1 THEN 'ADDED' WHEN 2 THEN 'UNSCHEDULED' WHEN 3 THEN 'CANCELED' "
+          "WHEN 5 THEN 'REPLACEMENT' WHEN 6 THEN 'DUPLICATED' WHEN 7 THEN 'DELETED' WHEN 8 THEN 'NEW' "
+          "ELSE CAST(k AS VARCHAR) END")
+_STATUS = ("CASE st WHEN 0 THEN 'INCOMING_AT' WHEN 1 THEN 'STOPPED_AT' WHEN 2 THEN 'IN_TRANSIT_TO' "
+           "ELSE CAST(st AS VARCHAR) END")
+_STAMP = "CAST(1700000000000000 AS BIGINT)"
+
+ORACLE_SQL["q_feed_vehicles"] = f"""
+WITH e AS (
+  SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k,
+    CASE WHEN event_type <> 'view' THEN length(event_type) - 4 ELSE 2 END AS st,
+    length(event_type) AS occ FROM events)
+SELECT CAST(event_id AS VARCHAR) AS entity_id, {_DAY_BUCKET} AS feed_timestamp, '2.0' AS gtfs_realtime_version,
+  'FULL_DATASET' AS incrementality, CAST(user_id AS VARCHAR) AS trip_id, event_type AS route_id, 0 AS direction_id,
+  '' AS start_time, '' AS start_date, {_SCHED} AS schedule_relationship, CAST(user_id AS VARCHAR) AS vehicle_id,
+  event_type AS vehicle_label, '' AS license_plate, 'NO_VALUE' AS wheelchair_accessible,
+  CAST(value AS FLOAT) AS latitude, CAST(-value AS FLOAT) AS longitude, CAST(0 AS FLOAT) AS bearing,
+  value AS odometer, CAST(value AS FLOAT) AS speed, CAST(event_id AS INT) AS current_stop_sequence,
+  CAST(k AS VARCHAR) AS stop_id, {_STATUS} AS current_status, CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp,
+  'UNKNOWN_CONGESTION_LEVEL' AS congestion_level, {_OCC} AS occupancy_status, 0 AS occupancy_percentage,
+  {_STAMP} AS ingested_at
+FROM e
+"""
+
+ORACLE_SQL["q_feed_trip_updates"] = f"""
+WITH j AS (
+  SELECT l.*, o.o_custkey, o.o_orderpriority, CAST(floor(epoch(l.l_shipdate)) AS BIGINT) AS snap,
+    CAST(date_diff('day', o.o_orderdate, l.l_shipdate) * 60 AS INT) AS mins
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, snap AS feed_timestamp, '2.0' AS gtfs_realtime_version,
+  'FULL_DATASET' AS incrementality, CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id,
+  0 AS direction_id, '' AS start_time, '' AS start_date, 'SCHEDULED' AS schedule_relationship,
+  CAST(o_custkey AS VARCHAR) AS vehicle_id, o_orderpriority AS vehicle_label, 0 AS trip_delay,
+  CAST(0 AS BIGINT) AS trip_timestamp, l_linenumber AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop_id,
+  CASE WHEN l_returnflag <> 'R' THEN mins ELSE 0 END AS arrival_delay,
+  CASE WHEN l_returnflag <> 'R' THEN snap ELSE 0 END AS arrival_time, 0 AS arrival_uncertainty,
+  CASE WHEN l_linestatus <> 'F' THEN mins + 30 ELSE 0 END AS departure_delay,
+  CASE WHEN l_linestatus <> 'F' THEN snap ELSE 0 END AS departure_time, 0 AS departure_uncertainty,
+  'SCHEDULED' AS stop_schedule_relationship, {_STAMP} AS ingested_at
+FROM j
+"""

@@ -12,7 +12,7 @@ Every function reads whole tables and returns a lazy DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.functions.enums import OCCUPANCY_STATUS, enum_name
@@ -171,18 +171,19 @@ def q_unnest(spark, sf_dir):
     return unnest(emb, "embedding", "val", keep=["vec_id", "label"], position="pos")
 
 
-def nest_bounded(df: DataFrame, keys: list[str], item: str, payload: list[str],
+def nest_bounded(df: DataFrame, keys: list[str], item: str, payload: list[str] | Column,
                  max_items: int = 1024) -> DataFrame:
-    """Group rows into ``(keys, item: array<struct<payload>>)`` rows of about
-    ``max_items`` elements: a key with n rows is spread uniformly over
-    ceil(n/max_items) chunks (even identical rows), so a hot key never becomes
-    one huge row. Chunk choice does not affect the flattened result."""
+    """Group rows into ``(keys, item: array<element>)`` rows of about
+    ``max_items`` elements (element = ``struct(payload)`` or the given
+    Column): a key with n rows is spread uniformly over ceil(n/max_items)
+    chunks (even identical rows), so a hot key never becomes one huge row.
+    Chunk choice does not affect the flattened result."""
+    element = payload if isinstance(payload, Column) else F.struct(*payload)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     chunks = F.ceil(F.col("__n") / F.lit(max_items))
     salted = df.join(counts, keys).withColumn(
         "__chunk", F.floor(F.rand(17) * chunks).cast("int"))
-    return salted.groupBy(*keys, "__chunk").agg(
-        F.collect_list(F.struct(*payload)).alias(item)).drop("__chunk")
+    return salted.groupBy(*keys, "__chunk").agg(F.collect_list(element).alias(item)).drop("__chunk")
 
 
 def q_unnest_two_level(spark, sf_dir):
