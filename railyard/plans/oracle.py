@@ -129,6 +129,7 @@ LEFT JOIN supplier u ON s.l_suppkey = u.s_suppkey
 # streaming twins: same result as their batch counterparts
 ORACLE_SQL["q_stream_append"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 ORACLE_SQL["q_stream_silver"] = ORACLE_SQL["q_dedup_positions"]
+ORACLE_SQL["q_stream_dedup_trip_updates"] = ORACLE_SQL["q_dedup_trip_updates"]
 
 # ── transit tables derived from the driver tables, through silver and gold ──
 

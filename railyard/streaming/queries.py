@@ -45,3 +45,19 @@ def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
                       [F.col("event_id").desc()], bucket=F.col("feed_timestamp"))
     q.awaitTermination()
     return read_current(spark, target).select("event_id", "user_id", "feed_timestamp", "event_type", "value")
+
+
+def q_stream_dedup_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental keep-latest of lineitem copies per (order, line), bucketed
+    by order key ranges; equals the batch de-duplication."""
+    li = table(spark, sf_dir, "lineitem")
+    landing = land(li, scratch_path(spark, "stream-lines-landing"), by="l_partkey")
+    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    target, ckpt = scratch_path(spark, "stream-lines"), scratch_path(spark, "stream-lines-ckpt")
+    bucket = F.col("l_orderkey") - F.pmod(F.col("l_orderkey"), F.lit(4096))
+    q = stream_latest(stream, target, ckpt, ["l_orderkey", "l_linenumber"], ["l_shipdate"],
+                      [F.col("l_partkey").desc(), F.col("l_suppkey").desc(), F.col("l_extendedprice").desc()],
+                      bucket=bucket)
+    q.awaitTermination()
+    return read_current(spark, target).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")

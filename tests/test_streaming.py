@@ -71,3 +71,28 @@ def test_stream_latest_equals_batch(spark):
     stream_latest(src, target, ckpt, ["k", "day"], ["seq"], [], F.col("day")).awaitTermination()
     expect = keep_latest(_batch(spark, rows), ["k", "day"], ["seq"], [])
     assert sorted(map(tuple, read_current(spark, target).collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_incremental_silver_equals_batch_silver(spark):
+    import datetime as dt
+
+    from railyard.plans.silver import silver_vehicle_positions
+    from railyard.schemas import RAW_VEHICLE_POSITIONS
+    from railyard.streaming.incremental import stream_silver_positions
+    from tests.test_plans import dims
+    from tests.conftest import rows_df
+
+    base = dt.datetime(2023, 11, 14, 22, 0, 0)
+    rows = [dict(entity_id=f"e{i % 4}", feed_timestamp=1_700_000_000 + 30 * (i % 3), vehicle_id=f"v{i % 4}",
+                 route_id="r1", stop_id="s1", trip_id="t1", speed=float(i),
+                 ingested_at=base + dt.timedelta(seconds=i)) for i in range(24)]
+    landing = scratch_path(spark, "raw-land")
+    rows_df(spark, RAW_VEHICLE_POSITIONS, rows).repartition(4).write.parquet(landing)
+    src = spark.readStream.schema(RAW_VEHICLE_POSITIONS).option("maxFilesPerTrigger", 1).parquet(landing)
+    target, ckpt = scratch_path(spark, "slv"), scratch_path(spark, "slv-ckpt")
+    stream_silver_positions(src, target, ckpt).awaitTermination()
+    routes, stops, trips = dims(spark)
+    inc = silver_vehicle_positions(read_current(spark, target), routes, stops, trips, deduplicated=True)
+    batch = silver_vehicle_positions(spark.read.parquet(landing), routes, stops, trips)
+    assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, batch.collect()))
+    assert batch.count() == 12
