@@ -85,3 +85,11 @@ def test_ddl_idempotent_and_materialize(spark):
     assert out.count() == 3
     desc = run_ddl(spark, "DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", {"t": "transit_test.tiny"}).collect()
     assert any(r[1] == "three rows" for r in desc)
+
+
+def test_execute_immediate_with_named_parameters(spark):
+    name = "transit_exec.t_exec"
+    run_ddl(spark, "EXECUTE IMMEDIATE 'CREATE SCHEMA IF NOT EXISTS ' || :s", {"s": "transit_exec"})
+    run_ddl(spark, "EXECUTE IMMEDIATE 'CREATE TABLE IF NOT EXISTS ' || :t || ' (x INT) USING parquet'",
+            {"t": name})
+    assert spark.table(name).columns == ["x"]
