@@ -155,3 +155,15 @@ def test_refresh_gold_prunes_silver_days(spark, tmp_dir):
     plan = gold._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(feed_date" in plan
     assert [r.entity_id for r in gold.collect()] == ["e0"]
+
+
+def test_silver_window_prunes_days_and_unused_columns(spark, tmp_dir):
+    from railyard.sources.sinks import append_raw
+    raw = positions(spark, [dict(feed_timestamp=NOW - d * 86400, entity_id=f"e{d}") for d in range(3)])
+    append_raw(raw, tmp_dir, RAW_VEHICLE_POSITIONS, date_partitioned=True)
+    out = silver_vehicle_positions(spark.read.parquet(tmp_dir), *dims(spark), window_seconds=7200, as_of=NOW)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feed_date" in plan
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "feed_date" in line][0]
+    assert "license_plate" not in scan and "odometer" not in scan
+    assert [r.entity_id for r in out.collect()] == ["e0"]
