@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 _RANK = "__railyard_rn"
 
@@ -47,7 +48,9 @@ def keep_latest(
             raise ValueError("tie_breakers must be a sequence or 'rest'")
         named = {o for o in order if isinstance(o, str)}
         taken = set(keys) | named
-        tie_cols: list[Column] = [F.col(c).asc() for c in df.columns if c not in taken]
+        # maps have no ordering in Spark; every other type does
+        tie_cols: list[Column] = [F.col(f.name).asc() for f in df.schema.fields
+                                  if f.name not in taken and not isinstance(f.dataType, MapType)]
     else:
         tie_cols = [_order(t, default_desc=False) for t in tie_breakers]
     ordering = [_order(o, default_desc=True) for o in order] + tie_cols

@@ -33,9 +33,10 @@ def cutoff(df: DataFrame, column: str, as_of: Column | int | None, seconds: int)
     """``as_of - seconds`` in the type of ``column`` (epoch number or timestamp)."""
     dtype = df.schema[column].dataType
     if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        ref = F.current_timestamp() if as_of is None else as_of
-        if isinstance(dtype, TimestampNTZType) and as_of is None:
-            ref = F.localtimestamp()
+        if as_of is None:
+            ref = F.localtimestamp() if isinstance(dtype, TimestampNTZType) else F.current_timestamp()
+        else:
+            ref = as_of if isinstance(as_of, Column) else F.lit(as_of).cast(dtype)
         return ref - F.make_dt_interval(secs=F.lit(seconds))
     if isinstance(dtype, NumericType):
         return now_epoch(as_of) - F.lit(seconds)

@@ -100,3 +100,9 @@ def test_delay_category_is_monotone(spark, delays):
     df = spark.createDataFrame([(d,) for d in sorted(delays)], "d int")
     cats = [rank[r[0]] for r in df.orderBy("d").select(delay_category("d")).collect()]
     assert cats == sorted(cats)
+
+
+def test_cutoff_accepts_python_datetime(spark):
+    base = dt.datetime(2024, 1, 1, 12, 0, 0)
+    df = spark.createDataFrame([(base,), (base - dt.timedelta(seconds=901),)], "ts timestamp_ntz")
+    assert fresh(df, "ts", base, 900).count() == 1

@@ -115,3 +115,9 @@ def test_keep_latest_properties(spark, rows, seed):
     again = keep_latest(spark.createDataFrame(shuffled, schema).repartition(2), ["k"], ["t"], "rest")
     assert sorted(map(tuple, again.collect())) == got
     assert sorted(map(tuple, keep_latest(out, ["k"], ["t"], "rest").collect())) == got
+
+
+def test_rest_tie_breakers_skip_maps(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}, "x"), (1, 2, {"b": 2}, "y")],
+                               "k int, t int, m map<string,int>, s string")
+    assert keep_latest(df, ["k"], ["t"], "rest").collect()[0].s == "x"
