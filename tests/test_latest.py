@@ -3,7 +3,6 @@ import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from railyard.operators.latest import (
     dedup_positions,
