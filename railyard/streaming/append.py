@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -32,6 +33,8 @@ def stream_raw(stream: DataFrame, path: str, checkpoint: str,
         df = conform(df, schema)
     if date_partitioned:
         df = with_feed_date(df)
+    # rows accepted per micro-batch: query.lastProgress["observedMetrics"]["ingest"]["rows"]
+    df = df.observe("ingest", F.count(F.lit(1)).alias("rows"))
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("path", path).option("checkpointLocation", checkpoint))
     if date_partitioned:

@@ -32,6 +32,9 @@ def test_stream_append_equals_batch(spark):
     q = stream_raw(read_feed(spark, files, streaming=True, max_files_per_trigger=1), out, ckpt,
                    transform=flat, schema=RAW_TRIP_UPDATES)
     q.awaitTermination()
+    counts = [p["observedMetrics"]["ingest"]["rows"] for p in q.recentProgress
+              if p.get("observedMetrics", {}).get("ingest")]
+    assert sorted(c for c in counts if c) == [1, 2, 3]  # one snapshot file per micro-batch
     streamed = sorted(map(tuple, spark.read.parquet(out).collect()))
     batch = sorted(map(tuple, flat(read_feed(spark, files)).collect()))
     assert streamed == batch and len(batch) == 6
