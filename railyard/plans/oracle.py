@@ -288,3 +288,6 @@ SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, snap AS feed_timestamp, '2.0' A
   'SCHEDULED' AS stop_schedule_relationship, {_STAMP} AS ingested_at
 FROM j
 """
+
+# the full refresh over the same derived tables publishes the same gold table
+ORACLE_SQL["q_refresh_gold"] = ORACLE_SQL["q_transit_gold_current"]

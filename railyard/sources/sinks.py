@@ -45,7 +45,8 @@ def append_raw(df: DataFrame, path: str, schema: StructType, date_partitioned: b
     reads prune whole days."""
     rows = conform(df, schema)
     if date_partitioned:
-        rows = with_feed_date(rows)
+        # rebalance on the partition column: about one file per day per write
+        rows = with_feed_date(rows).hint("rebalance", FEED_DATE)
     observed, obs = ingest_metrics(rows)
     writer = observed.write.mode("append")
     if date_partitioned:
@@ -69,6 +70,9 @@ def materialize(df: DataFrame, path: str | None = None, table: str | None = None
     spark = df.sparkSession
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
+    if partition_by:
+        # without this every task writes one file per partition value it holds
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
