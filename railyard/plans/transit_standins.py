@@ -209,8 +209,11 @@ def q_refresh_gold(spark, sf_dir):
     # span seven years), so day partitions would hold a few hundred rows
     # each; the tables are kept unpartitioned here (the day-partitioned
     # layout and its pruning are covered by the unit tests).
-    append_raw(i["raw_vp"], f"{root}/raw_vp", RAW_VEHICLE_POSITIONS)
-    append_raw(i["raw_tu"], f"{root}/raw_tu", RAW_TRIP_UPDATES)
+    # Raw tables arrive as many appended files; store the derived ones as
+    # several files (hash split on the entity) rather than one.
+    files = spark.sparkContext.defaultParallelism
+    append_raw(i["raw_vp"].repartition(files, "entity_id"), f"{root}/raw_vp", RAW_VEHICLE_POSITIONS)
+    append_raw(i["raw_tu"].repartition(files, "entity_id"), f"{root}/raw_tu", RAW_TRIP_UPDATES)
     raw_vp = spark.read.parquet(f"{root}/raw_vp")
     as_of = raw_vp.select(F.max("feed_timestamp")).scalar()
     out = refresh(spark, RefreshConfig(landing=f"{root}/landing", raw_positions=f"{root}/raw_vp",

@@ -27,6 +27,9 @@ ENGINE_CONF = {
 }
 
 
+LOCAL_DRIVER_MEMORY = "12g"
+
+
 def build_session(
     master: str | None = None,
     app: str = "railyard",
@@ -42,6 +45,9 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **ENGINE_CONF}
+    if master and master.startswith("local"):
+        # local mode runs every task inside the driver JVM (default heap 1 GB)
+        conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
