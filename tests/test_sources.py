@@ -93,3 +93,12 @@ def test_execute_immediate_with_named_parameters(spark):
     run_ddl(spark, "EXECUTE IMMEDIATE 'CREATE TABLE IF NOT EXISTS ' || :t || ' (x INT) USING parquet'",
             {"t": name})
     assert spark.table(name).columns == ["x"]
+
+
+def test_csv_header_with_byte_order_mark(spark, tmp_dir):
+    land = _local(tmp_dir)
+    os.makedirs(land, exist_ok=True)
+    with open(os.path.join(land, "routes.txt"), "w", encoding="utf-8-sig") as fh:
+        fh.write("route_id,route_long_name\nR1,Long\n")
+    r = read_reference(spark, f"{land}/routes.txt", ROUTES).collect()[0]
+    assert (r.route_id, r.route_long_name) == ("R1", "Long")
