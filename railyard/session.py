@@ -48,6 +48,10 @@ def build_session(
     if master and master.startswith("local"):
         # local mode runs every task inside the driver JVM (default heap 1 GB)
         conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
+    else:
+        # on a shared cluster coalesce shuffle partitions towards the advisory
+        # size instead of maximising their number (no floods of tiny tasks)
+        conf["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
