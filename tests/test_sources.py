@@ -81,6 +81,8 @@ def test_ddl_idempotent_and_materialize(spark):
     assert status.status == "Initialisation complete" and status.schema == "transit_test"
     cols = spark.table("transit_test.raw_vehicle_positions").columns
     assert cols == RAW_VEHICLE_POSITIONS.fieldNames()
+    from railyard.sources.raw import read_raw
+    assert read_raw(spark, "transit_test.raw_trip_updates").count() == 0  # by table name
     out = materialize(spark.range(3), table="transit_test.tiny", comment="three rows")
     assert out.count() == 3
     desc = run_ddl(spark, "DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", {"t": "transit_test.tiny"}).collect()
