@@ -211,7 +211,10 @@ def q_refresh_gold(spark, sf_dir):
     # layout and its pruning are covered by the unit tests).
     # Raw tables arrive as many appended files; store the derived ones as
     # several files (hash split on the entity) rather than one.
-    files = spark.sparkContext.defaultParallelism
+    try:
+        files = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect sessions have no SparkContext
+        files = 8
     append_raw(i["raw_vp"].repartition(files, "entity_id"), f"{root}/raw_vp", RAW_VEHICLE_POSITIONS)
     append_raw(i["raw_tu"].repartition(files, "entity_id"), f"{root}/raw_tu", RAW_TRIP_UPDATES)
     raw_vp = spark.read.parquet(f"{root}/raw_vp")
