@@ -45,6 +45,11 @@ def _k():
 
 
 def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_feed(spark, write_vehicle_snapshots(spark, sf_dir))
+
+
+def write_vehicle_snapshots(spark: SparkSession, sf_dir: str) -> str:
+    """Write the vehicle snapshots built from ``events``; returns the folder."""
     ev = table(spark, sf_dir, "events")
     uid = F.col("user_id").cast("string")
     e = F.struct(
@@ -66,7 +71,7 @@ def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("vehicle"),
     )
     entities = ev.select(bucket_start(epoch_seconds("ts"), DAY).alias("snap"), e.alias("e"))
-    return read_feed(spark, _snapshots(entities, "snap", scratch_path(spark, "feed-vehicles")))
+    return _snapshots(entities, "snap", scratch_path(spark, "feed-vehicles"))
 
 
 def trip_update_feed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,3 +291,6 @@ FROM j
 
 # the full refresh over the same derived tables publishes the same gold table
 ORACLE_SQL["q_refresh_gold"] = ORACLE_SQL["q_transit_gold_current"]
+
+# the streaming collector path produces the same rows as the batch flatten
+ORACLE_SQL["q_stream_feed_vehicles"] = ORACLE_SQL["q_feed_vehicles"]

@@ -61,3 +61,23 @@ def q_stream_dedup_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     q.awaitTermination()
     return read_current(spark, target).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+
+
+def q_stream_feed_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collector path as a stream: vehicle snapshot files (built from
+    events) -> file-stream source with the declared feed schema -> flatten ->
+    schema-enforced append; equals the batch flatten of the same files."""
+    from railyard.operators.flatten import flatten_vehicles
+    from railyard.plans.feed_standins import INGESTED_AT_MICROS, write_vehicle_snapshots
+    from railyard.plans.transit_standins import as_epoch_micros
+    from railyard.schemas import RAW_VEHICLE_POSITIONS
+    from railyard.sources.raw import read_feed
+
+    snapshots = write_vehicle_snapshots(spark, sf_dir)
+    stamp = F.timestamp_micros(F.lit(INGESTED_AT_MICROS))
+    out, ckpt = scratch_path(spark, "stream-feed"), scratch_path(spark, "stream-feed-ckpt")
+    q = stream_raw(read_feed(spark, snapshots, streaming=True, max_files_per_trigger=4), out, ckpt,
+                   transform=lambda feed: flatten_vehicles(feed, ingested_at=stamp),
+                   schema=RAW_VEHICLE_POSITIONS)
+    q.awaitTermination()
+    return as_epoch_micros(spark.read.parquet(out))
