@@ -133,13 +133,12 @@ ORACLE_SQL["q_stream_dedup_trip_updates"] = ORACLE_SQL["q_dedup_trip_updates"]
 
 # ── transit tables derived from the driver tables, through silver and gold ──
 
-_VP_REST = ("gtfs_realtime_version incrementality trip_id route_id direction_id start_time start_date "
-            "schedule_relationship vehicle_id vehicle_label license_plate wheelchair_accessible latitude "
-            "longitude bearing odometer speed current_stop_sequence stop_id current_status vehicle_timestamp "
-            "congestion_level occupancy_status occupancy_percentage").split()
-_TU_REST = ("gtfs_realtime_version incrementality trip_id route_id direction_id start_time start_date "
-            "schedule_relationship vehicle_id vehicle_label trip_delay trip_timestamp stop_id arrival_delay "
-            "arrival_time arrival_uncertainty departure_delay departure_time departure_uncertainty "
+# silver breaks exact ties on the raw columns it keeps, in table order
+_VP_REST = ("trip_id route_id direction_id start_time start_date schedule_relationship vehicle_id "
+            "vehicle_label latitude longitude bearing speed current_stop_sequence stop_id current_status "
+            "vehicle_timestamp congestion_level occupancy_status").split()
+_TU_REST = ("trip_id route_id direction_id start_time start_date schedule_relationship vehicle_id "
+            "vehicle_label trip_delay stop_id arrival_delay arrival_time departure_delay departure_time "
             "stop_schedule_relationship").split()
 
 
