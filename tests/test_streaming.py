@@ -99,3 +99,16 @@ def test_incremental_silver_equals_batch_silver(spark):
     batch = silver_vehicle_positions(spark.read.parquet(landing), routes, stops, trips)
     assert sorted(map(tuple, inc.collect())) == sorted(map(tuple, batch.collect()))
     assert batch.count() == 12
+
+
+def test_stream_append_date_partitioned(spark):
+    landing = scratch_path(spark, "feed-dp")
+    snaps = [_snapshot(1_700_000_000, [1, 2]), _snapshot(1_700_000_000 + 86400, [3])]
+    for i, snap in enumerate(snaps):
+        spark.createDataFrame([(json.dumps(snap),)], "value string").write.text(f"{landing}/f{i}")
+    out, ckpt = scratch_path(spark, "raw-dp"), scratch_path(spark, "ckpt-dp")
+    stream_raw(read_feed(spark, f"{landing}/*/*.txt", streaming=True), out, ckpt,
+               transform=flatten_trip_updates, schema=RAW_TRIP_UPDATES, date_partitioned=True).awaitTermination()
+    back = spark.read.parquet(out)
+    got = sorted((str(r.feed_date), r.stop_sequence) for r in back.collect())
+    assert got == [("2023-11-14", 1), ("2023-11-14", 2), ("2023-11-15", 1)]
