@@ -112,3 +112,16 @@ def test_stream_append_date_partitioned(spark):
     back = spark.read.parquet(out)
     got = sorted((str(r.feed_date), r.stop_sequence) for r in back.collect())
     assert got == [("2023-11-14", 1), ("2023-11-14", 2), ("2023-11-15", 1)]
+
+
+def test_staging_is_bounded_to_two_slots(spark):
+    import os
+    target = scratch_path(spark, "slots")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    for i in range(5):
+        merge_batch(_batch(spark, [("a", 1, i, f"v{i}")]), i, target, **args)
+    staged = target[len("file:"):] if target.startswith("file:") else target
+    slots = sorted(os.listdir(f"{staged}/_staged"))
+    assert slots == ["slot=0", "slot=1"]
+    assert sorted(d for d in os.listdir(f"{staged}/_staged/slot=0") if d.startswith("__batch")) == ["__batch=4"]
+    assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 4, "v4")]
