@@ -27,10 +27,12 @@ from pyspark.sql.types import TimestampType
 
 from railyard.functions.scalars import bucket_start, epoch_micros_ntz, epoch_seconds
 from railyard.plans.gold import gold_current_vehicle_positions
+from railyard.plans.refresh import RefreshConfig, refresh
 from railyard.plans.silver import silver_trip_updates, silver_vehicle_positions
 from railyard.plans.standins import DAY, table
 from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS, ROUTES, STOPS, TRIPS
-from railyard.sources.sinks import conform
+from railyard.session import scratch_path
+from railyard.sources.sinks import append_raw, conform
 
 GOLD_FRESHNESS = 7 * DAY
 
@@ -197,10 +199,6 @@ def q_refresh_gold(spark, sf_dir):
     """The whole refresh over derived tables: reference tables land as header
     CSV files, raw tables are appended date-partitioned through the schema-
     enforcing sink, then ``refresh`` publishes reference -> silver -> gold."""
-    from railyard.plans.refresh import RefreshConfig, refresh
-    from railyard.session import scratch_path
-    from railyard.sources.sinks import append_raw
-
     i = _inputs(spark, sf_dir)
     root = scratch_path(spark, "refresh")
     for name in ("routes", "stops", "trips"):
