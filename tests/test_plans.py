@@ -167,3 +167,29 @@ def test_silver_window_prunes_days_and_unused_columns(spark, tmp_dir):
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line and "feed_date" in line][0]
     assert "license_plate" not in scan and "odometer" not in scan
     assert [r.entity_id for r in out.collect()] == ["e0"]
+
+
+def test_jobs_entry_point_runs_collect_and_refresh(spark, tmp_dir, capsys):
+    import json
+
+    from railyard.jobs import main
+    from tests.test_flatten import SNAPSHOT
+
+    root = tmp_dir[len("file:"):] if tmp_dir.startswith("file:") else tmp_dir
+    landing = f"{root}/landing"
+    os.makedirs(landing)
+    routes, stops, trips = dims(spark)
+    for name, df in (("routes", routes), ("stops", stops), ("trips", trips)):
+        df.toPandas().to_csv(f"{landing}/{name}.txt", index=False)
+    snap = dict(SNAPSHOT, header=dict(SNAPSHOT["header"], timestamp=NOW))
+    os.makedirs(f"{root}/feed")
+    with open(f"{root}/feed/s1.json", "w") as fh:
+        fh.write(json.dumps(snap) + "\n")
+    for feed, raw in (("vehicle_positions", "raw_vp"), ("trip_updates", "raw_tu")):
+        assert main(["collect", "--feed", feed, "--source", f"{root}/feed", "--raw", f"{root}/{raw}",
+                     "--checkpoint", f"{root}/ckpt_{raw}"]) == 0
+    assert main(["refresh", "--landing", landing, "--raw-positions", f"{root}/raw_vp",
+                 "--raw-trip-updates", f"{root}/raw_tu", "--out", f"{root}/out", "--as-of", str(NOW)]) == 0
+    printed = dict(line.split() for line in capsys.readouterr().out.splitlines() if line.count(" ") == 1)
+    assert printed["slv_vehicle_positions"] == "1" and printed["slv_trip_updates"] == "3"
+    assert printed["gld_current_vehicle_positions"] == "1"
