@@ -1 +1 @@
-"""sources."""
+"""Scans (reference files, raw tables, feed snapshots) and sinks (enforced append, materialise, DDL)."""

@@ -1 +1 @@
-"""streaming."""
+"""Structured Streaming: raw append from snapshot files and incremental keep-latest (foreachBatch)."""
