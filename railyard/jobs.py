@@ -43,6 +43,8 @@ def _parser() -> argparse.ArgumentParser:
     col.add_argument("--continuous", action="store_true", help="keep running (default: drain and stop)")
     col.add_argument("--interval", default="1 minute")
     col.add_argument("--date-partitioned", action="store_true")
+    col.add_argument("--max-files-per-trigger", type=int,
+                     help="bound each micro-batch (catching up after downtime)")
 
     ref = sub.add_parser("refresh", help="reference -> silver -> gold")
     ref.add_argument("--landing", required=True)
@@ -64,7 +66,8 @@ def main(argv: list[str] | None = None, master: str | None = None) -> int:
         create_raw_tables(spark, args.schema, args.location).show(truncate=False)
     elif args.command == "collect":
         flatten, schema = FEEDS[args.feed]
-        query = stream_raw(read_feed(spark, args.source, streaming=True), args.raw, args.checkpoint,
+        source = read_feed(spark, args.source, streaming=True, max_files_per_trigger=args.max_files_per_trigger)
+        query = stream_raw(source, args.raw, args.checkpoint,
                            transform=flatten, schema=schema, available_now=not args.continuous,
                            processing_time=args.interval, date_partitioned=args.date_partitioned)
         query.awaitTermination()
