@@ -125,3 +125,25 @@ def test_staging_is_bounded_to_two_slots(spark):
     assert slots == ["slot=0", "slot=1"]
     assert sorted(d for d in os.listdir(f"{staged}/_staged/slot=0") if d.startswith("__batch")) == ["__batch=4"]
     assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 4, "v4")]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 2), st.integers(0, 9),
+                 st.sampled_from(["x", "y"]))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches=st.lists(st.lists(_row, min_size=1, max_size=6), min_size=1, max_size=3),
+       replays=st.lists(st.integers(0, 2), max_size=2))
+def test_incremental_merge_equals_batch_under_replays(spark, batches, replays):
+    target = scratch_path(spark, "prop")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=["v"], bucket=F.col("day"))
+    for i, rows in enumerate(batches):
+        merge_batch(_batch(spark, rows), i, target, **args)
+        if i in replays:  # at-least-once: the same batch id delivered again
+            merge_batch(_batch(spark, rows), i, target, **args)
+    every = _batch(spark, [r for rows in batches for r in rows])
+    expect = sorted(map(tuple, keep_latest(every, ["k", "day"], ["seq"], ["v"]).collect()))
+    assert sorted(map(tuple, read_current(spark, target).collect())) == expect
