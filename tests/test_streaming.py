@@ -147,3 +147,17 @@ def test_incremental_merge_equals_batch_under_replays(spark, batches, replays):
     every = _batch(spark, [r for rows in batches for r in rows])
     expect = sorted(map(tuple, keep_latest(every, ["k", "day"], ["seq"], ["v"]).collect()))
     assert sorted(map(tuple, read_current(spark, target).collect())) == expect
+
+
+def test_replay_after_crash_between_stage_and_swap(spark):
+    from railyard.streaming.incremental import stage_batch
+    target = scratch_path(spark, "crash")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    merge_batch(_batch(spark, [("a", 1, 1, "old"), ("b", 1, 1, "b")]), 0, target, **args)
+    late = _batch(spark, [("a", 1, 5, "new")])
+    staged = stage_batch(late, 1, target, **args)  # ... and the driver dies before the swap
+    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 1, "old"), ("b", 1, 1, "b")]
+    # the restarted query replays batch 1: its committed staging is reused, then swapped in
+    assert stage_batch(late.limit(0), 1, target, **args) == staged
+    merge_batch(late, 1, target, **args)
+    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 5, "new"), ("b", 1, 1, "b")]
