@@ -44,6 +44,7 @@ def cutoff(df: DataFrame, column: str, as_of: Column | int | None, seconds: int)
 
 
 FEED_DATE = "feed_date"
+FEED_DATE_SOURCE = "feed_timestamp"
 
 
 def epoch_date(epoch: Column | str) -> Column:
@@ -52,9 +53,9 @@ def epoch_date(epoch: Column | str) -> Column:
     return F.date_from_unix_date(F.floor(e / F.lit(86400)).cast("int"))
 
 
-def with_feed_date(df: DataFrame, column: str = "feed_timestamp") -> DataFrame:
-    """Add the ``feed_date`` partition column of a raw table."""
-    return df.withColumn(FEED_DATE, epoch_date(column))
+def with_feed_date(df: DataFrame) -> DataFrame:
+    """Add the ``feed_date`` partition column (UTC day of ``feed_timestamp``)."""
+    return df.withColumn(FEED_DATE, epoch_date(FEED_DATE_SOURCE))
 
 
 def fresh(df: DataFrame, column: str, as_of: Column | int | None = None,
@@ -66,7 +67,9 @@ def fresh(df: DataFrame, column: str, as_of: Column | int | None = None,
     directories are pruned before any file is opened."""
     bound = cutoff(df, column, as_of, seconds)
     cond = F.col(column) >= bound
-    if FEED_DATE in df.columns and isinstance(df.schema[column].dataType, NumericType):
+    # feed_date is derived from feed_timestamp only; any other column's bound
+    # says nothing about it
+    if column == FEED_DATE_SOURCE and FEED_DATE in df.columns:
         cond = cond & (F.col(FEED_DATE) >= epoch_date(bound))
     return df.filter(cond)
 

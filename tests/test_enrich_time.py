@@ -106,3 +106,16 @@ def test_cutoff_accepts_python_datetime(spark):
     base = dt.datetime(2024, 1, 1, 12, 0, 0)
     df = spark.createDataFrame([(base,), (base - dt.timedelta(seconds=901),)], "ts timestamp_ntz")
     assert fresh(df, "ts", base, 900).count() == 1
+
+
+def test_partition_predicate_only_for_its_source_column(spark, tmp_dir):
+    from railyard.schemas import RAW_VEHICLE_POSITIONS
+    from railyard.sources.sinks import append_raw
+    from tests.conftest import rows_df
+    # snapshot two days old, vehicle clock fresh: a cut-off on vehicle_timestamp must keep it
+    now = 1_700_000_000
+    rows = [dict(entity_id="e", feed_timestamp=now - 2 * 86400, vehicle_timestamp=now)]
+    append_raw(rows_df(spark, RAW_VEHICLE_POSITIONS, rows), tmp_dir, RAW_VEHICLE_POSITIONS, date_partitioned=True)
+    raw = spark.read.parquet(tmp_dir)
+    assert fresh(raw, "vehicle_timestamp", now, 900).count() == 1
+    assert fresh(raw, "feed_timestamp", now, 900).count() == 0
