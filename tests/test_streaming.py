@@ -161,3 +161,12 @@ def test_replay_after_crash_between_stage_and_swap(spark):
     assert stage_batch(late.limit(0), 1, target, **args) == staged
     merge_batch(late, 1, target, **args)
     assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 5, "new"), ("b", 1, 1, "b")]
+
+
+def test_empty_batches_change_nothing(spark):
+    target = scratch_path(spark, "empty")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    merge_batch(_batch(spark, []), 0, target, **args)  # an empty first batch
+    merge_batch(_batch(spark, [("a", 1, 1, "x")]), 1, target, **args)
+    merge_batch(_batch(spark, []), 2, target, **args)  # an empty later batch
+    assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 1, "x")]
