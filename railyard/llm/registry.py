@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from railyard.llm.jaccard_join import op9_jaccard_join
 
 LLM_QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
 LLM_ORACLE_SQL = {
