@@ -7,8 +7,10 @@ from railyard.llm.jaccard_join import op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
 from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
+from railyard.llm.quality_rules import op1_quality_rules
 
 LLM_QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
