@@ -5,6 +5,7 @@ from __future__ import annotations
 from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from railyard.llm.jaccard_join import op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
+from railyard.llm.license_scan import op6_license_scan
 from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
 from railyard.llm.quality_rules import op1_quality_rules
@@ -14,6 +15,7 @@ LLM_QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
+    "op6_license_scan": op6_license_scan,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
 }
