@@ -63,9 +63,14 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased), and the texts' offsets among them."""
+    return words_in(data, offsets)[:2]
+
+
+def words_in(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``word_hashes``, and where in ``data`` each word starts and ends."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     _Tables.at_least(n + 1)
     inside = ~_space[data]
     first, last = inside.copy(), inside.copy()
@@ -78,7 +83,12 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_byte_value[_lower[data]] * _Tables.up[:n], out=total[1:])
     hashes = (total[ends] - total[starts]) * _Tables.down[starts]
-    return mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    return mix(hashes + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets), starts, ends
+
+
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lower-cased."""
+    return _lower[data]
 
 
 def shingle_sets(hashes: np.ndarray, words_at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
