@@ -6,10 +6,12 @@ set's elements in that subset. As k < n1 * (k2 + 1), two such sets share a signa
 own band and for those its larger partners may be in, so no linked pair is missed.
 
 Spark does the rest: signatures that different sets share are found by a pre-aggregated group-by; a bounded Bloom
-filter lets only their rows shuffle again. In each bucket members are compared with a few pivots a round, pairs that
-already are in one component being skipped, with four times the pivots each round until every bucket is settled: exact
-connectivity, without emitting the pairs of a group whose members all link. Sizes and 256-bit parity sketches (whose
-Hamming distance bounds the sets' difference from below) dismiss pairs; the others are verified on whole sets.
+filter lets only their rows shuffle again. Buckets of at most ``FEW`` members are compared within. In larger ones all
+members are compared with one pivot; those that don't reach its component go on in new, smaller buckets of members that
+share a difference from the pivot (``_closer_buckets`` says why none that link are parted), with a pivot each again.
+What is in several components even then is compared block by block. So the components are exact, without emitting the
+pairs of a large group. Sizes and 256-bit parity sketches (whose Hamming distance bounds the sets' difference from
+below) dismiss pairs; the others are verified on whole sets.
 
 Defined cases: null, empty or blank texts have no shingles and link with nothing. Texts of fewer words than a shingle
 form one shingle. Rows with equal sets (copies, repeated rows, repeated or null ids) are one class and share a
@@ -25,6 +27,7 @@ from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +39,8 @@ from railyard.llm.wordhash import list_column, mix, shingle_sets, sums, text_chu
 
 _U = np.uint64
 BAND_RATIO = 1.3  # largest size of a band against its smallest
+FEW = 16  # members of a bucket that are compared with each other
+BLOCK = 256  # members of a block of a large bucket
 
 
 @dataclass(frozen=True)
@@ -140,10 +145,10 @@ def _profiles(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
             sketch = _sketch(sets, at)
             n = end - first
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(first, n), pa.array(np.diff(at)), pa.array(_node(sets, at)),
+                batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at)), pa.array(_node(sets, at)),
                 list_column(sketch.ravel(), np.arange(n + 1) * 4),
                 list_column(found[order], np.searchsorted(owner[order], np.arange(n + 1)))],
-                ["doc_id", "n", "node", "sketch", "sigs"])
+                ["doc_id", "text_hash", "n", "node", "sketch", "sigs"])
 
 
 def _sets(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,38 +183,111 @@ def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, join: Join) -
     return whole.where(common * join.den >= (F.col("u_n") + F.col("v_n") - common) * join.num).select("u", "v")
 
 
+def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """(key, parent, node, weight): buckets of members that may link though they don't reach their pivot's component.
+
+    rows: (cluster, pivot, pivot_comp, node, comp, weight). Take a member x that doesn't link with pivot p, and a y that
+    links with x. Let d be the elements in which a set differs from p's, and c = (den - num) / (den + num). As x and y
+    differ in at most c * (x + y) elements and x and p in more than c * (x + p), d(x) and d(y) share more than
+    ((|d(x)| - c * (x + p)) + (1 - c) * |d(y)|) / 2 elements, either term of which alone is a bound too. So, in any
+    fixed order, the first elements of d(x) and of d(y), as many as are left without that number and one more, have one
+    in common. Here elements that p hasn't come first: a copy's own edits, which hardly any other member has. A bucket
+    therefore holds the few members that share an edit, and never the pivot."""
+    both = rows.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("elements").alias("of_pivot")), "pivot")
+    apart = F.concat(F.array_except("elements", "of_pivot"), F.array_except("of_pivot", "elements"))
+    both = both.select("cluster", "node", "weight", (F.col("comp") != F.col("pivot_comp")).alias("outside"), apart.alias("apart"),
+                       (F.size("elements") + F.size("of_pivot")).alias("total"))
+    n, whole = F.size("apart"), join.den + join.num
+    shared = F.when(F.col("outside"), (n * whole - F.col("total") * (join.den - join.num)) / (2 * whole)).otherwise(n * join.num / whole)
+    first = n - F.greatest(F.floor(shared).cast("int"), F.lit(0))
+    return both.select(F.explode(F.slice("apart", F.lit(1), first)).alias("element"), "cluster", "node", "weight").select(
+        F.xxhash64("cluster", "element").alias("key"), F.col("cluster").alias("parent"), "node", "weight")
+
+
+def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of one cell of a bucket (rows of block i with rows of block j) that sizes and sketches don't dismiss."""
+    one, other = rows[rows["i_side"]], rows[rows["j_side"]]
+    sketch = np.stack([np.asarray(x, np.int64) for x in other["sketch"]]).view(np.uint64) if len(other) else np.zeros((0, 4), np.uint64)
+    node, comp, n = other["node"].to_numpy(), other["comp"].to_numpy(), other["n"].to_numpy()
+    found = []
+    for x in one.itertuples(index=False):
+        apart = np.bitwise_count(sketch ^ np.asarray(x.sketch, np.int64).view(np.uint64)).sum(1, dtype=np.int64)
+        ok = (comp != x.comp) & (apart * (join.den + join.num) <= (n + x.n) * (join.den - join.num))
+        found += [(x.node, y) for y in node[ok]]
+    return pd.DataFrame(found, columns=["node", "other"], dtype="int64")
+
+
+def _within(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
+    """(node, other) of different components that may link, from (key, members, node, comp).
+
+    A bucket is dealt into blocks of about BLOCK members and every two blocks meet in one cell, so that a task never
+    holds more than two blocks; pairs that can't link are never emitted."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = members.join(nodes, "node").withColumn("blocks", blocks).withColumn("own", own).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("own", "with"), F.greatest("own", "with")
+    cells = dealt.select("key", i.alias("i"), j.alias("j"), (F.col("own") == i).alias("i_side"), (F.col("own") == j).alias("j_side"),
+                         "node", "comp", "n", "sketch")
+    return cells.groupBy("key", "i", "j").applyInPandas(partial(_compare_block, join), "node long, other long")
+
+
 def _connect(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """(node, comp) of all nodes that link with another."""
-    spark = buckets.sparkSession
-    links = None
-    open_rows, pivots_each = buckets.withColumn("comp", F.col("node")), 1
-    while True:
-        # the pivots of a bucket: the smallest node of each of some hash classes, combined before the shuffle
-        cls = F.pmod(F.xxhash64("node", F.lit(pivots_each)), F.lit(pivots_each))
-        pivots = open_rows.groupBy("sig", cls.alias("cls")).agg(F.min(F.struct("node", "comp")).alias("p")).select(
-            "sig", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-        pivots = stored(pivots, "pivots")
-        pairs = open_rows.join(pivots, "sig").where("comp <> pivot_comp").select(
-            F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v")).distinct()
+    """(node, comp) of all nodes that link with another, from (sig, node)."""
+    # the member with most shared signatures differs least from the others: a good pivot
+    weight = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    rows = stored(buckets.join(weight, "node").select(
+        F.col("sig").alias("key"), F.lit(0).cast("long").alias("parent"), "node", "weight"), "bucket-rows")
+    links, comps = None, nodes.select("node", F.col("node").alias("comp")).limit(0)
+
+    def with_comp(table: DataFrame) -> DataFrame:
+        return table.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+    def open_members(table: DataFrame) -> DataFrame:
+        """Rows of buckets that hold several components, with the bucket's size and pivot."""
+        known = stored(with_comp(table), "rows")
+        keys = known.groupBy("key").agg(
+            F.count(F.lit(1)).alias("members"), F.min("comp").alias("a"), F.max("comp").alias("b"),
+            F.max(F.struct("weight", "node", "comp")).alias("p")).where("a < b").select(
+            "key", "members", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
+        return stored(known.join(keys, "key"), "members")
+
+    def add_links(pairs: DataFrame) -> None:
+        nonlocal links, comps
+        pairs = pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
         new = stored(_verified(pairs, nodes, sets, join), "links")
-        links = new if links is None else links.unionByName(new)
-        comps = stored(components(links), "components")
-        rest = open_rows.select("sig", "node").join(
-            pivots.select("sig", F.col("pivot").alias("node")), ["sig", "node"], "left_anti")
-        rest = rest.join(comps, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
-        rest = stored(rest, "open-rows")
-        unsettled = rest.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b")
-        open_rows = stored(rest.join(unsettled.select("sig"), "sig", "left_semi"), "open-buckets")
-        if open_rows.isEmpty():
+        if not new.isEmpty():
+            links = new if links is None else links.unionByName(new)
+            comps = stored(components(links), "components")
+
+    for level in range(2):
+        members = open_members(rows)
+        few = members.where(F.col("members") <= FEW)
+        others = few.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
+        add_links(few.join(others, "key").where("node > other and comp <> other_comp").select("node", "other").unionByName(
+            members.where((F.col("members") > FEW) & (F.col("comp") != F.col("pivot_comp"))).select("node", F.col("pivot").alias("other"))))
+        # buckets of few members are done; in the others all that the pivot can tell is known
+        large = members.where((F.col("members") > FEW) & (F.col("node") != F.col("pivot"))).drop("comp", "pivot_comp")
+        if large.isEmpty():
             return comps
-        pivots_each = min(pivots_each * 4, 256)
-
-
-def near_components(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id."""
-    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, n long, node long, sketch array<long>, "
-                                     "sigs array<long>"), "profiles")
+        if level == 0:
+            rest = with_comp(large.select(F.xxhash64("parent", "pivot").alias("cluster"), "pivot", "node", "weight").distinct())
+            of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+            rest = stored(rest.join(of_pivot, "pivot", "left").withColumn("pivot_comp", F.coalesce("pivot_comp", "pivot")), "rest")
+            unsettled = rest.groupBy("cluster").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("cluster")
+            rows = stored(_closer_buckets(rest.join(unsettled, "cluster", "left_semi"), sets, join), "closer-buckets")
+    left = open_members(large.select("key", "node", "weight"))
+    if not left.isEmpty():
+        add_links(_within(left.select("key", "members", "node", "comp"), nodes, join))
+    return comps
+
+
+def _classified(docs: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: doc_id, text_hash, n_shingles, component_id."""
+    two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                      F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
+    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, text_hash long, n long, node long, "
+                                     "sketch array<long>, sigs array<long>"), "profiles")
     some = profiles.where("n > 0")
     classes = stored(some.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("first_id"),
                                               F.min("sketch").alias("sketch")), "classes")
@@ -231,10 +309,33 @@ def near_components(docs: DataFrame, join: Join, id_col: str = "doc_id", text_co
     labelled = classes.join(comps, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
     ids = labelled.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_node = labelled.join(ids, "comp").select("node", "component_id")
-    linked = some.join(by_node, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    alone = profiles.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    linked = some.join(by_node, "node").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
+    alone = profiles.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
 
 
+def near_components(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id."""
+    return _classified(docs, join, id_col, text_col).drop("text_hash")
+
+
+def keep_one_of_each(docs: DataFrame, join: Join, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the smallest doc_id of each component only; rows without an id stay.
+
+    Rows are told apart by id and text: several of the smallest id stay. Only rows whose text hash may be that of a
+    dropped one are shuffled."""
+    rows = stored(_classified(docs, join, id_col, text_col), "classified")
+    dropped = rows.where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
+    dropped = stored(dropped.withColumnsRenamed({"doc_id": "dropped_id", "text_hash": "dropped_hash"}), "dropped")
+    n_words = bloom.words_for(dropped.count())
+    table = stored(bloom.filter_table(dropped, "dropped_hash", n_words), "dropped-bits")
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    hashed = row.withColumn("h", F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`"), F.lit(""))))
+    flagged = bloom.probe(hashed, "h", table, n_words, "maybe")
+    same = (F.col("h") == F.col("dropped_hash")) & (F.col(f"row.`{id_col}`").cast("long") == F.col("dropped_id"))
+    stay = flagged.where("maybe").join(dropped, same, "left_anti")
+    return flagged.where(~F.col("maybe")).select("row").unionByName(stay.select("row")).select("row.*")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir), Join(width=3, num=90, den=100))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from railyard.llm.jaccard_join import op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
 from railyard.llm.license_scan import op6_license_scan
+from railyard.llm.log_bilinear import op10_lm_scoring
 from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
 from railyard.llm.quality_rules import op1_quality_rules
@@ -18,6 +20,8 @@ LLM_QUERIES = {
     "op6_license_scan": op6_license_scan,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_lm_scoring": op10_lm_scoring,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLE_SQL = {

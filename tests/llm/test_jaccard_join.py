@@ -53,7 +53,7 @@ def check(docs, join):
     assert got == want
 
 
-@pytest.mark.parametrize("join", [Join(3, 90, 100), Join(5, 8, 10), Join(2, 6, 10)])
+@pytest.mark.parametrize("join", [Join(3, 90, 100), Join(5, 8, 10), Join(2, 7, 10)])
 def test_edits_match_brute_force(docs_of, join):
     rng = random.Random(join.num)
     vocab = [f"w{i}" for i in range(400)]
@@ -90,6 +90,24 @@ def test_unlinked_texts_that_share_much(docs_of):
     check(docs_of(texts), Join(3, 90, 100))
 
 
+def test_large_group_in_which_only_some_link(docs_of):
+    """Copies of one text with one to nine own edits, two variants of it, and copies that share edits."""
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(120)]
+    variant = base[:40] + [f"v{i}" for i in range(9)] + base[49:]
+    texts = []
+    for i in range(150):
+        t = list(base if i % 3 else variant)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3, 4, 9])):
+            t[at] = f"x{i}"
+        texts.append(" ".join(t))
+        if i % 10 == 0:
+            t[rng.randrange(120)] = "again"
+            texts.append(" ".join(t))
+    for join in (Join(3, 90, 100), Join(5, 8, 10)):
+        check(docs_of(texts), join)
+
+
 def test_edges(spark, docs_of):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "One"), (5, "one"), (6, "one two"), (7, "ONE\x0btwo"), (7, "ONE\x0btwo"),
             (None, "one two"), (9, "É a b"), (10, "é a b"), (11, "x y z " * 40000)]
