@@ -11,6 +11,7 @@ from railyard.llm.log_bilinear import op10_lm_scoring
 from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
 from railyard.llm.quality_rules import op1_quality_rules
+from railyard.llm.sentence_pieces import op7_sentence_pieces
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
@@ -18,6 +19,7 @@ LLM_QUERIES = {
     "op4_packing": op4_packing,
     "op5_pii": op5_pii,
     "op6_license_scan": op6_license_scan,
+    "op7_sentence_pieces": op7_sentence_pieces,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,

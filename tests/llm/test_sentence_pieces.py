@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from railyard.llm import sentence_pieces as S
+
+
+def brute(scores, text):
+    """The best score over all segmentations, by recursion over every piece at every place."""
+    memo = {len(text): 0.0}
+    low = min(s for p, s in scores.items()) - S.BYTE_PRICE
+    for i in range(len(text) - 1, -1, -1):
+        memo[i] = max([low * len(text[i].encode()) + memo[i + 1]] + [s + memo[i + len(p)] for p, s in scores.items() if text.startswith(p, i)])
+    return memo[0], low
+
+
+@pytest.fixture(scope="module")
+def small():
+    special = [("<unk>", 0.0), ("<s>", 0.0), ("</s>", 0.0), *((f"<0x{b:02X}>", 0.0) for b in range(256))]
+    scores = {S.MARK: -2.0, "a": -3.0, "b": -3.5, "ab": -4.0, "aba": -5.0, "bab": -4.5, S.MARK + "a": -3.2, S.MARK + "ab": -6.0, "é": -4.0, S.MARK * 2: -3.1}
+    return scores, S.Pieces(special + list(scores.items()))
+
+
+def test_segmentation_is_the_best(small):
+    scores, pieces = small
+    rng = random.Random(1)
+    for _ in range(3000):
+        text = "".join(rng.choice("ab é\n漢") for _ in range(rng.randint(0, 12)))
+        ids = np.frombuffer(pieces.encode(text), np.uint32)
+        marked = S.MARK + text.replace(" ", S.MARK) if text else ""
+        want, low = brute(scores, marked)
+        got = sum(scores[pieces.pieces[i]] if i >= 259 else low for i in ids)
+        assert got == pytest.approx(want), text
+        assert pieces.decode(ids.tobytes()) == text
+
+
+def test_remembering_parts_changes_nothing(small):
+    _, pieces = small
+    text = " ab  abab é " * 50
+    whole = np.array(pieces.segment(S.MARK + text.replace(" ", S.MARK)), np.uint32)
+    assert pieces.by_part
+    score = lambda ids: sum(small[0].get(pieces.pieces[i], pieces.byte_score) for i in ids)
+    assert score(np.frombuffer(pieces.encode(text), np.uint32)) == pytest.approx(score(whole))
+
+
+def test_rows(spark, docs_of):
+    rows = [(1, None), (2, ""), (3, " "), (4, "  two  blanks \n\t"), (5, "é 漢字 \U0001F600 ▁x"), (5, "twice"), (5, "twice"), (None, "a"), (7, "long text, " * 20000)]
+    docs = docs_of(rows, ids="i", row="r", value="v")
+    path = S.model_path()
+    encoded = S.encode(docs.select("doc_id", "text", "value"), path)
+    back = S.decode(encoded, path).select("row.row.doc_id", "text")
+    plain = {t: t if t is None else t.replace("▁", " ") for _, t in rows}  # the mark itself reads as a blank
+    assert sorted(map(str, map(tuple, back.collect()))) == sorted(str((i, plain[t])) for i, t in rows)
+    assert S.encode(docs.limit(0), path).collect() == []
+
+
+def test_whole_table(spark, sf001):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf001}/documents.parquet").collect()}
+    pieces = S.load(S.model_path())
+    rows = S.op7_sentence_pieces(spark, sf001).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts) and all(r.round_trip for r in rows)
+    for r in rows[:20]:
+        ids = np.array(pieces.segment(S.MARK + texts[r.doc_id].replace(" ", S.MARK)), np.uint32)
+        assert (r.n_ids, r.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
