@@ -86,10 +86,11 @@ def latest_per_vehicle(positions: DataFrame) -> DataFrame:
 
 def latest_delay_per_trip(trip_updates: DataFrame, key_alias: str = "_tu_trip_id") -> DataFrame:
     """Latest delay per trip: newest snapshot, last ingested, then the
-    lowest stop sequence (the next stop) and smallest entity id.
+    lowest stop sequence (the next stop), then smallest entity id, stop id and delay.
     Returns (key_alias, trip_delay, delay_seconds, delay_category)."""
     latest = keep_latest(
-        trip_updates, ["trip_id"], ["feed_timestamp", "ingested_at"], ["stop_sequence", "entity_id"],
+        trip_updates, ["trip_id"], ["feed_timestamp", "ingested_at"], ["stop_sequence", "entity_id"]
+        + [c for c in ("stop_id",) if c in trip_updates.columns] + ["delay_seconds"],
     )
     return latest.select(
         F.col("trip_id").alias(key_alias), "trip_delay", "delay_seconds", "delay_category",

@@ -175,14 +175,14 @@ def nest_bounded(df: DataFrame, keys: list[str], item: str, payload: list[str] |
                  max_items: int = 1024) -> DataFrame:
     """Group rows into ``(keys, item: array<element>)`` rows of about
     ``max_items`` elements (element = ``struct(payload)`` or the given
-    Column): a key with n rows is spread uniformly over ceil(n/max_items)
-    chunks (even identical rows), so a hot key never becomes one huge row.
+    Column): a key with n rows is spread over ceil(n/max_items) chunks by
+    a hash of the whole row (a task that is run again deals its rows alike), so a hot key never becomes one huge row.
     Chunk choice does not affect the flattened result."""
     element = payload if isinstance(payload, Column) else F.struct(*payload)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     chunks = F.ceil(F.col("__n") / F.lit(max_items))
     salted = df.join(counts, keys).withColumn(
-        "__chunk", F.floor(F.rand(17) * chunks).cast("int"))
+        "__chunk", F.pmod(F.xxhash64(*df.columns), chunks).cast("int"))
     return salted.groupBy(*keys, "__chunk").agg(F.collect_list(element).alias(item)).drop("__chunk")
 
 

@@ -22,6 +22,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # AQE only merges partitions: start with many, so that a large shuffle isn't
+    # squeezed into the default number
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -48,6 +51,7 @@ def build_session(
     if master and master.startswith("local"):
         # local mode runs every task inside the driver JVM (default heap 1 GB)
         conf["spark.driver.memory"] = LOCAL_DRIVER_MEMORY
+        conf.pop("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
     else:
         # on a shared cluster coalesce shuffle partitions towards the advisory
         # size instead of maximising their number (no floods of tiny tasks)
@@ -72,6 +76,9 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect sessions have no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="railyard-")
         try:
             spark.sparkContext.setCheckpointDir(root)

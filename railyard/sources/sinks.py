@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from railyard.operators.timeops import FEED_DATE, with_feed_date
 from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
@@ -38,12 +39,29 @@ def ingest_metrics(df: DataFrame, name: str = "ingest") -> tuple[DataFrame, Obse
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+class StreamManaged(ValueError):
+    pass
+
+
+def _refuse_streamed(spark: SparkSession, path: str) -> None:
+    """A folder that a stream writes lists its files in a log of its own: files
+    a batch job adds would never be read, so the write is refused."""
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_spark_metadata")
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return
+        raise
+    raise StreamManaged(f"{path} is written by a stream; append to another folder and read both")
+
+
 def append_raw(df: DataFrame, path: str, schema: StructType, date_partitioned: bool = False) -> int:
     """Append rows to a raw table folder after enforcing its schema; returns
     the number of rows accepted. ``date_partitioned`` lays files out under
     ``feed_date=YYYY-MM-DD/`` (UTC day of ``feed_timestamp``) so time-window
     reads prune whole days."""
     rows = conform(df, schema)
+    _refuse_streamed(df.sparkSession, path)
     if date_partitioned:
         # rebalance on the partition column: about one file per day per write
         rows = with_feed_date(rows).hint("rebalance", FEED_DATE)
@@ -73,7 +91,8 @@ def materialize(df: DataFrame, path: str | None = None, table: str | None = None
     if partition_by:
         # without this every task writes one file per partition value it holds
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode("overwrite")
+    # static whatever the session says: partitions that are gone must go
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path is not None:

@@ -3,6 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from railyard.sources.raw import read_feed
 from railyard.schemas import RAW_VEHICLE_POSITIONS, ROUTES, TRIPS
 from railyard.session import scratch_path
 from tests.conftest import types
@@ -104,3 +105,59 @@ def test_csv_header_with_byte_order_mark(spark, tmp_dir):
         fh.write("route_id,route_long_name\nR1,Long\n")
     r = read_reference(spark, f"{land}/routes.txt", ROUTES).collect()[0]
     assert (r.route_id, r.route_long_name) == ("R1", "Long")
+
+
+def _land(spark, path, text):
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
+
+
+def test_reference_header_case_and_missing_key(spark, tmp_dir):
+    from railyard.sources.reference import MissingKey, load_routes
+
+    _land(spark, f"{tmp_dir}/a/routes.txt", "Route_ID,ROUTE_LONG_NAME\nr1,One")
+    assert [(r.route_id, r.route_long_name) for r in load_routes(spark, f"{tmp_dir}/a").collect()] == [("r1", "One")]
+    _land(spark, f"{tmp_dir}/b/routes.txt", "id,route_long_name\nr1,One")
+    with pytest.raises(MissingKey):
+        load_routes(spark, f"{tmp_dir}/b")
+
+
+def test_failed_reference_rewrite_keeps_the_old_copy(spark, tmp_dir, monkeypatch):
+    from railyard.sources import reference
+
+    out = f"{tmp_dir}/out"
+    _land(spark, f"{tmp_dir}/one/routes.txt", "route_id,route_long_name\nr1,One")
+    _land(spark, f"{tmp_dir}/two/routes.txt", "route_id,route_long_name\nr1,Two")
+    reference.load_reference_set(spark, f"{tmp_dir}/one", out, ["routes"])
+
+    def dies(df, target, name):
+        df.write.parquet(f"{target}/{name}/half")
+        raise OSError
+
+    real = reference._publish
+    monkeypatch.setattr(reference, "_publish", dies)
+    with pytest.raises(OSError):
+        reference.load_reference_set(spark, f"{tmp_dir}/two", out, ["routes"])
+    monkeypatch.setattr(reference, "_publish", real)
+    names = lambda d: [r.route_long_name for r in reference.load_reference_set(spark, d, out, ["routes"])["routes"].collect()]
+    assert names(f"{tmp_dir}/none") == ["One"]
+    assert names(f"{tmp_dir}/two") == ["Two"]
+
+
+def test_materialize_drops_old_partitions_in_dynamic_sessions(spark, tmp_dir):
+    from railyard.sources.sinks import materialize
+
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        materialize(spark.sql("select 1 as a, 1 as d"), path=f"{tmp_dir}/m", partition_by=["d"])
+        out = materialize(spark.sql("select 2 as a, 2 as d"), path=f"{tmp_dir}/m", partition_by=["d"])
+        assert [r.a for r in out.collect()] == [2]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_bad_snapshots_fail_the_read(spark, tmp_dir):
+    good = '{"header": {"timestamp": 1}, "entity": []}'
+    for k, bad in enumerate(['{"header": {"timestamp": 2}, "enti', '{"entity": []}']):
+        spark.createDataFrame([(good,), (bad,)], "value string").write.text(f"{tmp_dir}/{k}")
+        with pytest.raises(Exception):
+            read_feed(spark, f"{tmp_dir}/{k}").collect()

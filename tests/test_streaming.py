@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from railyard.operators.flatten import flatten_trip_updates
@@ -8,6 +10,8 @@ from railyard.schemas import RAW_TRIP_UPDATES
 from railyard.session import scratch_path
 from railyard.sources.raw import read_feed
 from railyard.streaming.append import stream_raw
+from railyard.sources.sinks import StreamManaged, append_raw
+from railyard.streaming import incremental
 from railyard.streaming.incremental import merge_batch, read_current, stream_latest
 
 
@@ -122,8 +126,8 @@ def test_staging_is_bounded_to_two_slots(spark):
         merge_batch(_batch(spark, [("a", 1, i, f"v{i}")]), i, target, **args)
     staged = target[len("file:"):] if target.startswith("file:") else target
     slots = sorted(os.listdir(f"{staged}/_staged"))
-    assert slots == ["slot=0", "slot=1"]
-    assert sorted(d for d in os.listdir(f"{staged}/_staged/slot=0") if d.startswith("__batch")) == ["__batch=4"]
+    assert slots == ["batch-0", "batch-0-done", "batch-1", "batch-1-done"]
+    assert incremental.staged_batch(spark, target, 4, "batch") and not incremental.staged_batch(spark, target, 2, "batch")
     assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 4, "v4")]
 
 
@@ -170,3 +174,49 @@ def test_empty_batches_change_nothing(spark):
     merge_batch(_batch(spark, [("a", 1, 1, "x")]), 1, target, **args)
     merge_batch(_batch(spark, []), 2, target, **args)  # an empty later batch
     assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 1, "x")]
+
+
+def test_two_checkpoints_on_one_target_lose_nothing(spark):
+    """A second stream starts again at batch 0; its rows must not count as a replay."""
+    schema = "k string, day long, seq long, v string"
+    target, rows = scratch_path(spark, "two"), [[("a", 1, 1, "x")], [("b", 1, 2, "y"), ("a", 1, 3, "z")]]
+    for part in rows:
+        landing, ckpt = scratch_path(spark, "two-landing"), scratch_path(spark, "two-ckpt")
+        _batch(spark, part).write.parquet(landing)
+        stream_latest(spark.readStream.schema(schema).parquet(landing), target, ckpt, ["k", "day"], ["seq"], [],
+                      F.col("day")).awaitTermination()
+    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 3, "z"), ("b", 1, 2, "y")]
+
+
+def test_incomplete_staging_is_written_again(spark, monkeypatch):
+    target = scratch_path(spark, "again")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    merge_batch(_batch(spark, [("a", 1, 1, "old")]), 0, target, **args)
+    rows = _batch(spark, [("a", 1, 2, "new"), ("b", 2, 1, "b")])
+    real = incremental._overwrite
+    monkeypatch.setattr(incremental, "_overwrite", lambda df: (_ for _ in ()).throw(OSError) if df.columns == ["batch_id"] else real(df))
+    with pytest.raises(OSError):
+        merge_batch(rows, 1, target, **args)  # dies after the slot, before its record
+    monkeypatch.undo()
+    assert incremental.staged_batch(spark, target, 1, "batch") is None
+    merge_batch(rows, 1, target, **args)
+    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 2, "new"), ("b", 2, 1, "b")]
+
+
+def test_many_buckets_are_joined_instead_of_named(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "NAMED_BUCKETS", 1)
+    target = scratch_path(spark, "many")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    merge_batch(_batch(spark, [("a", d, 1, "old") for d in range(4)]), 0, target, **args)
+    merge_batch(_batch(spark, [("a", d, 2, "new") for d in (1, 2, 3)]), 1, target, **args)
+    assert sorted(r.v for r in read_current(spark, target).collect()) == ["new", "new", "new", "old"]
+
+
+def test_batch_append_to_a_streamed_folder_is_refused(spark):
+    landing, out = scratch_path(spark, "mixed-landing"), scratch_path(spark, "mixed")
+    b = _batch(spark, [("a", 1, 1, "x")])
+    b.write.parquet(landing)
+    stream_raw(spark.readStream.schema(b.schema).parquet(landing), out, scratch_path(spark, "mixed-ckpt")).awaitTermination()
+    with pytest.raises(StreamManaged):
+        append_raw(b, out, b.schema)
+    assert spark.read.parquet(out).count() == 1
