@@ -24,7 +24,9 @@ from railyard.functions.scalars import bucket_start, epoch_seconds
 from railyard.operators.flatten import flatten_trip_updates, flatten_vehicles
 from railyard.plans.standins import DAY, nest_bounded, table
 from railyard.plans.transit_standins import as_epoch_micros
+from railyard.schemas import FEED
 from railyard.session import scratch_path
+from railyard.sources.canonical import to_canonical
 from railyard.sources.raw import read_feed
 
 INGESTED_AT_MICROS = 1_700_000_000_000_000
@@ -111,3 +113,11 @@ def q_feed_vehicles(spark, sf_dir):
 def q_feed_trip_updates(spark, sf_dir):
     stamp = F.timestamp_micros(F.lit(INGESTED_AT_MICROS))
     return as_epoch_micros(flatten_trip_updates(trip_update_feed(spark, sf_dir), ingested_at=stamp))
+
+
+def q_feed_vehicles_canonical(spark, sf_dir):
+    """The same snapshots in the form that protobuf tools print, read and flattened."""
+    path = scratch_path(spark, "feed-vehicles-canonical")
+    to_canonical(vehicle_feed(spark, sf_dir), FEED).write.json(path)
+    stamp = F.timestamp_micros(F.lit(INGESTED_AT_MICROS))
+    return as_epoch_micros(flatten_vehicles(read_feed(spark, path, canonical=True), ingested_at=stamp))

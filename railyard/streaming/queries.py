@@ -14,26 +14,35 @@ from pyspark.sql import functions as F
 from railyard.operators.flatten import flatten_vehicles
 from railyard.plans.feed_standins import INGESTED_AT_MICROS, write_vehicle_snapshots
 from railyard.plans.standins import events_as_positions, table
-from railyard.plans.transit_standins import as_epoch_micros
+from railyard.plans.silver import silver_trip_updates, silver_vehicle_positions
+from railyard.plans.transit_standins import _inputs, as_epoch_micros
 from railyard.schemas import RAW_VEHICLE_POSITIONS
 from railyard.sources.raw import read_feed
 from railyard.session import scratch_path
 from railyard.streaming.append import stream_raw
-from railyard.streaming.incremental import read_current, stream_latest
+from railyard.streaming.incremental import read_current, stream_latest, stream_silver_positions, stream_silver_trip_updates
 
-LANDING_FILES = 4
+# a landing is consumed in about this many micro-batches
+BATCHES = 4
+ROWS_PER_FILE = 500_000
 
 
-def land(df: DataFrame, path: str, files: int = LANDING_FILES, by: str | None = None) -> str:
-    """Write ``df`` as ``files`` files (hash split on ``by``) to ``path``."""
+def land(df: DataFrame, path: str, by: str | None = None) -> int:
+    """Write ``df`` to ``path`` as files of about ROWS_PER_FILE rows, at least
+    BATCHES of them (hash split on ``by``); returns the files to read per trigger."""
+    files = max(BATCHES, -(-df.count() // ROWS_PER_FILE))
     (df.repartition(files, by) if by else df.repartition(files)).write.parquet(path)
-    return path
+    return -(-files // BATCHES)
+
+
+def _stream(spark: SparkSession, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    landing = scratch_path(spark, f"{name}-landing")
+    per_trigger = land(df, landing, by)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", per_trigger).parquet(landing)
 
 
 def _events_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    landing = land(events, scratch_path(spark, f"{name}-landing"), by="event_id")
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    return _stream(spark, table(spark, sf_dir, "events"), name, by="event_id")
 
 
 def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,14 +61,17 @@ def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_current(spark, target).select("event_id", "user_id", "feed_timestamp", "event_type", "value")
 
 
+# hash buckets of a table without a time column: their number doesn't grow with the data
+BUCKETS = 16
+
+
 def q_stream_dedup_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incremental keep-latest of lineitem copies per (order, line), bucketed
-    by order key ranges; equals the batch de-duplication."""
+    by a hash of the order key; equals the batch de-duplication."""
     li = table(spark, sf_dir, "lineitem")
-    landing = land(li, scratch_path(spark, "stream-lines-landing"), by="l_partkey")
-    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    stream = _stream(spark, li, "stream-lines", by="l_partkey")
     target, ckpt = scratch_path(spark, "stream-lines"), scratch_path(spark, "stream-lines-ckpt")
-    bucket = F.col("l_orderkey") - F.pmod(F.col("l_orderkey"), F.lit(4096))
+    bucket = F.pmod(F.xxhash64("l_orderkey"), F.lit(BUCKETS))
     q = stream_latest(stream, target, ckpt, ["l_orderkey", "l_linenumber"], ["l_shipdate"],
                       [F.col("l_partkey").desc(), F.col("l_suppkey").desc(), F.col("l_extendedprice").desc()],
                       bucket=bucket)
@@ -80,3 +92,19 @@ def q_stream_feed_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
                    schema=RAW_VEHICLE_POSITIONS)
     q.awaitTermination()
     return as_epoch_micros(spark.read.parquet(out))
+
+
+def q_stream_silver_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental silver on the real 27 raw columns; equals batch silver."""
+    i = _inputs(spark, sf_dir)
+    target, ckpt = scratch_path(spark, "slv-vp"), scratch_path(spark, "slv-vp-ckpt")
+    stream_silver_positions(_stream(spark, i["raw_vp"], "slv-vp"), target, ckpt, bucket_seconds=30 * 86400).awaitTermination()
+    return as_epoch_micros(silver_vehicle_positions(read_current(spark, target), i["routes"], i["stops"], i["trips"], deduplicated=True))
+
+
+def q_stream_silver_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental silver on the real 24 raw columns; equals batch silver."""
+    i = _inputs(spark, sf_dir)
+    target, ckpt = scratch_path(spark, "slv-tu"), scratch_path(spark, "slv-tu-ckpt")
+    stream_silver_trip_updates(_stream(spark, i["raw_tu"], "slv-tu"), target, ckpt, bucket_seconds=365 * 86400).awaitTermination()
+    return as_epoch_micros(silver_trip_updates(read_current(spark, target), i["routes"], i["stops"], i["trips"], deduplicated=True))
