@@ -7,7 +7,7 @@ from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
 from railyard.llm.jaccard_join import op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
 from railyard.llm.license_scan import op6_license_scan
-from railyard.llm.line_dedup import op3_line_dedup
+from railyard.llm.line_dedup import OP3_SQL, op3_line_dedup
 from railyard.llm.log_bilinear import op10_lm_scoring
 from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
@@ -29,5 +29,6 @@ LLM_QUERIES = {
 }
 
 LLM_ORACLE_SQL = {
+    "op3_line_dedup": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
