@@ -10,7 +10,7 @@ filter lets only their rows shuffle again. Buckets of at most ``FEW`` members ar
 members are compared with one pivot; those that don't reach its component go on in new, smaller buckets of members that
 share a difference from the pivot (``_closer_buckets`` says why none that link are parted), with a pivot each again.
 What is in several components even then is compared block by block. So the components are exact, without emitting the
-pairs of a large group. Sizes and 256-bit parity sketches (whose Hamming distance bounds the sets' difference from
+pairs of a large group. Sizes and 1024-bit parity sketches (whose Hamming distance bounds the sets' difference from
 below) dismiss pairs; the others are verified on whole sets.
 
 Defined cases: null, empty or blank texts have no shingles and link with nothing. Texts of fewer words than a shingle
@@ -21,7 +21,8 @@ no part. Sets are compared by 64-bit shingle hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
 from itertools import combinations
@@ -40,6 +41,7 @@ from railyard.llm.wordhash import list_column, mix, shingle_sets, sums, text_chu
 _U = np.uint64
 BAND_RATIO = 1.3  # largest size of a band against its smallest
 FEW = 16  # members of a bucket that are compared with each other
+SKETCH_WORDS = 16
 BLOCK = 256  # members of a block of a large bucket
 
 
@@ -125,10 +127,10 @@ def signatures(join: Join, sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray
 
 
 def _sketch(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Parity of the number of elements in each of 256 cells: 4 words a set."""
-    n = len(at) - 1
-    cell = np.repeat(np.arange(n), np.diff(at)) * 256 + (mix(sets ^ _U(0xA0761D6478BD642F)) >> _U(56)).astype(np.int64)
-    odd = (np.bincount(cell, minlength=n * 256) & 1).astype(np.uint8).reshape(n, 256)
+    """Parity of the number of elements in each of SKETCH_WORDS * 64 cells."""
+    n, bits = len(at) - 1, SKETCH_WORDS * 64
+    cell = np.repeat(np.arange(n), np.diff(at)) * bits + (mix(sets ^ _U(0xA0761D6478BD642F)) % _U(bits)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=n * bits) & 1).astype(np.uint8).reshape(n, bits)
     return np.packbits(odd, axis=1).view(np.uint64)
 
 
@@ -140,15 +142,19 @@ def _profiles(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
     for batch in batches:
         for first, end, data, offsets in text_chunks(batch.column(1)):
             sets, at = shingle_sets(*word_hashes(data, offsets), join.width)
-            found, owner = signatures(join, sets, at)
-            order = np.argsort(owner, kind="stable")
             sketch = _sketch(sets, at)
             n = end - first
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at)), pa.array(_node(sets, at)),
-                list_column(sketch.ravel(), np.arange(n + 1) * 4),
-                list_column(found[order], np.searchsorted(owner[order], np.arange(n + 1)))],
-                ["doc_id", "text_hash", "n", "node", "sketch", "sigs"])
+                list_column(sketch.ravel(), np.arange(n + 1) * SKETCH_WORDS)], ["doc_id", "text_hash", "n", "node", "sketch"])
+
+
+def _signature_rows(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, data, offsets in text_chunks(batch.column(0)):
+            sets, at = shingle_sets(*word_hashes(data, offsets), join.width)
+            found, owner = signatures(join, sets, at)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(_node(sets, at)[owner])], ["sig", "node"])
 
 
 def _sets(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,27 +164,41 @@ def _sets(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_arrays([pa.array(_node(sets, at)), list_column(sets, at)], ["node", "elements"])
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """(sig, node) of signatures that at least two different sets have."""
-    multi = stored(rows.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b"))
-                   .where("a < b").select("sig"), "shared-signatures")
-    n_words = bloom.words_for(multi.count())
-    table = bloom.filter_table(multi, "sig", n_words)
-    near = bloom.probe(rows, "sig", table, n_words, "maybe").where("maybe").select("sig", "node").distinct()
+def _shared(texts: DataFrame, n_texts: int, join: Join) -> DataFrame:
+    """(sig, node) of signatures that at least two different sets have.
+
+    First only short prints of the signatures are counted, 7 bits longer than their number needs, which takes half of
+    the room; then the signatures whose print occurs twice are compared as they are, with their sets. Computing them
+    again is cheaper than keeping them."""
+    rows = texts.mapInArrow(partial(_signature_rows, join), "sig long, node long")
+    bits = min(max(32, int(math.log2(128 * max(1, n_texts))) + 7), 62)
+    rows = rows.withColumn("print", F.col("sig").bitwiseAND(F.lit((1 << bits) - 1)))
+    prints = stored(rows.groupBy("print").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(
+        F.xxhash64("print").alias("h")), "repeated-prints")
+    n_words = bloom.words_for(prints.count())
+    table = stored(bloom.filter_table(prints, "h", n_words), "repeated-print-bits")
+    near = bloom.probe(rows.select("sig", "node", F.xxhash64("print").alias("h")), "h", table, n_words, "maybe").where("maybe")
+    near = stored(near.select("sig", "node").distinct(), "likely-shared")
+    multi = near.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("sig")
     return stored(near.join(multi, "sig", "left_semi"), "buckets")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """The pairs (u, v) that link."""
-    def side(table: DataFrame, name: str) -> DataFrame:
-        return table.select(*[F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in table.columns])
+def _side(table: DataFrame, name: str) -> DataFrame:
+    return table.select(*[F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in table.columns])
+
 
-    both = pairs.join(side(nodes, "u"), "u").join(side(nodes, "v"), "v")
+def _close(pairs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
+    """The pairs (u, v) that sizes and sketches don't dismiss, with u_n and v_n."""
+    both = pairs.join(_side(nodes, "u"), "u").join(_side(nodes, "v"), "v")
     low, high, total = F.least("u_n", "v_n"), F.greatest("u_n", "v_n"), F.col("u_n") + F.col("v_n")
-    apart = sum((F.bit_count(F.col("u_sketch")[i].bitwiseXOR(F.col("v_sketch")[i])) for i in range(4)), F.lit(0))
-    close = both.where((low * join.den >= high * join.num)
+    apart = sum((F.bit_count(F.col("u_sketch")[i].bitwiseXOR(F.col("v_sketch")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    return both.where((low * join.den >= high * join.num)
                        & (apart * (join.den + join.num) <= total * (join.den - join.num))).select("u", "v", "u_n", "v_n")
-    whole = close.join(side(sets, "u"), "u").join(side(sets, "v"), "v")
+
+
+def _verified(close: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """The pairs (u, v) that link."""
+    whole = close.join(_side(sets, "u"), "u").join(_side(sets, "v"), "v")
     common = F.size(F.array_intersect("u_elements", "v_elements"))
     return whole.where(common * join.den >= (F.col("u_n") + F.col("v_n") - common) * join.num).select("u", "v")
 
@@ -207,7 +227,7 @@ def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one cell of a bucket (rows of block i with rows of block j) that sizes and sketches don't dismiss."""
     one, other = rows[rows["i_side"]], rows[rows["j_side"]]
-    sketch = np.stack([np.asarray(x, np.int64) for x in other["sketch"]]).view(np.uint64) if len(other) else np.zeros((0, 4), np.uint64)
+    sketch = np.stack([np.asarray(x, np.int64) for x in other["sketch"]]).view(np.uint64) if len(other) else np.zeros((0, SKETCH_WORDS), np.uint64)
     node, comp, n = other["node"].to_numpy(), other["comp"].to_numpy(), other["n"].to_numpy()
     found = []
     for x in one.itertuples(index=False):
@@ -232,13 +252,13 @@ def _within(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
     return cells.groupBy("key", "i", "j").applyInPandas(partial(_compare_block, join), "node long, other long")
 
 
-def _connect(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """(node, comp) of all nodes that link with another, from (sig, node)."""
+def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], join: Join) -> DataFrame:
+    """(node, comp) of all nodes that link with another, from (sig, node). ``sets_of`` gives whole sets of nodes."""
     # the member with most shared signatures differs least from the others: a good pivot
     weight = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
     rows = stored(buckets.join(weight, "node").select(
         F.col("sig").alias("key"), F.lit(0).cast("long").alias("parent"), "node", "weight"), "bucket-rows")
-    links, comps = None, nodes.select("node", F.col("node").alias("comp")).limit(0)
+    links, comps, sets = None, nodes.select("node", F.col("node").alias("comp")).limit(0), None
 
     def with_comp(table: DataFrame) -> DataFrame:
         return table.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -253,9 +273,13 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets: DataFrame, join: Join)
         return stored(known.join(keys, "key"), "members")
 
     def add_links(pairs: DataFrame) -> None:
-        nonlocal links, comps
+        nonlocal links, comps, sets
         pairs = pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-        new = stored(_verified(pairs, nodes, sets, join), "links")
+        close = stored(_close(pairs, nodes, join), "close-pairs")
+        if sets is None:  # later pairs are of members of large buckets only
+            sets = sets_of(close.select(F.col("u").alias("node")).unionByName(close.select(F.col("v").alias("node"))).unionByName(
+                members.where(F.col("members") > FEW).select("node")).distinct())
+        new = stored(_verified(close, sets, join), "links")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             comps = stored(components(links), "components")
@@ -286,26 +310,28 @@ def _classified(docs: DataFrame, join: Join, id_col: str, text_col: str) -> Data
     """One row per input row: doc_id, text_hash, n_shingles, component_id."""
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
-    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, text_hash long, n long, node long, "
-                                     "sketch array<long>, sigs array<long>"), "profiles")
+    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, text_hash long, n long, node long, sketch array<long>"),
+                      "profiles")
     some = profiles.where("n > 0")
     classes = stored(some.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("first_id"),
                                               F.min("sketch").alias("sketch")), "classes")
-    buckets = _shared(some.select(F.explode("sigs").alias("sig"), "node"))
-    if buckets.isEmpty():
-        comps = classes.select("node", F.col("node").alias("comp"))
-    else:
-        # whole sets of the candidates: one document of each class, found by a bounded filter on its id
-        wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi").select(
-            "node", F.coalesce("first_id", F.lit(0).cast("long")).alias("first_id"))
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """Whole sets: from one document of each class, found by a bounded filter on its id."""
+        wanted = classes.join(nodes, "node", "left_semi").select("node", F.coalesce("first_id", F.lit(0).cast("long")).alias("first_id"))
         wanted = stored(wanted, "candidates").withColumn("h", F.xxhash64("first_id"))
         n_words = bloom.words_for(wanted.count())
         table = bloom.filter_table(wanted, "h", n_words)
         hashed = two.select("text", F.xxhash64(F.coalesce("doc_id", F.lit(0).cast("long"))).alias("h"))
         texts = bloom.probe(hashed, "h", table, n_words, "maybe").where("maybe").select("text")
-        sets = texts.mapInArrow(partial(_sets, join), "node long, elements array<long>").join(
-            wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
-        comps = _connect(buckets, classes.select("node", "n", "sketch"), stored(sets, "sets"), join)
+        return stored(texts.mapInArrow(partial(_sets, join), "node long, elements array<long>").join(
+            wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    buckets = _shared(two.select("text"), profiles.count(), join)
+    if buckets.isEmpty():
+        comps = classes.select("node", F.col("node").alias("comp"))
+    else:
+        comps = _connect(buckets, classes.select("node", "n", "sketch"), sets_of, join)
     labelled = classes.join(comps, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
     ids = labelled.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     by_node = labelled.join(ids, "comp").select("node", "component_id")
@@ -339,3 +365,25 @@ def keep_one_of_each(docs: DataFrame, join: Join, id_col: str = "doc_id", text_c
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(documents(spark, sf_dir), Join(width=3, num=90, den=100))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')] ELSE list_distinct(
+    list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) END AS sh
+  FROM w),
+e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS u, b.doc_id AS v
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS u, doc_id AS c FROM documents UNION SELECT p.v, r.c FROM r JOIN p ON p.u = r.u),
+m AS (SELECT u, min(c) AS component_id FROM r GROUP BY u)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, m.component_id
+FROM s JOIN m ON m.u = s.doc_id
+"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
-from railyard.llm.jaccard_join import op9_jaccard_join
+from railyard.llm.jaccard_join import OP9_SQL, op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
 from railyard.llm.license_scan import op6_license_scan
 from railyard.llm.line_dedup import OP3_SQL, op3_line_dedup
@@ -31,4 +31,5 @@ LLM_QUERIES = {
 LLM_ORACLE_SQL = {
     "op3_line_dedup": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op9_jaccard_join": OP9_SQL,
 }
