@@ -40,8 +40,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha")
     # rows with one id and text are counted, not carried; the hot group is summed before its shuffle
-    rows = flagged.where("maybe").groupBy("sha", "doc_id", "n").agg(F.count(F.lit(1)).alias("copies"))
-    groups = rows.groupBy("sha").agg(F.min(_order()).alias("best"), F.sum("copies").alias("group_size"))
+    rows = stored(flagged.where("maybe").groupBy("sha", "doc_id", "n").agg(F.count(F.lit(1)).alias("copies")), "copies")
+    # both sides are tables, so that the skewed partition of a hot group is split in the join
+    groups = stored(rows.groupBy("sha").agg(F.min(_order()).alias("best"), F.sum("copies").alias("group_size")), "groups")
     joined = rows.join(groups, "sha").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size", "sha",
         (F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("n") == -F.col("best.n"))).alias("stays"),
