@@ -7,9 +7,10 @@ own band and for those its larger partners may be in, so no linked pair is misse
 
 Spark does the rest: signatures that different sets share are found by a pre-aggregated group-by; a bounded Bloom
 filter lets only their rows shuffle again. Buckets of at most ``FEW`` members are compared within. In larger ones all
-members are compared with one pivot; those that don't reach its component go on in new, smaller buckets of members that
-share a difference from the pivot (``_closer_buckets`` says why none that link are parted), with a pivot each again.
-What is in several components even then is compared block by block. So the components are exact, without emitting the
+members are compared with one pivot. Members of unsettled buckets of one pivot, up to ``MANY``, are then compared block
+by block on their sketches in numpy. Of more, those that don't reach the pivot's component go on in new, smaller buckets
+of members that share a difference from the pivot (``_closer_buckets`` says why none that link are parted), with a pivot
+each again, and only what is in several components even then is compared block by block. So the components are exact, without emitting the
 pairs of a large group. Sizes and 1024-bit parity sketches (whose Hamming distance bounds the sets' difference from
 below) dismiss pairs; the others are verified on whole sets.
 
@@ -42,6 +43,7 @@ _U = np.uint64
 BAND_RATIO = 1.3  # largest size of a band against its smallest
 FEW = 16  # members of a bucket that are compared with each other
 SKETCH_WORDS = 16
+MANY = 4096  # members of a cluster of buckets that are compared block by block
 BLOCK = 256  # members of a block of a large bucket
 
 
@@ -204,7 +206,7 @@ def _verified(close: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 
 
 def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
-    """(key, parent, node, weight): buckets of members that may link though they don't reach their pivot's component.
+    """(key, node, weight): buckets of members that may link though they don't reach their pivot's component.
 
     rows: (cluster, pivot, pivot_comp, node, comp, weight). Take a member x that doesn't link with pivot p, and a y that
     links with x. Let d be the elements in which a set differs from p's, and c = (den - num) / (den + num). As x and y
@@ -221,7 +223,7 @@ def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     shared = F.when(F.col("outside"), (n * whole - F.col("total") * (join.den - join.num)) / (2 * whole)).otherwise(n * join.num / whole)
     first = n - F.greatest(F.floor(shared).cast("int"), F.lit(0))
     return both.select(F.explode(F.slice("apart", F.lit(1), first)).alias("element"), "cluster", "node", "weight").select(
-        F.xxhash64("cluster", "element").alias("key"), F.col("cluster").alias("parent"), "node", "weight")
+        F.xxhash64("cluster", "element").alias("key"), "node", "weight")
 
 
 def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
@@ -232,7 +234,8 @@ def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
     found = []
     for x in one.itertuples(index=False):
         apart = np.bitwise_count(sketch ^ np.asarray(x.sketch, np.int64).view(np.uint64)).sum(1, dtype=np.int64)
-        ok = (comp != x.comp) & (apart * (join.den + join.num) <= (n + x.n) * (join.den - join.num))
+        ok = (comp != x.comp) & (np.minimum(n, x.n) * join.den >= np.maximum(n, x.n) * join.num)
+        ok &= apart * (join.den + join.num) <= (n + x.n) * (join.den - join.num)
         found += [(x.node, y) for y in node[ok]]
     return pd.DataFrame(found, columns=["node", "other"], dtype="int64")
 
@@ -256,9 +259,8 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame]
     """(node, comp) of all nodes that link with another, from (sig, node). ``sets_of`` gives whole sets of nodes."""
     # the member with most shared signatures differs least from the others: a good pivot
     weight = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    rows = stored(buckets.join(weight, "node").select(
-        F.col("sig").alias("key"), F.lit(0).cast("long").alias("parent"), "node", "weight"), "bucket-rows")
-    links, comps, sets = None, nodes.select("node", F.col("node").alias("comp")).limit(0), None
+    rows = stored(buckets.join(weight, "node").select(F.col("sig").alias("key"), "node", "weight"), "bucket-rows")
+    links, comps = None, nodes.select("node", F.col("node").alias("comp")).limit(0)
 
     def with_comp(table: DataFrame) -> DataFrame:
         return table.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -273,35 +275,41 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame]
         return stored(known.join(keys, "key"), "members")
 
     def add_links(pairs: DataFrame) -> None:
-        nonlocal links, comps, sets
+        nonlocal links, comps
         pairs = pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
         close = stored(_close(pairs, nodes, join), "close-pairs")
-        if sets is None:  # later pairs are of members of large buckets only
-            sets = sets_of(close.select(F.col("u").alias("node")).unionByName(close.select(F.col("v").alias("node"))).unionByName(
-                members.where(F.col("members") > FEW).select("node")).distinct())
+        if close.isEmpty():
+            return
+        sets = sets_of(close.select(F.col("u").alias("node")).unionByName(close.select(F.col("v").alias("node"))).distinct())
         new = stored(_verified(close, sets, join), "links")
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             comps = stored(components(links), "components")
 
-    for level in range(2):
-        members = open_members(rows)
+    def star(table: DataFrame) -> DataFrame:
+        """Compare few members with each other, more with the pivot; returns the rows of the larger buckets without it."""
+        members = open_members(table)
         few = members.where(F.col("members") <= FEW)
         others = few.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
         add_links(few.join(others, "key").where("node > other and comp <> other_comp").select("node", "other").unionByName(
             members.where((F.col("members") > FEW) & (F.col("comp") != F.col("pivot_comp"))).select("node", F.col("pivot").alias("other"))))
-        # buckets of few members are done; in the others all that the pivot can tell is known
-        large = members.where((F.col("members") > FEW) & (F.col("node") != F.col("pivot"))).drop("comp", "pivot_comp")
-        if large.isEmpty():
-            return comps
-        if level == 0:
-            rest = with_comp(large.select(F.xxhash64("parent", "pivot").alias("cluster"), "pivot", "node", "weight").distinct())
-            of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-            rest = stored(rest.join(of_pivot, "pivot", "left").withColumn("pivot_comp", F.coalesce("pivot_comp", "pivot")), "rest")
-            unsettled = rest.groupBy("cluster").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("cluster")
-            rows = stored(_closer_buckets(rest.join(unsettled, "cluster", "left_semi"), sets, join), "closer-buckets")
-    left = open_members(large.select("key", "node", "weight"))
-    if not left.isEmpty():
+        return members.where((F.col("members") > FEW) & (F.col("node") != F.col("pivot"))).drop("comp", "pivot_comp")
+
+    larger = star(rows)
+    # members of buckets of one pivot go on together; what the pivot can tell of them is known
+    rest = with_comp(larger.select(F.col("pivot").alias("cluster"), "pivot", "node", "weight").distinct())
+    of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+    rest = stored(rest.join(of_pivot, "pivot", "left").withColumn("pivot_comp", F.coalesce("pivot_comp", "pivot")), "rest")
+    unsettled = rest.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("a"), F.max("comp").alias("b"))
+    rest = stored(rest.join(unsettled.where("a < b").drop("a", "b"), "cluster"), "unsettled")
+    if rest.isEmpty():
+        return comps
+    add_links(_within(rest.where(F.col("members") <= MANY).select(F.col("cluster").alias("key"), "members", "node", "comp"), nodes, join))
+    huge = rest.where(F.col("members") > MANY)
+    if not huge.isEmpty():
+        of_huge = sets_of(huge.select("node").unionByName(huge.select(F.col("pivot").alias("node"))).distinct())
+        rows = stored(_closer_buckets(huge, of_huge, join), "closer-buckets")
+        left = open_members(star(rows).select("key", "node", "weight"))
         add_links(_within(left.select("key", "members", "node", "comp"), nodes, join))
     return comps
 

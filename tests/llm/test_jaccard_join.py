@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from railyard.llm import jaccard_join
 from railyard.llm.jaccard_join import Join, near_components, op9_jaccard_join
 
 
@@ -90,8 +91,10 @@ def test_unlinked_texts_that_share_much(docs_of):
     check(docs_of(texts), Join(3, 90, 100))
 
 
-def test_large_group_in_which_only_some_link(docs_of):
+@pytest.mark.parametrize("many", [20, 4096])
+def test_large_group_in_which_only_some_link(docs_of, monkeypatch, many):
     """Copies of one text with one to nine own edits, two variants of it, and copies that share edits."""
+    monkeypatch.setattr(jaccard_join, "MANY", many)
     rng = random.Random(8)
     base = [f"t{i}" for i in range(120)]
     variant = base[:40] + [f"v{i}" for i in range(9)] + base[49:]
@@ -104,8 +107,7 @@ def test_large_group_in_which_only_some_link(docs_of):
         if i % 10 == 0:
             t[rng.randrange(120)] = "again"
             texts.append(" ".join(t))
-    for join in (Join(3, 90, 100), Join(5, 8, 10)):
-        check(docs_of(texts), join)
+    check(docs_of(texts), Join(3, 90, 100) if many == 20 else Join(5, 8, 10))
 
 
 def test_edges(spark, docs_of):
