@@ -2,7 +2,8 @@
 
 An Aho-Corasick automaton over all pieces reads a text once; at each position it follows the output links to the pieces
 that end there, each of which relaxes the best score of a segmentation that ends at that position (Viterbi). Scores are
-those of the model file. Characters that no piece covers become byte pieces, at a price below every piece. Ties go to
+those of the model file; in a BPE model these are merge ranks, so the ids are the Viterbi optimum over them and not the
+ids of SentencePiece's own BPE encoder, and the file's normaliser isn't applied. Characters that no piece covers become byte pieces, at a price below every piece. Ties go to
 the segmentation whose last piece is longest.
 
 Where no piece holds a word mark after another character, the best segmentation of a text is that of its parts between
