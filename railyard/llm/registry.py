@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from railyard.llm.exact_dedup import OP8_SQL, op8_exact_dedup
+from railyard.llm.importance_sampling import OP12_SQL, op12_importance_sampling
 from railyard.llm.jaccard_join import OP9_SQL, op9_jaccard_join
 from railyard.llm.language_id import op2_language_id
 from railyard.llm.license_scan import op6_license_scan
@@ -13,6 +14,8 @@ from railyard.llm.packing import op4_packing
 from railyard.llm.pii import op5_pii
 from railyard.llm.quality_rules import op1_quality_rules
 from railyard.llm.sentence_pieces import op7_sentence_pieces
+from railyard.llm.url_filter import OP11_SQL, op11_url_filter
+from railyard.llm.whitening import op13_whitening
 
 LLM_QUERIES = {
     "op1_quality_rules": op1_quality_rules,
@@ -25,6 +28,9 @@ LLM_QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_url_filter": op11_url_filter,
+    "op12_importance_sampling": op12_importance_sampling,
+    "op13_whitening": op13_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -32,4 +38,6 @@ LLM_ORACLE_SQL = {
     "op3_line_dedup": OP3_SQL,
     "op8_exact_dedup": OP8_SQL,
     "op9_jaccard_join": OP9_SQL,
+    "op11_url_filter": OP11_SQL,
+    "op12_importance_sampling": OP12_SQL,
 }
