@@ -5,6 +5,9 @@ embeddings pages benchmark labels conversations`` are assumed registered.
 Output column names and types equal the Spark results.
 """
 
+from railyard.schemas import RAW_VEHICLE_POSITIONS
+
+_VP_ALL = RAW_VEHICLE_POSITIONS.fieldNames()
 _DAY_BUCKET = "CAST(floor(epoch(ts)/86400)*86400 AS BIGINT)"
 _CATEGORY = """CASE WHEN delay_seconds IS NULL THEN 'UNKNOWN' WHEN delay_seconds <= -60 THEN 'EARLY'
        WHEN delay_seconds <= 60 THEN 'ON_TIME' WHEN delay_seconds <= 300 THEN 'LATE' ELSE 'VERY_LATE' END"""
@@ -293,3 +296,28 @@ ORACLE_SQL["q_refresh_gold"] = ORACLE_SQL["q_transit_gold_current"]
 
 # the streaming collector path produces the same rows as the batch flatten
 ORACLE_SQL["q_stream_feed_vehicles"] = ORACLE_SQL["q_feed_vehicles"]
+
+# ── incremental and stateful streams ──
+
+ORACLE_SQL["q_stream_silver_window"] = ORACLE_SQL["q_transit_silver_window"]
+
+ORACLE_SQL["q_versions_isolated"] = f"""
+WITH old AS (
+  SELECT event_id, user_id, {_DAY_BUCKET} AS feed_timestamp, value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, {_DAY_BUCKET} ORDER BY ts DESC, event_id DESC) = 1),
+new AS (
+  SELECT event_id, user_id, feed_timestamp, value FROM (
+    SELECT event_id, user_id, {_DAY_BUCKET} AS feed_timestamp, value, ts FROM events UNION ALL
+    SELECT event_id, user_id, {_DAY_BUCKET}, value + 1, ts + INTERVAL 1 HOUR FROM events)
+  QUALIFY row_number() OVER (PARTITION BY user_id, feed_timestamp ORDER BY ts DESC, event_id DESC) = 1)
+SELECT 'staged' AS seen, * FROM old UNION ALL SELECT 'published', * FROM new UNION ALL SELECT 'old', * FROM old
+"""
+
+ORACLE_SQL["q_stream_stateful_positions"] = f"""WITH {_transit_ctes()}
+SELECT * FROM raw_vp QUALIFY row_number() OVER (PARTITION BY entity_id, feed_timestamp ORDER BY ingested_at DESC,
+  {_asc(c for c in _VP_ALL if c not in ("entity_id", "feed_timestamp", "ingested_at"))}) = 1"""
+
+# the second copies up to the watermark of the first ones, three days behind, come too late
+ORACLE_SQL["q_stream_late_rows"] = f"""WITH {_transit_ctes()},
+closed AS (SELECT count(*) AS n FROM raw_vp WHERE feed_timestamp <= (SELECT max(feed_timestamp) FROM raw_vp) - {3 * 86400})
+SELECT 2 * n AS raw_rows, n AS merged_rows, n AS late_rows FROM closed"""

@@ -13,26 +13,37 @@ from pyspark.sql import functions as F
 
 from railyard.operators.flatten import flatten_vehicles
 from railyard.plans.feed_standins import INGESTED_AT_MICROS, write_vehicle_snapshots
-from railyard.plans.standins import events_as_positions, table
+from railyard.plans.standins import DAY, events_as_positions, table
 from railyard.plans.silver import silver_trip_updates, silver_vehicle_positions
 from railyard.plans.transit_standins import _inputs, as_epoch_micros
 from railyard.schemas import RAW_VEHICLE_POSITIONS
 from railyard.sources.raw import read_feed
 from railyard.session import scratch_path
+from railyard.operators.latest import POSITION_KEYS
+from railyard.sources import versions
 from railyard.streaming.append import stream_raw
-from railyard.streaming.incremental import read_current, stream_latest, stream_silver_positions, stream_silver_trip_updates
+from railyard.streaming.incremental import (
+    merge_batch,
+    publish_batch,
+    read_current,
+    stage_batch,
+    stream_latest,
+    stream_silver_positions,
+    stream_silver_trip_updates,
+)
+from railyard.streaming.stateful import late_report, stream_closed, with_open_keys
 
 # a landing is consumed in about this many micro-batches
 BATCHES = 4
 ROWS_PER_FILE = 500_000
 
 
-def land(df: DataFrame, path: str, by: str | None = None) -> int:
-    """Write ``df`` to ``path`` as files of about ROWS_PER_FILE rows, at least
-    BATCHES of them (hash split on ``by``); returns the files to read per trigger."""
-    files = max(BATCHES, -(-df.count() // ROWS_PER_FILE))
+def land(df: DataFrame, path: str, by: str | None = None, at_least: int = BATCHES) -> int:
+    """Write ``df`` to ``path`` as files of about ROWS_PER_FILE rows, ``at_least``
+    so many (hash split on ``by``); returns the files to read per trigger."""
+    files = max(at_least, -(-df.count() // ROWS_PER_FILE))
     (df.repartition(files, by) if by else df.repartition(files)).write.parquet(path)
-    return -(-files // BATCHES)
+    return -(-files // at_least)
 
 
 def _stream(spark: SparkSession, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
@@ -108,3 +119,70 @@ def q_stream_silver_trip_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, ckpt = scratch_path(spark, "slv-tu"), scratch_path(spark, "slv-tu-ckpt")
     stream_silver_trip_updates(_stream(spark, i["raw_tu"], "slv-tu"), target, ckpt, bucket_seconds=365 * 86400).awaitTermination()
     return as_epoch_micros(silver_trip_updates(read_current(spark, target), i["routes"], i["stops"], i["trips"], deduplicated=True))
+
+
+def q_stream_silver_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental silver that keeps two days of event time; equals the batch window."""
+    i = _inputs(spark, sf_dir)
+    target, ckpt = scratch_path(spark, "slv-window"), scratch_path(spark, "slv-window-ckpt")
+    stream_silver_positions(_stream(spark, i["raw_vp"], "slv-window"), target, ckpt, bucket_seconds=DAY,
+                            retain_seconds=2 * DAY).awaitTermination()
+    return as_epoch_micros(silver_vehicle_positions(read_current(spark, target), i["routes"], i["stops"], i["trips"],
+                                                    deduplicated=True))
+
+
+def q_versions_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What readers see while a batch of newer copies of all events is merged: after it is staged (the old version,
+    whole), after it is published (the new one), and the old version asked for by then."""
+    ev = events_as_positions(table(spark, sf_dir, "events"))
+    newer = ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 HOUR")).withColumn("value", F.col("value") + 1)
+    target = scratch_path(spark, "isolated")
+    how = dict(keys=["user_id", "feed_timestamp"], order=["ts"], tie_breakers=[F.col("event_id").desc()])
+    old = merge_batch(ev, 0, target, bucket=F.col("feed_timestamp"), **how)
+    staged = stage_batch(newer.withColumn(versions.PART, F.col("feed_timestamp")), target, base=old, **how)
+    seen = {"staged": read_current(spark, target)}
+    publish_batch(spark, target, staged, "batch", 1)
+    seen["published"], seen["old"] = read_current(spark, target), read_current(spark, target, old)
+    out = [df.select(F.lit(when).alias("seen"), "event_id", "user_id", "feed_timestamp", "value") for when, df in seen.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+SLICES = 4
+
+
+def _in_time_order(spark: SparkSession, raw: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """A stream of ``raw`` in SLICES slices of event time, one a trigger, in which a copy stamped at an odd second comes
+    a slice late; and the lateness that covers it."""
+    landing, plain = scratch_path(spark, f"{name}-landing"), scratch_path(spark, f"{name}-raw")
+    raw.write.parquet(plain)
+    raw = spark.read.schema(raw.schema).parquet(plain)
+    low, high = raw.agg(F.min("feed_timestamp"), F.max("feed_timestamp")).first()
+    width = max(-(-(high - low + 1) // SLICES), 1)
+    at = F.floor((F.col("feed_timestamp") - low) / width) + F.unix_seconds("ingested_at") % 2
+    files = 0
+    for i in range(SLICES + 1):  # one write after the other: the source reads files in the order they came
+        files = max(files, land(raw.where(at == i), f"{landing}/slice={i}", "entity_id", at_least=1))
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{landing}/*")
+    return stream, 2 * width
+
+
+def q_stream_stateful_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The real 27-column raw positions, de-duplicated by the state store; closed rows and open keys together equal
+    the batch de-duplication."""
+    raw = _inputs(spark, sf_dir)["raw_vp"]
+    stream, lateness = _in_time_order(spark, raw, "stateful")
+    out, ckpt = scratch_path(spark, "stateful"), scratch_path(spark, "stateful-ckpt")
+    stream_closed(stream, out, ckpt, POSITION_KEYS, lateness_seconds=lateness).awaitTermination()
+    return as_epoch_micros(with_open_keys(spark.read.parquet(out), raw, POSITION_KEYS))
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw positions, then, in a second run of the query, a copy of each: copies more than three days behind the
+    newest one come too late."""
+    raw = _inputs(spark, sf_dir)["raw_vp"]
+    landing, out, ckpt = (scratch_path(spark, f"late-{name}") for name in ("landing", "out", "ckpt"))
+    for i in range(2):
+        land(raw, f"{landing}/copy={i}", "entity_id", at_least=1)
+        stream = spark.readStream.schema(raw.schema).parquet(f"{landing}/*")
+        stream_closed(stream, out, ckpt, POSITION_KEYS, lateness_seconds=3 * DAY).awaitTermination()
+    return late_report(spark.read.parquet(out), spark.read.schema(raw.schema).parquet(f"{landing}/copy=0", f"{landing}/copy=1"))

@@ -11,6 +11,7 @@ from railyard.session import scratch_path
 from railyard.sources.raw import read_feed
 from railyard.streaming.append import stream_raw
 from railyard.sources.sinks import StreamManaged, append_raw
+from railyard.sources import files, versions
 from railyard.streaming import incremental
 from railyard.streaming.incremental import merge_batch, read_current, stream_latest
 
@@ -118,17 +119,21 @@ def test_stream_append_date_partitioned(spark):
     assert got == [("2023-11-14", 1), ("2023-11-14", 2), ("2023-11-15", 1)]
 
 
-def test_staging_is_bounded_to_two_slots(spark):
-    import os
-    target = scratch_path(spark, "slots")
-    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
-    for i in range(5):
-        merge_batch(_batch(spark, [("a", 1, i, f"v{i}")]), i, target, **args)
-    staged = target[len("file:"):] if target.startswith("file:") else target
-    slots = sorted(os.listdir(f"{staged}/_staged"))
-    assert slots == ["batch-0", "batch-0-done", "batch-1", "batch-1-done"]
-    assert incremental.staged_batch(spark, target, 4, "batch") and not incremental.staged_batch(spark, target, 2, "batch")
-    assert [tuple(r) for r in read_current(spark, target).collect()] == [("a", 1, 4, "v4")]
+def test_storage_is_bounded_by_the_kept_versions(spark, monkeypatch):
+    monkeypatch.setattr(incremental, "VACUUM_EVERY", 1)
+    target = scratch_path(spark, "kept")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"), keep=2)
+    for i in range(6):
+        merge_batch(_batch(spark, [("a", 1, i, f"v{i}"), ("b", i, i, "x")]), i, target, **args)
+    # the versions kept at the last merge, and the one it made
+    assert [v.number for v in versions.history(spark, target)] == [4, 5, 6]
+    batches = files.children(spark, f"{target}/data")
+    live = {r[0] for v in versions.history(spark, target) for r in versions.manifest_of(spark, target, v).select("__batch").collect()}
+    assert {b.removeprefix("__batch=") for b in batches} == live
+    got = sorted(map(tuple, read_current(spark, target).collect()))
+    assert got == sorted([("a", 1, 5, "v5")] + [("b", i, i, "x") for i in range(6)])
+    before = versions.history(spark, target)[0]
+    assert ("a", 1, 3, "v3") in [tuple(r) for r in read_current(spark, target, before).collect()]
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -153,18 +158,102 @@ def test_incremental_merge_equals_batch_under_replays(spark, batches, replays):
     assert sorted(map(tuple, read_current(spark, target).collect())) == expect
 
 
-def test_replay_after_crash_between_stage_and_swap(spark):
-    from railyard.streaming.incremental import stage_batch
-    target = scratch_path(spark, "crash")
+STEPS = ["write_batch", "entries", "manifest", "record", "after"]
+
+
+@pytest.mark.parametrize("step", STEPS)
+def test_a_crash_at_any_step_keeps_the_old_version_whole_and_is_replayed(spark, monkeypatch, step):
+    target = scratch_path(spark, f"crash-{step}")
     args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
-    merge_batch(_batch(spark, [("a", 1, 1, "old"), ("b", 1, 1, "b")]), 0, target, **args)
+    merge_batch(_batch(spark, [("a", 1, 1, "old"), ("b", 1, 1, "b"), ("c", 2, 1, "c")]), 0, target, **args)
+    old = [("a", 1, 1, "old"), ("b", 1, 1, "b"), ("c", 2, 1, "c")]
+    new = [("a", 1, 5, "new"), ("b", 1, 1, "b"), ("c", 2, 1, "c")]
     late = _batch(spark, [("a", 1, 5, "new")])
-    staged = stage_batch(late, 1, target, **args)  # ... and the driver dies before the swap
-    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 1, "old"), ("b", 1, 1, "b")]
-    # the restarted query replays batch 1: its committed staging is reused, then swapped in
-    assert stage_batch(late.limit(0), 1, target, **args) == staged
-    merge_batch(late, 1, target, **args)
+    name = {"manifest": "manifest_of", "record": "_record", "after": "_record"}.get(step, step)
+    real = getattr(versions, name)
+
+    def dies(*a, **kw):
+        if step == "after" or step == "write_batch":
+            real(*a, **kw)  # the step is done, then the driver dies
+        raise OSError(step)
+
+    if step == "manifest":
+        monkeypatch.setattr(versions, "publish", lambda *a, **kw: dies())
+    else:
+        monkeypatch.setattr(versions, name, dies)
+    with pytest.raises(OSError):
+        merge_batch(late, 1, target, **args)
+    monkeypatch.undo()
+    seen = sorted(map(tuple, read_current(spark, target).collect()))
+    assert seen == (new if step == "after" else old)
+    merge_batch(late, 1, target, **args)  # the restarted query replays batch 1
+    assert sorted(map(tuple, read_current(spark, target).collect())) == new
+    assert versions.current(spark, target).number == 2
+    versions.vacuum(spark, target, keep=1)
+    assert sorted(map(tuple, read_current(spark, target).collect())) == new
+    assert len(files.children(spark, f"{target}/data")) == 2  # day 1 from batch 1, day 2 from batch 0
+
+
+def test_readers_between_stage_and_publish_see_the_old_version(spark):
+    target = scratch_path(spark, "between")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[])
+    merge_batch(_batch(spark, [("a", 1, 1, "old"), ("b", 1, 1, "b")]), 0, target, bucket=F.col("day"), **args)
+    opened = read_current(spark, target)
+    base = versions.current(spark, target)
+    late = _batch(spark, [("a", 1, 5, "new")]).withColumn("__bucket", F.col("day"))
+    staged = incremental.stage_batch(late, target, base=base, **args)
+    old = [("a", 1, 1, "old"), ("b", 1, 1, "b")]
+    assert sorted(map(tuple, read_current(spark, target).collect())) == old
+    incremental.publish_batch(spark, target, staged, "batch", 1)
     assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 5, "new"), ("b", 1, 1, "b")]
+    # a reader that was opened before, and one that asks for the old version
+    assert sorted(map(tuple, opened.collect())) == old
+    assert sorted(map(tuple, read_current(spark, target, base).collect())) == old
+
+
+def test_two_writers_are_told_apart(spark):
+    target = scratch_path(spark, "writers")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[])
+    first = incremental.stage_batch(_batch(spark, [("a", 1, 1, "x")]).withColumn("__bucket", F.col("day")), target, base=None, **args)
+    other = incremental.stage_batch(_batch(spark, [("b", 1, 1, "y")]).withColumn("__bucket", F.col("day")), target, base=None, **args)
+    incremental.publish_batch(spark, target, first, "one", 0)
+    with pytest.raises(versions.ConcurrentWriters):
+        incremental.publish_batch(spark, target, other, "two", 0)
+
+
+def test_null_and_negative_buckets(spark):
+    target = scratch_path(spark, "odd")
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
+    merge_batch(_batch(spark, [("a", None, 1, "x"), ("b", -5, 1, "y")]), 0, target, **args)
+    merge_batch(_batch(spark, [("a", None, 2, "z"), ("c", None, 1, "w")]), 1, target, **args)
+    got = sorted(map(tuple, read_current(spark, target).collect()), key=str)
+    assert got == sorted([("a", None, 2, "z"), ("c", None, 1, "w"), ("b", -5, 1, "y")], key=str)
+
+
+def test_retention_equals_the_batch_window(spark):
+    """Buckets beyond the window leave; one that straddles it is cut on read; late rows beyond it are counted."""
+    target, hour = scratch_path(spark, "window"), 3600
+    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day") - F.pmod("day", F.lit(hour)),
+                event_time="day", retain_seconds=2 * hour)
+    batches = [[("a", 100, 1, "old"), ("b", 4000, 1, "b"), ("n", None, 1, "null")],
+               [("c", 2 * hour + 50, 1, "c"), ("cut", 2 * hour + 10, 1, "cut"), ("b", 4000, 2, "b2")],
+               [("d", 3 * hour + 500, 1, "d"), ("late", 10, 9, "too late")],
+               [("late", 20, 9, "only late rows")],
+               [("e", 4 * hour + 40, 1, "e")]]
+    every = []
+    for i, rows in enumerate(batches):
+        every += rows
+        merge_batch(_batch(spark, rows), i, target, **args)
+        newest = max(r[1] for r in every if r[1] is not None)
+        kept = [r for r in every if r[1] is not None and r[1] >= newest - 2 * hour]
+        want = keep_latest(_batch(spark, kept), ["k", "day"], ["seq"], [])
+        assert sorted(map(tuple, read_current(spark, target).collect())) == sorted(map(tuple, want.collect()))
+    assert [v.note["late"] for v in versions.history(spark, target)] == ["0", "0", "1", "0"]
+    last = versions.manifest_of(spark, target, versions.current(spark, target))
+    assert sorted(r["__bucket"] for r in last.collect()) == [2 * hour, 3 * hour, 4 * hour]
+    versions.vacuum(spark, target, keep=1)
+    left = [b for d in files.children(spark, f"{target}/data") for b in files.children(spark, f"{target}/data/{d}")]
+    assert not any(b in ("__bucket=0", "__bucket=__HIVE_DEFAULT_PARTITION__") for b in left)
 
 
 def test_empty_batches_change_nothing(spark):
@@ -188,23 +277,7 @@ def test_two_checkpoints_on_one_target_lose_nothing(spark):
     assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 3, "z"), ("b", 1, 2, "y")]
 
 
-def test_incomplete_staging_is_written_again(spark, monkeypatch):
-    target = scratch_path(spark, "again")
-    args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
-    merge_batch(_batch(spark, [("a", 1, 1, "old")]), 0, target, **args)
-    rows = _batch(spark, [("a", 1, 2, "new"), ("b", 2, 1, "b")])
-    real = incremental._overwrite
-    monkeypatch.setattr(incremental, "_overwrite", lambda df: (_ for _ in ()).throw(OSError) if df.columns == ["batch_id"] else real(df))
-    with pytest.raises(OSError):
-        merge_batch(rows, 1, target, **args)  # dies after the slot, before its record
-    monkeypatch.undo()
-    assert incremental.staged_batch(spark, target, 1, "batch") is None
-    merge_batch(rows, 1, target, **args)
-    assert sorted(map(tuple, read_current(spark, target).collect())) == [("a", 1, 2, "new"), ("b", 2, 1, "b")]
-
-
-def test_many_buckets_are_joined_instead_of_named(spark, monkeypatch):
-    monkeypatch.setattr(incremental, "NAMED_BUCKETS", 1)
+def test_many_buckets(spark):
     target = scratch_path(spark, "many")
     args = dict(keys=["k", "day"], order=["seq"], tie_breakers=[], bucket=F.col("day"))
     merge_batch(_batch(spark, [("a", d, 1, "old") for d in range(4)]), 0, target, **args)
