@@ -1,14 +1,13 @@
 """Feed snapshots built from the driver's tables, then read back through the
 feed source and flattened — the collectors' data path end to end.
 
-* vehicle snapshots <- events: one entity per event (id = event_id, vehicle =
-  trip = user_id, route = event_type, stop = ``k`` of props, speed = value),
-  one snapshot per UTC day of ts; the trip schedule relationship is ``k``
-  (0-8 are names, the rest unknown numbers), the stop status is NULL (unset)
-  for view events, and the occupancy status is the length of event_type.
+* vehicle snapshots <- events: one entity per event, one snapshot per UTC day
+  of ts. Every field has a value of its own; fields that count on the event
+  number are unset for view events, and enum numbers run past the last name.
 * trip-update snapshots <- lineitem ⋈ orders: one entity per (order, ship
   day) holding its lines as stop-time updates (arrival absent for returned
-  lines, departure absent for finished ones), one snapshot per ship day.
+  lines, departure absent for finished ones, the stop relationship unset from
+  the sixth line on), one snapshot per ship day.
 
 Entity and stop lists are nested with bounded arrays (see ``nest_bounded``),
 written as JSON lines to the shared scratch space and read back with the
@@ -36,7 +35,7 @@ def _snapshots(entities: DataFrame, snapshot_col: str, path: str) -> str:
     """Nest entities per snapshot time, write one JSON snapshot per line."""
     nested = nest_bounded(entities, [snapshot_col], "entity", F.col("e"))
     header = F.struct(F.lit("2.0").alias("gtfs_realtime_version"),
-                      F.lit(None).cast("int").alias("incrementality"),
+                      F.pmod(F.floor(F.col(snapshot_col) / DAY), F.lit(2)).cast("int").alias("incrementality"),
                       F.col(snapshot_col).alias("timestamp"))
     nested.select(header.alias("header"), "entity").write.json(path)
     return path
@@ -53,23 +52,28 @@ def vehicle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_vehicle_snapshots(spark: SparkSession, sf_dir: str) -> str:
     """Write the vehicle snapshots built from ``events``; returns the folder."""
     ev = table(spark, sf_dir, "events")
-    uid = F.col("user_id").cast("string")
+    nr = F.when(F.col("event_type") != "view", F.col("event_id"))  # else unset
     e = F.struct(
         F.col("event_id").cast("string").alias("id"),
         F.struct(
-            F.struct(uid.alias("trip_id"), F.col("event_type").alias("route_id"),
-                     F.lit(None).cast("long").alias("direction_id"), _k().alias("schedule_relationship"))
-            .alias("trip"),
-            F.struct(uid.alias("id"), F.col("event_type").alias("label")).alias("vehicle"),
+            F.struct(F.concat(F.lit("t"), "user_id").alias("trip_id"), F.concat(F.lit("r"), "event_type").alias("route_id"),
+                     (nr % 2).alias("direction_id"), F.date_format("ts", "HH:mm:ss").alias("start_time"),
+                     F.date_format("ts", "yyyyMMdd").alias("start_date"), _k().alias("schedule_relationship")).alias("trip"),
+            F.struct(F.concat(F.lit("v"), "user_id").alias("id"), F.col("event_type").alias("label"),
+                     F.concat(F.lit("P"), nr).alias("license_plate"),
+                     (nr % 5).cast("int").alias("wheelchair_accessible")).alias("vehicle"),
             F.struct(F.col("value").cast("float").alias("latitude"),
-                     (-F.col("value")).cast("float").alias("longitude"),
-                     F.col("value").alias("odometer"),
-                     F.col("value").cast("float").alias("speed")).alias("position"),
+                     (-F.col("value") / 2).cast("float").alias("longitude"),
+                     (nr % 360).cast("float").alias("bearing"),
+                     (F.col("value") * 10 + F.col("event_id")).alias("odometer"),
+                     (F.col("value") / 4).cast("float").alias("speed")).alias("position"),
             F.col("event_id").alias("current_stop_sequence"),
             _k().cast("string").alias("stop_id"),
-            F.when(F.col("event_type") != "view", F.length("event_type") - 4).alias("current_status"),
+            (nr % 4).cast("int").alias("current_status"),
             epoch_seconds("ts").alias("timestamp"),
-            F.length("event_type").alias("occupancy_status"),
+            (nr % 6).cast("int").alias("congestion_level"),
+            (nr % 10).cast("int").alias("occupancy_status"),
+            (nr % 101).alias("occupancy_percentage"),
         ).alias("vehicle"),
     )
     entities = ev.select(bucket_start(epoch_seconds("ts"), DAY).alias("snap"), e.alias("e"))
@@ -82,22 +86,31 @@ def trip_update_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, "l_orderkey").withColumn("snap", epoch_seconds("l_shipdate")) \
         .withColumn("mins", F.datediff("l_shipdate", "o_orderdate") * 60)
+    nr = F.col("l_linenumber")
     stop = F.struct(
-        F.col("l_linenumber").cast("long").alias("stop_sequence"),
+        nr.cast("long").alias("stop_sequence"),
         F.col("l_partkey").cast("string").alias("stop_id"),
+        F.when(nr < 6, nr).alias("schedule_relationship"),
         F.when(F.col("l_returnflag") != "R", F.struct(
-            F.col("mins").alias("delay"), F.col("snap").alias("time"))).alias("arrival"),
+            F.col("mins").alias("delay"), (F.col("snap") + F.col("mins")).alias("time"),
+            F.col("l_suppkey").cast("int").alias("uncertainty"))).alias("arrival"),
         F.when(F.col("l_linestatus") != "F", F.struct(
-            (F.col("mins") + 30).alias("delay"), F.col("snap").alias("time"))).alias("departure"),
+            (F.col("mins") + 30).alias("delay"), (F.col("snap") + F.col("mins") + 1800).alias("time"),
+            F.col("l_quantity").cast("int").alias("uncertainty"))).alias("departure"),
     )
-    trips = nest_bounded(j, ["l_orderkey", "o_custkey", "o_orderpriority", "snap"], "stops", stop)
+    trips = nest_bounded(j, ["l_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "snap"], "stops", stop)
+    order = F.col("l_orderkey")
     e = F.struct(
-        F.col("l_orderkey").cast("string").alias("id"),
+        order.cast("string").alias("id"),
         F.struct(
-            F.struct(F.col("l_orderkey").cast("string").alias("trip_id"),
-                     F.col("o_custkey").cast("string").alias("route_id")).alias("trip"),
-            F.struct(F.col("o_custkey").cast("string").alias("id"),
-                     F.col("o_orderpriority").alias("label")).alias("vehicle"),
+            F.struct(F.concat(F.lit("t"), order).alias("trip_id"), F.concat(F.lit("r"), "o_custkey").alias("route_id"),
+                     (order % 2).alias("direction_id"),
+                     F.concat(F.lpad((order % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("start_time"),
+                     F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
+                     (order % 10).cast("int").alias("schedule_relationship")).alias("trip"),
+            F.struct(F.concat(F.lit("v"), "o_custkey").alias("id"), F.col("o_orderpriority").alias("label")).alias("vehicle"),
+            (order % 1000).cast("int").alias("delay"),
+            (F.col("snap") + 5).alias("timestamp"),
             F.col("stops").alias("stop_time_update"),
         ).alias("trip_update"),
     )

@@ -5,9 +5,9 @@ embeddings pages benchmark labels conversations`` are assumed registered.
 Output column names and types equal the Spark results.
 """
 
-from railyard.schemas import RAW_VEHICLE_POSITIONS
+from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
 
-_VP_ALL = RAW_VEHICLE_POSITIONS.fieldNames()
+_VP_ALL, _TU_ALL = RAW_VEHICLE_POSITIONS.fieldNames(), RAW_TRIP_UPDATES.fieldNames()
 _DAY_BUCKET = "CAST(floor(epoch(ts)/86400)*86400 AS BIGINT)"
 _CATEGORY = """CASE WHEN delay_seconds IS NULL THEN 'UNKNOWN' WHEN delay_seconds <= -60 THEN 'EARLY'
        WHEN delay_seconds <= 60 THEN 'ON_TIME' WHEN delay_seconds <= 300 THEN 'LATE' ELSE 'VERY_LATE' END"""
@@ -111,7 +111,7 @@ WITH d AS (
 SELECT d.user_id AS entity_id, d.feed_timestamp, date_trunc('day', d.ts) AS feed_time,
   c.c_name AS route_long_name, n.n_name AS stop_name, d.value AS speed,
   round(CAST(d.value AS FLOAT) * CAST(3.6 AS DOUBLE), 1) AS speed_kmh
-FROM d LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON d.user_id = c.c_custkey
+FROM d LEFT JOIN customer c ON d.user_id * 12 = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """,
     "q_silver_trip_updates": f"""
@@ -124,7 +124,7 @@ s AS (
   FROM d LEFT JOIN orders o ON d.l_orderkey = o.o_orderkey)
 SELECT s.l_orderkey AS trip_id, s.l_linenumber AS stop_sequence, p.p_name AS stop_name,
   u.s_name AS route_long_name, s.delay_seconds, {_CATEGORY} AS delay_category
-FROM s LEFT JOIN (SELECT * FROM part WHERE p_size > 5) p ON s.l_partkey = p.p_partkey
+FROM s LEFT JOIN part p ON s.l_partkey + 50 = p.p_partkey
 LEFT JOIN supplier u ON s.l_suppkey = u.s_suppkey
 """,
 }
@@ -145,34 +145,57 @@ _TU_REST = ("trip_id route_id direction_id start_time start_date schedule_relati
             "stop_schedule_relationship").split()
 
 
+# Enum names by number; NULL stands for a number without a name
+_INCREMENTALITY = ["FULL_DATASET", "DIFFERENTIAL"]
+_TRIP_RELATIONSHIP = ["SCHEDULED", "ADDED", "UNSCHEDULED", "CANCELED", None, "REPLACEMENT", "DUPLICATED", "DELETED", "NEW"]
+_STOP_RELATIONSHIP = ["SCHEDULED", "SKIPPED", "NO_DATA", "UNSCHEDULED"]
+_STOP_STATUS = ["INCOMING_AT", "STOPPED_AT", "IN_TRANSIT_TO"]
+_CONGESTION = ["UNKNOWN_CONGESTION_LEVEL", "RUNNING_SMOOTHLY", "STOP_AND_GO", "CONGESTION", "SEVERE_CONGESTION"]
+_OCCUPANCY = ["EMPTY", "MANY_SEATS_AVAILABLE", "FEW_SEATS_AVAILABLE", "STANDING_ROOM_ONLY", "CRUSHED_STANDING_ROOM_ONLY",
+              "FULL", "NOT_ACCEPTING_PASSENGERS", "NO_DATA_AVAILABLE", "NOT_BOARDABLE"]
+_WHEELCHAIR = ["NO_VALUE", "UNKNOWN", "WHEELCHAIR_ACCESSIBLE", "WHEELCHAIR_INACCESSIBLE"]
+
+
+def _pick(names, number, unset=None):
+    """The name of ``number``, the number itself where it has none, ``unset`` for NULL."""
+    listed = ", ".join("NULL" if n is None else f"'{n}'" for n in names)
+    found = f"coalesce(list_extract([{listed}], CAST({number} AS BIGINT) + 1), CAST({number} AS VARCHAR))"
+    return f"CASE WHEN ({number}) IS NULL THEN '{unset}' ELSE {found} END" if unset else found
+
+
 def _asc(cols):
     return ", ".join(f"{c} ASC NULLS FIRST" for c in cols)
 
 
-def _transit_ctes(vp_window_seconds=None):
+def _transit_ctes(vp_window_seconds=None, copies=2):
     vp_filter = ""
     if vp_window_seconds:
         vp_filter = f"WHERE feed_timestamp >= (SELECT max(feed_timestamp) FROM raw_vp) - {vp_window_seconds}"
     return f"""
 raw_vp AS (
-  SELECT CAST(user_id AS VARCHAR) AS entity_id, {_DAY_BUCKET} AS feed_timestamp,
-    '2.0' AS gtfs_realtime_version, 'FULL_DATASET' AS incrementality,
-    CAST(user_id AS VARCHAR) AS trip_id, CAST(user_id AS VARCHAR) AS route_id, 0 AS direction_id,
-    '' AS start_time, strftime(ts, '%Y%m%d') AS start_date, 'SCHEDULED' AS schedule_relationship,
-    CAST(user_id AS VARCHAR) AS vehicle_id, event_type AS vehicle_label, '' AS license_plate,
-    'NO_VALUE' AS wheelchair_accessible, CAST(value AS FLOAT) AS latitude, CAST(-value AS FLOAT) AS longitude,
-    CAST(0 AS FLOAT) AS bearing, value AS odometer,
-    CASE WHEN event_type <> 'error' THEN CAST(value AS FLOAT) END AS speed,
-    0 AS current_stop_sequence, json_extract_string(props, '$.k') AS stop_id, 'IN_TRANSIT_TO' AS current_status,
-    CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp, 'UNKNOWN_CONGESTION_LEVEL' AS congestion_level,
-    'EMPTY' AS occupancy_status, 0 AS occupancy_percentage, epoch_us(ts) AS ingested_at
-  FROM events),
+  SELECT 'e' || user_id AS entity_id, {_DAY_BUCKET} AS feed_timestamp,
+    '2.0' AS gtfs_realtime_version, {_pick(_INCREMENTALITY, 'event_id % 2')} AS incrementality,
+    CAST(user_id * 150 AS VARCHAR) AS trip_id, CAST(user_id * 12 + 1 AS VARCHAR) AS route_id,
+    CAST(user_id % 2 AS INT) AS direction_id,
+    strftime(ts, '%H:%M:%S') AS start_time, strftime(ts, '%Y%m%d') AS start_date,
+    {_pick(_TRIP_RELATIONSHIP, 'k % 9')} AS schedule_relationship,
+    'v' || (user_id % 97) AS vehicle_id, event_type AS vehicle_label, 'P' || event_id AS license_plate,
+    {_pick(_WHEELCHAIR, 'user_id % 4')} AS wheelchair_accessible, CAST(value AS FLOAT) AS latitude,
+    CAST(-value / 2 AS FLOAT) AS longitude,
+    CAST(event_id % 360 AS FLOAT) AS bearing, value * 10 + event_id AS odometer,
+    CASE WHEN event_type <> 'error' THEN CAST(value / 4 AS FLOAT) END AS speed,
+    CAST(event_id % 40 AS INT) AS current_stop_sequence, CAST(k * 25 AS VARCHAR) AS stop_id,
+    {_pick(_STOP_STATUS, 'event_id % 3')} AS current_status,
+    CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp, {_pick(_CONGESTION, 'event_id % 5')} AS congestion_level,
+    {_pick(_OCCUPANCY, 'event_id % 9')} AS occupancy_status, CAST(event_id % 101 AS INT) AS occupancy_percentage,
+    epoch_us(ts) AS ingested_at
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events)),
 routes AS (
   SELECT CAST(c_custkey AS VARCHAR) AS route_id, c_mktsegment AS route_short_name, c_name AS route_long_name,
-    c_nationkey AS route_type FROM customer WHERE c_acctbal > 0),
+    c_nationkey % 8 AS route_type FROM customer),
 stops AS (
   SELECT CAST(p_partkey AS VARCHAR) AS stop_id, p_name AS stop_name, p_retailprice AS stop_lat,
-    CAST(p_size AS DOUBLE) AS stop_lon FROM part WHERE p_size > 5),
+    CAST(-p_size AS DOUBLE) AS stop_lon FROM part),
 trips AS (SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, o_orderpriority AS trip_headsign FROM orders),
 vp AS (
   SELECT * FROM raw_vp {vp_filter}
@@ -188,25 +211,27 @@ slv_vp AS (
     vp.ingested_at
   FROM vp LEFT JOIN routes r ON vp.route_id = r.route_id LEFT JOIN stops s ON vp.stop_id = s.stop_id
   LEFT JOIN trips t ON vp.trip_id = t.trip_id),
-shift AS (
-  SELECT (SELECT CAST(floor(floor(epoch(max(ts))) / 86400) * 86400 AS BIGINT) FROM events)
-       - (SELECT CAST(floor(floor(epoch(max(l_shipdate))) / 86400) * 86400 AS BIGINT) FROM lineitem) AS s),
 lo AS (
   SELECT l.*, o.o_custkey, o.o_orderdate, o.o_orderpriority,
-    CAST(floor(epoch(l.l_shipdate)) AS BIGINT) + (SELECT s FROM shift) AS fts,
+    (SELECT CAST(floor(floor(epoch(max(ts))) / 86400) * 86400 AS BIGINT) FROM events)
+      - (date_diff('day', l.l_shipdate, (SELECT max(l_shipdate) FROM lineitem)) % 28) * 86400 AS fts,
     CAST(date_diff('day', o.o_orderdate, l.l_shipdate) * 60 AS INT) AS mins
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 raw_tu AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, fts AS feed_timestamp, '2.0' AS gtfs_realtime_version,
-    'FULL_DATASET' AS incrementality, CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id,
-    0 AS direction_id, '' AS start_time, strftime(o_orderdate, '%Y%m%d') AS start_date,
-    'SCHEDULED' AS schedule_relationship, CAST(o_custkey AS VARCHAR) AS vehicle_id, o_orderpriority AS vehicle_label,
-    mins AS trip_delay, fts AS trip_timestamp, l_linenumber AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop_id,
-    CASE WHEN l_returnflag <> 'R' THEN mins END AS arrival_delay, fts AS arrival_time, 0 AS arrival_uncertainty,
-    CASE WHEN l_linestatus <> 'F' THEN mins + 30 END AS departure_delay, fts AS departure_time,
-    0 AS departure_uncertainty, 'SCHEDULED' AS stop_schedule_relationship,
-    fts * 1000000 + CAST(l_quantity * 1000000 AS BIGINT) AS ingested_at
-  FROM lo),
+  SELECT 't' || l_orderkey AS entity_id, fts AS feed_timestamp, '2.0' AS gtfs_realtime_version,
+    {_pick(_INCREMENTALITY, 'l_linenumber % 2')} AS incrementality, CAST(l_orderkey AS VARCHAR) AS trip_id,
+    CAST(o_custkey + 100 AS VARCHAR) AS route_id, CAST(l_orderkey % 2 AS INT) AS direction_id,
+    lpad(CAST(l_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00' AS start_time, strftime(o_orderdate, '%Y%m%d') AS start_date,
+    {_pick(_TRIP_RELATIONSHIP, 'l_orderkey % 9')} AS schedule_relationship, 'v' || (o_custkey % 97) AS vehicle_id,
+    o_orderpriority AS vehicle_label, mins + copy AS trip_delay, fts + l_linenumber AS trip_timestamp,
+    l_linenumber AS stop_sequence, CAST(l_partkey + 50 AS VARCHAR) AS stop_id,
+    CASE WHEN l_returnflag <> 'R' THEN mins + 2 * copy END AS arrival_delay, fts + mins AS arrival_time,
+    CAST(l_suppkey AS INT) AS arrival_uncertainty,
+    CASE WHEN l_linestatus <> 'F' THEN mins + 30 + 3 * copy END AS departure_delay, fts + mins + 1800 AS departure_time,
+    CAST(l_quantity AS INT) AS departure_uncertainty,
+    {_pick(_STOP_RELATIONSHIP, 'l_linenumber % 4')} AS stop_schedule_relationship,
+    (fts + 60 * copy) * 1000000 + CAST(l_quantity * 1000000 AS BIGINT) AS ingested_at
+  FROM lo, (SELECT CAST(c AS INT) AS copy FROM range({copies}) r(c))),
 tu AS (
   SELECT * FROM raw_tu
   QUALIFY row_number() OVER (PARTITION BY entity_id, feed_timestamp, stop_sequence
@@ -228,6 +253,9 @@ slv_tu AS (
 
 ORACLE_SQL["q_transit_silver_positions"] = f"WITH {_transit_ctes()} SELECT * FROM slv_vp"
 ORACLE_SQL["q_transit_silver_trip_updates"] = f"WITH {_transit_ctes()} SELECT * FROM slv_tu"
+ORACLE_SQL["q_transit_dedup_trip_updates"] = f"""WITH {_transit_ctes(copies=5)}
+SELECT * FROM raw_tu QUALIFY row_number() OVER (PARTITION BY entity_id, feed_timestamp, stop_sequence
+  ORDER BY ingested_at DESC, {_asc(c for c in _TU_ALL if c not in ("entity_id", "feed_timestamp", "stop_sequence", "ingested_at"))}) = 1"""
 ORACLE_SQL["q_transit_silver_window"] = f"WITH {_transit_ctes(2 * 86400)} SELECT * FROM slv_vp"
 ORACLE_SQL["q_transit_gold_current"] = f"""WITH {_transit_ctes()},
 ref_time AS (SELECT max(feed_timestamp) AS a FROM raw_vp),
@@ -245,49 +273,47 @@ FROM lvp LEFT JOIN ltu ON lvp.trip_id = ltu._tu_trip_id"""
 
 # ── feed snapshots built from the driver tables, flattened ──
 
-_OCC = ("CASE occ WHEN 0 THEN 'EMPTY' WHEN 1 THEN 'MANY_SEATS_AVAILABLE' WHEN 2 THEN 'FEW_SEATS_AVAILABLE' "
-        "WHEN 3 THEN 'STANDING_ROOM_ONLY' WHEN 4 THEN 'CRUSHED_STANDING_ROOM_ONLY' WHEN 5 THEN 'FULL' "
-        "WHEN 6 THEN 'NOT_ACCEPTING_PASSENGERS' WHEN 7 THEN 'NO_DATA_AVAILABLE' WHEN 8 THEN 'NOT_BOARDABLE' "
-        "ELSE CAST(occ AS VARCHAR) END")
-_SCHED = ("CASE k WHEN 0 THEN 'SCHEDULED' WHEN 1 THEN 'ADDED' WHEN 2 THEN 'UNSCHEDULED' WHEN 3 THEN 'CANCELED' "
-          "WHEN 5 THEN 'REPLACEMENT' WHEN 6 THEN 'DUPLICATED' WHEN 7 THEN 'DELETED' WHEN 8 THEN 'NEW' "
-          "ELSE CAST(k AS VARCHAR) END")
-_STATUS = ("CASE st WHEN 0 THEN 'INCOMING_AT' WHEN 1 THEN 'STOPPED_AT' WHEN 2 THEN 'IN_TRANSIT_TO' "
-           "ELSE CAST(st AS VARCHAR) END")
 _STAMP = "CAST(1700000000000000 AS BIGINT)"
 
 ORACLE_SQL["q_feed_vehicles"] = f"""
 WITH e AS (
-  SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k,
-    CASE WHEN event_type <> 'view' THEN length(event_type) - 4 ELSE 2 END AS st,
-    length(event_type) AS occ FROM events)
-SELECT CAST(event_id AS VARCHAR) AS entity_id, {_DAY_BUCKET} AS feed_timestamp, '2.0' AS gtfs_realtime_version,
-  'FULL_DATASET' AS incrementality, CAST(user_id AS VARCHAR) AS trip_id, event_type AS route_id, 0 AS direction_id,
-  '' AS start_time, '' AS start_date, {_SCHED} AS schedule_relationship, CAST(user_id AS VARCHAR) AS vehicle_id,
-  event_type AS vehicle_label, '' AS license_plate, 'NO_VALUE' AS wheelchair_accessible,
-  CAST(value AS FLOAT) AS latitude, CAST(-value AS FLOAT) AS longitude, CAST(0 AS FLOAT) AS bearing,
-  value AS odometer, CAST(value AS FLOAT) AS speed, CAST(event_id AS INT) AS current_stop_sequence,
-  CAST(k AS VARCHAR) AS stop_id, {_STATUS} AS current_status, CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp,
-  'UNKNOWN_CONGESTION_LEVEL' AS congestion_level, {_OCC} AS occupancy_status, 0 AS occupancy_percentage,
-  {_STAMP} AS ingested_at
+  SELECT *, CAST(json_extract_string(props, '$.k') AS INT) AS k, {_DAY_BUCKET} AS snap,
+    CASE WHEN event_type <> 'view' THEN event_id END AS nr FROM events)
+SELECT CAST(event_id AS VARCHAR) AS entity_id, snap AS feed_timestamp, '2.0' AS gtfs_realtime_version,
+  {_pick(_INCREMENTALITY, 'snap // 86400 % 2')} AS incrementality, 't' || user_id AS trip_id, 'r' || event_type AS route_id,
+  CAST(coalesce(nr % 2, 0) AS INT) AS direction_id, strftime(ts, '%H:%M:%S') AS start_time,
+  strftime(ts, '%Y%m%d') AS start_date, {_pick(_TRIP_RELATIONSHIP, 'k')} AS schedule_relationship,
+  'v' || user_id AS vehicle_id, event_type AS vehicle_label, coalesce('P' || nr, '') AS license_plate,
+  {_pick(_WHEELCHAIR, 'nr % 5', 'NO_VALUE')} AS wheelchair_accessible,
+  CAST(value AS FLOAT) AS latitude, CAST(-value / 2 AS FLOAT) AS longitude, CAST(coalesce(nr % 360, 0) AS FLOAT) AS bearing,
+  value * 10 + event_id AS odometer, CAST(value / 4 AS FLOAT) AS speed, CAST(event_id AS INT) AS current_stop_sequence,
+  CAST(k AS VARCHAR) AS stop_id, {_pick(_STOP_STATUS, 'nr % 4', 'IN_TRANSIT_TO')} AS current_status,
+  CAST(floor(epoch(ts)) AS BIGINT) AS vehicle_timestamp,
+  {_pick(_CONGESTION, 'nr % 6', 'UNKNOWN_CONGESTION_LEVEL')} AS congestion_level,
+  {_pick(_OCCUPANCY, 'nr % 10', 'EMPTY')} AS occupancy_status,
+  CAST(coalesce(nr % 101, 0) AS INT) AS occupancy_percentage, {_STAMP} AS ingested_at
 FROM e
 """
 
 ORACLE_SQL["q_feed_trip_updates"] = f"""
 WITH j AS (
   SELECT l.*, o.o_custkey, o.o_orderpriority, CAST(floor(epoch(l.l_shipdate)) AS BIGINT) AS snap,
+    CASE WHEN l_linenumber < 6 THEN l_linenumber END AS nr, o.o_orderdate,
     CAST(date_diff('day', o.o_orderdate, l.l_shipdate) * 60 AS INT) AS mins
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
 SELECT CAST(l_orderkey AS VARCHAR) AS entity_id, snap AS feed_timestamp, '2.0' AS gtfs_realtime_version,
-  'FULL_DATASET' AS incrementality, CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id,
-  0 AS direction_id, '' AS start_time, '' AS start_date, 'SCHEDULED' AS schedule_relationship,
-  CAST(o_custkey AS VARCHAR) AS vehicle_id, o_orderpriority AS vehicle_label, 0 AS trip_delay,
-  CAST(0 AS BIGINT) AS trip_timestamp, l_linenumber AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop_id,
+  {_pick(_INCREMENTALITY, 'snap // 86400 % 2')} AS incrementality, 't' || l_orderkey AS trip_id, 'r' || o_custkey AS route_id,
+  CAST(l_orderkey % 2 AS INT) AS direction_id, lpad(CAST(l_orderkey % 24 AS VARCHAR), 2, '0') || ':00:00' AS start_time,
+  strftime(o_orderdate, '%Y%m%d') AS start_date, {_pick(_TRIP_RELATIONSHIP, 'l_orderkey % 10')} AS schedule_relationship,
+  'v' || o_custkey AS vehicle_id, o_orderpriority AS vehicle_label, CAST(l_orderkey % 1000 AS INT) AS trip_delay,
+  snap + 5 AS trip_timestamp, l_linenumber AS stop_sequence, CAST(l_partkey AS VARCHAR) AS stop_id,
   CASE WHEN l_returnflag <> 'R' THEN mins ELSE 0 END AS arrival_delay,
-  CASE WHEN l_returnflag <> 'R' THEN snap ELSE 0 END AS arrival_time, 0 AS arrival_uncertainty,
+  CASE WHEN l_returnflag <> 'R' THEN snap + mins ELSE 0 END AS arrival_time,
+  CASE WHEN l_returnflag <> 'R' THEN CAST(l_suppkey AS INT) ELSE 0 END AS arrival_uncertainty,
   CASE WHEN l_linestatus <> 'F' THEN mins + 30 ELSE 0 END AS departure_delay,
-  CASE WHEN l_linestatus <> 'F' THEN snap ELSE 0 END AS departure_time, 0 AS departure_uncertainty,
-  'SCHEDULED' AS stop_schedule_relationship, {_STAMP} AS ingested_at
+  CASE WHEN l_linestatus <> 'F' THEN snap + mins + 1800 ELSE 0 END AS departure_time,
+  CASE WHEN l_linestatus <> 'F' THEN CAST(l_quantity AS INT) ELSE 0 END AS departure_uncertainty,
+  {_pick(_STOP_RELATIONSHIP, 'nr', 'SCHEDULED')} AS stop_schedule_relationship, {_STAMP} AS ingested_at
 FROM j
 """
 
@@ -321,3 +347,40 @@ SELECT * FROM raw_vp QUALIFY row_number() OVER (PARTITION BY entity_id, feed_tim
 ORACLE_SQL["q_stream_late_rows"] = f"""WITH {_transit_ctes()},
 closed AS (SELECT count(*) AS n FROM raw_vp WHERE feed_timestamp <= (SELECT max(feed_timestamp) FROM raw_vp) - {3 * 86400})
 SELECT 2 * n AS raw_rows, n AS merged_rows, n AS late_rows FROM closed"""
+
+ORACLE_SQL["q_stream_ledger"] = """
+SELECT CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS ledger_rows, count(*) AS table_rows FROM events"""
+
+ORACLE_SQL["q_stream_compacted"] = f"""
+SELECT event_id, ts, user_id, event_type, value, props, count(*) OVER (PARTITION BY {_DAY_BUCKET}) AS day_rows FROM events"""
+
+# ── refresh by what changed; a whole delivery ──
+
+# the newest day came late; the renamed route is used on the days of its rows
+ORACLE_SQL["q_refresh_changed"] = f"""WITH {_transit_ctes()},
+days AS (SELECT feed_timestamp FROM slv_vp WHERE route_id = '1' UNION SELECT max(feed_timestamp) FROM slv_vp)
+SELECT *, feed_timestamp IN (SELECT feed_timestamp FROM days) AS rebuilt FROM slv_vp"""
+
+ORACLE_SQL["q_reference_delivery"] = """
+SELECT 'agency' AS member, CAST(1 AS BIGINT) AS delivery, CAST(r_regionkey AS VARCHAR) AS key,
+  concat_ws('|', r_name, 'http://agency/' || r_regionkey, 'UTC', 'lang ' || r_regionkey, '+1' || r_regionkey) AS text,
+  CAST(NULL AS BIGINT) AS number, false AS unparsed FROM region
+UNION ALL
+SELECT 'routes', 2, CAST(c_custkey AS VARCHAR),
+  concat_ws('|', c_nationkey, c_mktsegment, upper('new ' || c_name), 'desc ' || c_nationkey, 'http://routes/' || c_custkey,
+            'c' || c_custkey, 't' || c_custkey), c_nationkey % 8, false FROM customer
+UNION ALL
+SELECT 'stops', 2, CAST(p_partkey AS VARCHAR),
+  concat_ws('|', 'code ' || p_partkey, p_name, p_type, p_brand, 'http://stops/' || p_partkey, 'parent ' || p_size, p_partkey % 10),
+  p_partkey % 3, false FROM part
+UNION ALL
+SELECT 'trips', 2, CAST(o_orderkey AS VARCHAR),
+  concat_ws('|', o_custkey, o_orderstatus, o_orderpriority, 'short ' || o_orderkey, 'block ' || o_custkey, 'shape ' || o_orderkey),
+  10 * (o_orderkey % 2) + o_orderkey % 3, false FROM orders
+UNION ALL
+SELECT 'calendar', 2, CAST(s_suppkey AS VARCHAR), concat_ws('|', s_nationkey + 20240101, s_nationkey + 20250101),
+  s_suppkey % 128, false FROM supplier
+UNION ALL
+SELECT 'calendar_dates', 2, CAST(o_orderkey AS VARCHAR), strftime(o_orderdate, '%Y%m%d'),
+  CASE WHEN o_orderkey % 5 > 1 THEN 1 + o_orderkey % 2 END, o_orderkey % 5 = 0 FROM orders
+"""

@@ -6,11 +6,13 @@ on job commit), so a lost executor just re-runs its tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructField, StructType
 
+from railyard.sources import files
 from railyard.operators.timeops import FEED_DATE, with_feed_date
 from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
 
@@ -46,12 +48,8 @@ class StreamManaged(ValueError):
 def _refuse_streamed(spark: SparkSession, path: str) -> None:
     """A folder that a stream writes lists its files in a log of its own: files
     a batch job adds would never be read, so the write is refused."""
-    try:
-        spark.read.text(f"{path.rstrip('/')}/_spark_metadata")
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return
-        raise
+    if not files.exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        return
     raise StreamManaged(f"{path} is written by a stream; append to another folder and read both")
 
 
@@ -83,27 +81,88 @@ def append_trip_updates(df: DataFrame, path: str, date_partitioned: bool = False
 
 def materialize(df: DataFrame, path: str | None = None, table: str | None = None,
                 comment: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
-    """Fully rebuild a derived dataset (overwrite) and return it read back,
-    which also cuts the lineage of downstream plans at this layer."""
-    spark = df.sparkSession
+    """Fully rebuild a derived dataset and return it read back, which also
+    cuts the lineage of downstream plans at this layer. A folder is
+    overwritten; a table goes through ``publish_table``, which keeps the rows
+    it had until the new ones are complete."""
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
-    if partition_by:
-        # without this every task writes one file per partition value it holds
-        df = df.hint("rebalance", *partition_by)
+    if table is not None:
+        return publish_table(df, table, comment=comment, partition_by=partition_by)
     # static whatever the session says: partitions that are gone must go
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if path is not None:
-        writer.parquet(path)
-        return spark.read.parquet(path)
-    writer.format("parquet").saveAsTable(table)
+    _partitioned(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _partitioned(df: DataFrame, partition_by: list[str] | None):
+    if not partition_by:
+        return df.write
+    # without the hint every task writes one file per partition value it holds
+    return df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
+
+
+KEEP_VERSIONS = 2
+
+
+def publish_table(df: DataFrame, table: str, location: str | None = None, comment: str | None = None,
+                  partition_by: list[str] | None = None, keep: int = KEEP_VERSIONS) -> DataFrame:
+    """Rebuild a catalog table: the rows are written to a new folder under
+    ``location`` (default: ``<table>__versions`` in the schema's folder), then
+    the table is pointed to it. Until that switch the table has its old rows,
+    also if the write fails. The last ``keep`` folders stay, so that readers
+    who resolved the table before can finish."""
+    spark = df.sparkSession
+    schema_name, _, name = table.rpartition(".")
+    if location is None:
+        database = spark.catalog.getDatabase(schema_name or spark.catalog.currentDatabase())
+        location = f"{database.locationUri.rstrip('/')}/{name}__versions"
+    location = location.rstrip("/")
+    number = 1 + max((int(v.partition("-")[0]) for v in files.children(spark, location) if v.partition("-")[0].isdigit()), default=0)
+    folder = f"{location}/{number:08d}-{uuid.uuid4().hex}"
+    _partitioned(df, partition_by).parquet(folder)
+    last = [c for c in df.columns if c not in (partition_by or [])] + (partition_by or [])
+    columns = StructType([StructField(c, df.schema[c].dataType) for c in last])
+    if spark.catalog.tableExists(table) and _can_move(spark, table, columns):
+        run_ddl(spark, f"ALTER TABLE IDENTIFIER(:t) SET LOCATION {_sql_string(folder)}", {"t": table})
+    else:
+        _create_over(spark, table, columns, folder, partition_by)
     if comment:
-        spark.sql(f"COMMENT ON TABLE IDENTIFIER(:t) IS {_sql_string(comment)}", args={"t": table})
+        run_ddl(spark, f"COMMENT ON TABLE IDENTIFIER(:t) IS {_sql_string(comment)}", {"t": table})
+    spark.catalog.refreshTable(table)
+    done = [v for v in files.children(spark, location) if files.exists(spark, f"{location}/{v}/_SUCCESS")]
+    for old in done[:-max(keep, 1)]:
+        files.delete(spark, f"{location}/{old}")
     return spark.read.table(table)
 
 
+def _can_move(spark: SparkSession, table: str, columns: StructType) -> bool:
+    """Whether the table has these columns and no list of partitions in the catalog that a new location would miss."""
+    facts = {r.col_name: r.data_type for r in run_ddl(spark, "DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", {"t": table}).collect()}
+    have = [(f.name, f.dataType) for f in spark.read.table(table).schema.fields]
+    return have == [(f.name, f.dataType) for f in columns.fields] and facts.get("Partition Provider") != "Catalog"
+
+
+def _create_over(spark: SparkSession, table: str, columns: StructType, folder: str, partition_by: list[str] | None) -> None:
+    """An external table over ``folder``. Its partitions are found in the folder, not listed in the catalog, so that
+    a new location brings its own."""
+    run_ddl(spark, "DROP TABLE IF EXISTS IDENTIFIER(:t)", {"t": table})  # external or not, other columns: a new table
+    key, ddl = "spark.sql.hive.manageFilesourcePartitions", f"CREATE TABLE IDENTIFIER(:t) ({_columns_ddl(columns)}) USING parquet"
+    if partition_by:
+        ddl += f" PARTITIONED BY ({', '.join(partition_by)})"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        run_ddl(spark, f"{ddl} LOCATION {_sql_string(folder)}", {"t": table})
+    finally:
+        spark.conf.set(key, before)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder of a catalog table."""
+    rows = run_ddl(spark, "DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", {"t": table}).collect()
+    return next(r.data_type for r in rows if r.col_name == "Location")
+
+
 def _sql_string(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -120,7 +179,9 @@ def run_ddl(spark: SparkSession, template: str, args: dict[str, object] | None =
 
 def create_raw_tables(spark: SparkSession, schema: str, location: str | None = None) -> DataFrame:
     """Idempotently create the schema and both raw tables; returns the
-    one-row status (status, schema)."""
+    one-row status (status, schema). With ``location`` each table lies in the
+    folder of its name there (``table_location``), where batch or streaming
+    appends put their files."""
     run_ddl(spark, "CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:s)", {"s": schema})
     for name, cols in (("raw_vehicle_positions", RAW_VEHICLE_POSITIONS),
                        ("raw_trip_updates", RAW_TRIP_UPDATES)):

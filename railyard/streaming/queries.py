@@ -31,6 +31,7 @@ from railyard.streaming.incremental import (
     stream_silver_positions,
     stream_silver_trip_updates,
 )
+from railyard.streaming.ledger import compact, ledger, stream_append
 from railyard.streaming.stateful import late_report, stream_closed, with_open_keys
 
 # a landing is consumed in about this many micro-batches
@@ -186,3 +187,28 @@ def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = spark.readStream.schema(raw.schema).parquet(f"{landing}/*")
         stream_closed(stream, out, ckpt, POSITION_KEYS, lateness_seconds=3 * DAY).awaitTermination()
     return late_report(spark.read.parquet(out), spark.read.schema(raw.schema).parquet(f"{landing}/copy=0", f"{landing}/copy=1"))
+
+
+def _appended(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Events appended in BATCHES micro-batches to a table of versions; returns its folder."""
+    target, ckpt = scratch_path(spark, name), scratch_path(spark, f"{name}-ckpt")
+    stream_append(events_as_positions(_events_stream(spark, sf_dir, name)), target, ckpt,
+                  event_time="feed_timestamp").awaitTermination()
+    return target
+
+
+def q_stream_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the ledger of batches against the rows of the table."""
+    target = _appended(spark, sf_dir, "ledger")
+    rows = ledger(spark, target).agg(F.count(F.lit(1)).alias("batches"), F.sum("rows").alias("ledger_rows"))
+    return rows.crossJoin(versions.read_table(spark, target).agg(F.count(F.lit(1)).alias("table_rows")))  # one row each
+
+
+def q_stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed rows after their small batches were rewritten, and how many batches a row's day had before."""
+    target = _appended(spark, sf_dir, "compacted")
+    before = versions.current(spark, target)
+    compact(spark, target)
+    small = versions.manifest_of(spark, target, before).groupBy(versions.PART).agg(F.sum("rows").alias("day_rows"))
+    now = versions.current(spark, target)
+    return versions.rows_of(spark, target, now).join(small, versions.PART).drop(versions.PART, "feed_timestamp")

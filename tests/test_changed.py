@@ -1,0 +1,169 @@
+"""The refresh driven by changes publishes what the full refresh publishes, and rebuilds only what changed."""
+
+import datetime as dt
+import os
+
+import pytest
+
+from railyard.plans import changed
+from railyard.plans.changed import refresh_changed
+from railyard.plans.refresh import RefreshConfig, refresh
+from railyard.schemas import RAW_TRIP_UPDATES, RAW_VEHICLE_POSITIONS
+from railyard.sources import files, versions
+from railyard.sources.sinks import append_raw
+from tests.conftest import rows_df
+
+DAY0 = 19_675                      # 2023-11-14 in days since the epoch
+T0 = DAY0 * 86400
+
+
+def local(p):
+    return p[len("file:"):] if p.startswith("file:") else p
+
+
+def land(root, name, text):
+    os.makedirs(local(root), exist_ok=True)
+    with open(f"{local(root)}/{name}.txt", "w") as fh:
+        fh.write(text)
+
+
+def dims(root, route="One", stop="Main", trip="Town"):
+    land(root, "routes", f"route_id,route_short_name,route_long_name,route_type,route_desc\nr1,1,{route},3,d\nr2,2,Two,3,d\n")
+    land(root, "stops", f"stop_id,stop_name,stop_lat,stop_lon\ns1,{stop},1.5,2.5\ns2,Side,1,2\n")
+    land(root, "trips", f"trip_id,route_id,trip_headsign\nt1,r1,{trip}\nt2,r2,City\n")
+
+
+def position(entity, ts, route="r1", stop="s1", trip="t1", at=0, **kw):
+    return dict(entity_id=entity, feed_timestamp=ts, vehicle_id=f"v{entity}", route_id=route, stop_id=stop, trip_id=trip,
+                speed=3.0, ingested_at=dt.datetime(2023, 11, 14) + dt.timedelta(seconds=at), **kw)
+
+
+def update(entity, ts, route="r1", stop="s1", trip="t1", at=0, **kw):
+    return dict(entity_id=entity, feed_timestamp=ts, route_id=route, stop_id=stop, trip_id=trip, stop_sequence=1,
+                arrival_delay=10, trip_delay=7, ingested_at=dt.datetime(2023, 11, 14) + dt.timedelta(seconds=at), **kw)
+
+
+@pytest.fixture()
+def by_date():
+    return True
+
+
+@pytest.fixture()
+def world(by_date, spark, tmp_dir):
+    class World:
+        landing, vp, tu = f"{tmp_dir}/landing", f"{tmp_dir}/vp", f"{tmp_dir}/tu"
+        cfg = RefreshConfig(landing, vp, tu, f"{tmp_dir}/out", as_of=T0 + 2 * 86400 + 100, freshness_seconds=900)
+
+        def positions(self, *rows):
+            append_raw(rows_df(spark, RAW_VEHICLE_POSITIONS, rows).coalesce(1), self.vp, RAW_VEHICLE_POSITIONS, by_date)
+
+        def updates(self, *rows):
+            append_raw(rows_df(spark, RAW_TRIP_UPDATES, rows).coalesce(1), self.tu, RAW_TRIP_UPDATES, by_date)
+
+        def step(self, **kw):
+            for k, v in kw.items():
+                setattr(self.cfg, k, v)
+            return refresh_changed(spark, self.cfg)
+
+        def run(self, **kw):
+            """A refresh, compared with the full one."""
+            done = self.step(**kw)
+            full = refresh(spark, RefreshConfig(**{**vars(self.cfg), "out": f"{tmp_dir}/full-{os.urandom(4).hex()}"}))
+            for name in ("slv_vehicle_positions", "slv_trip_updates", "gld_current_vehicle_positions"):
+                want = full[name].drop("feed_date")
+                assert done.tables[name].columns == want.columns
+                assert sorted(map(repr, done.tables[name].collect())) == sorted(map(repr, want.collect())), name
+            return done
+
+        def versions(self):
+            return {n: getattr(versions.current(spark, f"{self.cfg.out}/{n}"), "number", 0)
+                    for n in ("slv_vehicle_positions", "slv_trip_updates", "gld_current_vehicle_positions")}
+
+    w = World()
+    dims(w.landing)
+    w.positions(*[position(f"e{i}", T0 + 86400 * (i % 3), ["r1", "r2", None][i % 3]) for i in range(9)])
+    w.positions(position("n", None))
+    w.updates(*[update(f"u{i}", T0 + 86400 * (i % 3), stop=["s1", "s2", "sx"][i % 3]) for i in range(9)])
+    return w
+
+
+def test_first_refresh_builds_all_and_the_second_writes_nothing(spark, world):
+    first = world.step()
+    assert first.rebuilt == {"slv_vehicle_positions": [DAY0, DAY0 + 1, DAY0 + 2, None],
+                             "slv_trip_updates": [DAY0, DAY0 + 1, DAY0 + 2]}
+    before = world.versions()
+    data = {n: files.children(spark, f"{world.cfg.out}/{n}/data") for n in before}
+    second = world.run()
+    assert second.rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": []} and not second.gold_rebuilt
+    assert world.versions() == before
+    assert {n: files.children(spark, f"{world.cfg.out}/{n}/data") for n in before} == data
+
+
+@pytest.mark.parametrize("by_date", [True, False], ids=["by date", "one folder"])
+def test_new_raw_rows_rebuild_their_days(world):
+    world.step()
+    world.positions(position("e1", T0 + 86400, at=99, vehicle_label="newer copy"), position("x", T0 + 86400 + 5))
+    done = world.step()
+    assert done.rebuilt == {"slv_vehicle_positions": [DAY0 + 1], "slv_trip_updates": []} and done.gold_rebuilt
+    world.updates(update("y", T0 + 5 * 86400))  # a new day
+    assert world.run().rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": [DAY0 + 5]}
+
+
+def test_removed_raw_files_rebuild_their_days(spark, world):
+    world.step()
+    folder = local(world.vp)
+    names = [os.path.join(d, f) for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")]
+    gone = [n for n in names if spark.read.parquet(n).where("feed_timestamp is not null").count()]
+    for n in gone[:1]:
+        os.remove(n)
+    done = world.run()
+    assert done.rebuilt["slv_vehicle_positions"] and done.rebuilt["slv_trip_updates"] == []
+
+
+def test_changed_dimension_rows_rebuild_the_days_that_use_them(world):
+    world.step()
+    dims(world.landing, route="One, renamed")         # r1: positions of day 0 only; updates of every day
+    done = world.step()
+    assert done.rebuilt == {"slv_vehicle_positions": [DAY0, None], "slv_trip_updates": [DAY0, DAY0 + 1, DAY0 + 2]}
+    dims(world.landing, route="One, renamed", stop="Main 2")
+    assert world.step().rebuilt == {"slv_vehicle_positions": [DAY0, DAY0 + 1, DAY0 + 2, None], "slv_trip_updates": [DAY0]}
+    # a key that missed so far
+    land(world.landing, "stops", "stop_id,stop_name,stop_lat,stop_lon\ns1,Main 2,1.5,2.5\ns2,Side,1,2\nsx,New,0,0\n")
+    assert world.run().rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": [DAY0 + 2]}
+    # a column that silver doesn't use, and the same rows once more
+    land(world.landing, "routes", "route_id,route_short_name,route_long_name,route_type,route_desc\nr2,2,Two,3,x\nr1,1,\"One, renamed\",3,y\n")
+    before = world.run()
+    assert before.rebuilt["slv_trip_updates"] in ([], [DAY0, DAY0 + 1, DAY0 + 2])
+    assert world.step().rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": []}
+
+
+def test_window_moves_without_rewriting(spark, world):
+    world.step(window_seconds=86400 + 50, as_of=T0 + 2 * 86400)
+    data = files.children(spark, f"{world.cfg.out}/slv_vehicle_positions/data")
+    done = world.run(as_of=T0 + 2 * 86400 + 60)  # day 1 is out of the window now
+    assert done.rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": []}
+    assert files.children(spark, f"{world.cfg.out}/slv_vehicle_positions/data") == data
+    world.run(as_of=T0 + 86400 + 10)                  # the clock goes back: rows return
+    world.run(window_seconds=None)
+
+
+def test_gold_follows_the_clock(world):
+    world.step(as_of=T0 + 2 * 86400 + 100)
+    assert not world.step(as_of=T0 + 2 * 86400 + 900).gold_rebuilt   # inclusive bound
+    assert world.run(as_of=T0 + 2 * 86400 + 901).gold_rebuilt
+    assert world.run(as_of=T0 + 2 * 86400 + 100).gold_rebuilt
+
+
+def test_a_failed_refresh_is_completed_by_the_next(spark, world, monkeypatch):
+    world.step()
+    world.positions(position("x", T0 + 5))
+    world.updates(update("x", T0 + 5))
+    real = changed.silver_trip_updates
+    monkeypatch.setattr(changed, "silver_trip_updates", lambda *a: (_ for _ in ()).throw(OSError))
+    before = world.versions()
+    with pytest.raises(OSError):
+        world.step()
+    assert world.versions()["slv_trip_updates"] == before["slv_trip_updates"]
+    monkeypatch.setattr(changed, "silver_trip_updates", real)
+    done = world.run()
+    assert done.rebuilt == {"slv_vehicle_positions": [], "slv_trip_updates": [DAY0]} and done.gold_rebuilt
