@@ -1,0 +1,165 @@
+"""Deliveries as a whole, rows that don't parse, and named tables that switch."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from railyard import jobs
+from railyard.operators.enrich import DuplicateKeyError
+from railyard.plans.refresh import RefreshConfig, refresh
+from railyard.session import scratch_path
+from railyard.sources import files, reference, sinks
+from railyard.sources.reference import DeliveryRefused, current_delivery, load_reference_set, read_reference_set, unparsed_rows
+from railyard.sources.sinks import create_raw_tables, publish_table, run_ddl, table_location
+
+
+def land(root, **members):
+    root = root.removeprefix("file:")
+    os.makedirs(root, exist_ok=True)
+    for name, text in members.items():
+        with open(f"{root}/{name}.txt", "w") as fh:
+            fh.write(text)
+
+
+ONE = dict(agency="agency_id,agency_name\na,A\n", routes="route_id,route_long_name\nr1,One\n",
+           stops="stop_id,stop_name\ns1,Main\n", trips="trip_id,trip_headsign\nt1,Town\n",
+           calendar="service_id,monday\nw,1\n", calendar_dates="service_id,date,exception_type\nw,20240101,2\n")
+
+
+def seen(spark, target):
+    ref = read_reference_set(spark, target)
+    return {n: sorted(map(tuple, df.collect()), key=str) for n, df in ref.items()}
+
+
+def test_a_delivery_that_fails_halfway_changes_no_member(spark, tmp_dir, monkeypatch):
+    target = f"{tmp_dir}/out"
+    land(f"{tmp_dir}/one", **ONE)
+    load_reference_set(spark, f"{tmp_dir}/one", target)
+    before = seen(spark, target)
+    assert len(before) == 6
+    land(f"{tmp_dir}/two", routes="route_id,route_long_name\nr1,Two\n", trips="trip_id,trip_headsign\nt2,City\n")
+    real = reference._publish
+
+    def dies(df, root, name):
+        if name == "trips":
+            raise OSError
+        return real(df, root, name)
+
+    monkeypatch.setattr(reference, "_publish", dies)
+    with pytest.raises(OSError):
+        load_reference_set(spark, f"{tmp_dir}/two", target)
+    assert seen(spark, target) == before and current_delivery(spark, target).number == 1
+    monkeypatch.setattr(reference, "_publish", real)
+    monkeypatch.setattr(reference, "_record", lambda *a: (_ for _ in ()).throw(OSError))
+    with pytest.raises(OSError):
+        load_reference_set(spark, f"{tmp_dir}/two", target)
+    assert seen(spark, target) == before
+    monkeypatch.undo()
+    load_reference_set(spark, f"{tmp_dir}/two", target)
+    now = current_delivery(spark, target)
+    assert now.number == 2 and {n: m.delivery for n, m in now.members.items()} == {
+        "agency": 1, "routes": 2, "stops": 1, "trips": 2, "calendar": 1, "calendar_dates": 1}
+    # an older delivery can still be read whole, and the same files are not published again
+    assert {n: sorted(map(tuple, df.collect()), key=str) for n, df in
+            read_reference_set(spark, target, current_delivery(spark, target, 1)).items()} == before
+    load_reference_set(spark, f"{tmp_dir}/two", target)
+    assert current_delivery(spark, target).number == 2
+
+
+def test_rows_that_do_not_parse_are_told_from_empty_fields(spark, tmp_dir):
+    target = f"{tmp_dir}/out"
+    land(f"{tmp_dir}/one", **ONE | dict(
+        stops="stop_id,stop_name,stop_lat,location_type\ns1,Main,1.5,0\ns2,Empty,,\ns3,Bad,north,1\ns4,Short\ns5,Both,x,y\n"
+              "s6,Long,1,2,extra\ns7,Blank, , \n"))
+    ref = load_reference_set(spark, f"{tmp_dir}/one", target)
+    assert ref["stops"].count() == 7 and ref["stops"].columns == reference.REFERENCE_FILES["stops"][1].fieldNames()
+    bad = {r.stop_id: (r["__unparsed"], r["__line"]) for r in unparsed_rows(spark, target, "stops").collect()}
+    assert bad == {"s3": (["stop_lat"], None), "s4": ([], "s4,Short"), "s5": (["stop_lat", "location_type"], None),
+                   "s6": ([], "s6,Long,1,2,extra")}
+    m = current_delivery(spark, target).members["stops"]
+    assert (m.rows, m.unparsed) == (7, 4)
+    land(f"{tmp_dir}/two", **ONE | dict(routes="route_id,route_long_name,route_type\nr1,New,bus\n"))
+    with pytest.raises(DeliveryRefused, match="routes: 1 of 1"):
+        load_reference_set(spark, f"{tmp_dir}/two", target, max_unparsed=0)
+    assert current_delivery(spark, target).number == 1
+    load_reference_set(spark, f"{tmp_dir}/two", target, max_unparsed=1)
+    assert current_delivery(spark, target).number == 2
+
+
+def test_named_table_keeps_its_rows_until_the_new_ones_are_there(spark):
+    run_ddl(spark, "CREATE SCHEMA IF NOT EXISTS named_test")
+    root = scratch_path(spark, "named")
+    old = publish_table(spark.range(3).withColumn("d", F.col("id") % 2), "named_test.t", f"{root}/t", "it's a \\ comment", ["d"])
+    assert sorted(map(tuple, old.collect())) == [(0, 0), (1, 1), (2, 0)]
+    bad = spark.range(3).withColumn("d", F.raise_error(F.lit("no")).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        publish_table(bad, "named_test.t", f"{root}/t", partition_by=["d"])
+    assert spark.table("named_test.t").count() == 3
+    new = publish_table(spark.range(10).withColumn("d", F.lit(7).cast("long")), "named_test.t", f"{root}/t", "new", ["d"])
+    assert new.count() == 10 and spark.table("named_test.t").where("d = 7").count() == 10
+    assert spark.table("named_test.t").where("d = 0").count() == 0  # the new folder's partitions only
+    assert old.count() == 3                                        # a reader that resolved the table before
+    for i in range(3):
+        publish_table(spark.range(i + 1).withColumn("d", F.lit(1).cast("long")), "named_test.t", f"{root}/t", partition_by=["d"])
+    assert spark.table("named_test.t").count() == 3
+    done = [v for v in files.children(spark, f"{root}/t") if files.exists(spark, f"{root}/t/{v}/_SUCCESS")]
+    assert len(done) == sinks.KEEP_VERSIONS
+    # other columns: a new table of the same name
+    assert publish_table(spark.range(2), "named_test.t", f"{root}/t").columns == ["id"]
+    # a table that was made in another way, with partitions listed in the catalog
+    spark.range(4).withColumn("d", F.col("id")).write.partitionBy("d").saveAsTable("named_test.u")
+    assert publish_table(spark.range(5).withColumn("d", F.col("id")), "named_test.u", f"{root}/u", partition_by=["d"]).count() == 5
+
+
+def snapshot(ts, **header):
+    return {"header": {"gtfsRealtimeVersion": "2.0", "timestamp": str(ts), **header},
+            "entity": [{"id": "e1", "vehicle": {"trip": {"tripId": "t1", "routeId": "r1"}, "vehicle": {"id": "v1"},
+                                                "stopId": "s1", "currentStatus": "STOPPED_AT", "timestamp": str(ts)}},
+                       {"id": "u1", "tripUpdate": {"trip": {"tripId": "t1"}, "stopTimeUpdate": [
+                           {"stopSequence": 1, "stopId": "s1", "arrival": {"delay": 90, "time": str(ts)}}]}}]}
+
+
+def test_jobs_from_canonical_feeds_to_named_tables(spark, tmp_dir):
+    ts, schema = 1_700_000_000, "jobs_test"
+    land(f"{tmp_dir}/landing", **ONE)
+    feed = f"{tmp_dir}/feed"
+    for i in range(3):
+        spark.createDataFrame([(json.dumps(snapshot(ts + 60 * (i // 2))),)], "value string").write.text(f"{feed}/f{i}")
+    jobs.main(["init", "--schema", schema, "--location", f"{tmp_dir}/raw"], master="local[4]")
+    for kind, table in (("vehicle_positions", "raw_vehicle_positions"), ("trip_updates", "raw_trip_updates")):
+        jobs.main(["collect", "--feed", kind, "--source", f"{feed}/*", "--raw", f"{schema}.{table}", "--canonical",
+                   "--checkpoint", f"{tmp_dir}/ckpt-{kind}"], master="local[4]")
+        spark.catalog.refreshTable(f"{schema}.{table}")
+        assert spark.table(f"{schema}.{table}").count() == 3
+    common = ["--landing", f"{tmp_dir}/landing", "--raw-positions", f"{schema}.raw_vehicle_positions",
+              "--raw-trip-updates", f"{schema}.raw_trip_updates", "--as-of", str(ts + 100)]
+    jobs.main(["refresh", *common, "--out", f"{tmp_dir}/out", "--schema", schema, "--unique-keys", "--max-unparsed", "0"],
+              master="local[4]")
+    gold = spark.table(f"{schema}.gld_current_vehicle_positions").collect()
+    assert [(r.vehicle_id, r.route_long_name, r.stop_name, r.trip_headsign, r.current_status, r.delay_seconds, r.delay_category)
+            for r in gold] == [("v1", "One", "Main", "Town", "STOPPED_AT", 90, "LATE")]
+    assert spark.table(f"{schema}.raw_agency").count() == 1 and spark.table(f"{schema}.raw_calendar").first().monday == 1
+    facts = {r.col_name: r.data_type for r in run_ddl(spark, f"DESCRIBE TABLE EXTENDED {schema}.slv_trip_updates").collect()}
+    assert facts["Comment"].startswith("Stop predictions")
+    jobs.main(["refresh", *common, "--out", f"{tmp_dir}/changed", "--changed"], master="local[4]")
+    jobs.main(["silver", "--feed", "trip_updates", "--raw", f"{schema}.raw_trip_updates", "--target", f"{tmp_dir}/latest",
+               "--checkpoint", f"{tmp_dir}/ckpt-silver", "--retain-seconds", "30"], master="local[4]")
+    from railyard.streaming.incremental import read_current
+    assert [r.feed_timestamp for r in read_current(spark, f"{tmp_dir}/latest").collect()] == [ts + 60]
+    jobs.main(["collect", "--feed", "trip_updates", "--source", f"{feed}/*", "--raw", f"{tmp_dir}/versioned", "--canonical",
+               "--versioned", "--checkpoint", f"{tmp_dir}/ckpt-versioned", "--max-files-per-trigger", "1"], master="local[4]")
+    jobs.main(["compact", "--raw", f"{tmp_dir}/versioned"], master="local[4]")
+    from railyard.sources import versions
+    assert versions.read_table(spark, f"{tmp_dir}/versioned").count() == 3
+
+
+def test_repeated_dimension_keys_are_refused_if_asked(spark, tmp_dir):
+    land(f"{tmp_dir}/landing", **ONE | dict(routes="route_id,route_long_name\nr1,One\nr1,Again\n"))
+    create_raw_tables(spark, "unique_test", f"{tmp_dir}/raw")
+    cfg = RefreshConfig(f"{tmp_dir}/landing", "unique_test.raw_vehicle_positions", "unique_test.raw_trip_updates",
+                        f"{tmp_dir}/out", as_of=1, unique_keys=True)
+    with pytest.raises(DuplicateKeyError):
+        refresh(spark, cfg)
+    assert table_location(spark, "unique_test.raw_trip_updates").endswith("/raw/raw_trip_updates")
