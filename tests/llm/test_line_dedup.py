@@ -11,22 +11,26 @@ def lines_of(text):
 
 
 def brute(rows, least):
-    """{(doc_id, text): lines to delete} from all windows of lines, compared as texts."""
-    places = defaultdict(list)
+    """{(doc_id, text): lines to delete} from the shortest windows of ``least`` words that start, or end, at each line,
+    compared as texts."""
+    places = defaultdict(set)
     docs = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
-    for i, t in docs:
+    for nr, (i, t) in enumerate(docs):
         lines = lines_of(t)
+        words = [len(x.split()) for x in lines]
         for at in range(len(lines)):
-            total, n = 0, 0
-            while at + n < len(lines) and total < least:
-                total += len(lines[at + n].split())
-                n += 1
-            if total >= least:
-                places[tuple(lines[at:at + n])].append((i, t, at, n))
+            for step in (1, -1):
+                total, n = 0, 0
+                while 0 <= at + step * n < len(lines) and total < least:
+                    total += words[at + step * n]
+                    n += 1
+                if total >= least:
+                    start = at if step == 1 else at - n + 1
+                    places[tuple(lines[start:start + n])].add((nr, start, n))
     out = defaultdict(set)
     for copies in places.values():
-        for i, t, at, n in copies[1:]:  # in order of document and line
-            out[i, t].update(range(at, at + n))
+        for nr, at, n in sorted(copies)[1:]:  # in order of document and line
+            out[docs[nr]].update(range(at, at + n))
     return out
 
 
@@ -94,10 +98,10 @@ def test_whole_runs(docs_of):
     rows = [(i, "\n".join(lines)) for i, lines in rows]
     docs = docs_of(rows)
     want = maximal(rows, D.MIN_WORDS)
-    assert want[rows[1]] == {1, 2, 3, 4, 5} and brute(rows, D.MIN_WORDS)[rows[1]] == {1, 2, 3}
-    got = {r.doc_id: r.dropped_lines for r in D.line_report(docs, whole_runs=True).collect()}
+    assert want[rows[1]] == {1, 2, 3, 4, 5} and brute(rows, D.MIN_WORDS) == {k: v for k, v in want.items() if v}
+    got = {r.doc_id: r.dropped_lines for r in D.line_report(docs).collect()}
     assert got == {i: ",".join(map(str, sorted(want[i, t]))) for i, t in rows}
-    texts = {r.doc_id: r.text for r in D.drop_repeated_lines(docs, whole_runs=True).collect()}
+    texts = {r.doc_id: r.text for r in D.drop_repeated_lines(docs).collect()}
     assert texts[2] == rows[0][1] and texts[5] == "own a\nown b"
 
 
