@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.session import scratch_path
+from railyard.sources import files
 
 # ASCII white space: blank and the control characters tab to carriage return
 SPACES = "[\\x20\\x09-\\x0D]+"
@@ -19,7 +20,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, pins values, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read any more, not even a plan that is run again."""
+    for table in tables:
+        files.delete(table.sparkSession, table.scratch)
 
 
 def text_or_empty(column: str = "text") -> Column:
