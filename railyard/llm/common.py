@@ -31,6 +31,18 @@ def discard(*tables: DataFrame) -> None:
         files.delete(table.sparkSession, table.scratch)
 
 
+# rows of one Arrow batch of whole texts: at Spark's default of 10,000 a batch, held by the JVM and by Python several
+# times over, is some hundred MB of texts
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Have the session send at most BATCH_ROWS rows a batch to Python (a smaller setting stays)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 

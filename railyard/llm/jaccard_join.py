@@ -12,7 +12,8 @@ by block on their sketches in numpy. Of more, those that don't reach the pivot's
 of members that share a difference from the pivot (``_closer_buckets`` says why none that link are parted), with a pivot
 each again, and only what is in several components even then is compared block by block. So the components are exact, without emitting the
 pairs of a large group. Sizes and 1024-bit parity sketches (whose Hamming distance bounds the sets' difference from
-below) dismiss pairs; the others are verified on whole sets.
+below) dismiss pairs. A sketch of so many bits says nothing of a set with more elements, so pairs of large sets meet
+on fine sketches too, of one to two bits an element; only what is left is verified on whole sets.
 
 Defined cases: null, empty or blank texts have no shingles and link with nothing. Texts of fewer words than a shingle
 form one shingle. Rows with equal sets (copies, repeated rows, repeated or null ids) are one class and share a
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import bloom
-from railyard.llm.common import documents, stored
+from railyard.llm.common import bounded_batches, discard, documents, stored
 from railyard.llm.components import components
 from railyard.llm.wordhash import list_column, mix, shingle_sets, sums, text_chunks, word_hashes
 
@@ -43,8 +44,10 @@ _U = np.uint64
 BAND_RATIO = 1.3  # largest size of a band against its smallest
 FEW = 16  # members of a bucket that are compared with each other
 SKETCH_WORDS = 16
+LARGE = 512  # elements from which on a set has a fine sketch
 MANY = 4096  # members of a cluster of buckets that are compared block by block
-BLOCK = 256  # members of a block of a large bucket
+ROWS = 1024  # texts hashed at a time
+BLOCK = 2048  # members of a block of a large bucket
 
 
 @dataclass(frozen=True)
@@ -142,18 +145,19 @@ def _node(sets: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _profiles(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, end, data, offsets in text_chunks(batch.column(1)):
+        for first, end, data, offsets in text_chunks(batch.column(1), rows=ROWS):
             sets, at = shingle_sets(*word_hashes(data, offsets), join.width)
             sketch = _sketch(sets, at)
+            fine = list_column(*_fine(sets, at))
             n = end - first
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at)), pa.array(_node(sets, at)),
-                list_column(sketch.ravel(), np.arange(n + 1) * SKETCH_WORDS)], ["doc_id", "text_hash", "n", "node", "sketch"])
+                list_column(sketch.ravel(), np.arange(n + 1) * SKETCH_WORDS), fine], ["doc_id", "text_hash", "n", "node", "sketch", "fine"])
 
 
 def _signature_rows(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in text_chunks(batch.column(0)):
+        for _, _, data, offsets in text_chunks(batch.column(0), rows=ROWS):
             sets, at = shingle_sets(*word_hashes(data, offsets), join.width)
             found, owner = signatures(join, sets, at)
             yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(_node(sets, at)[owner])], ["sig", "node"])
@@ -161,11 +165,49 @@ def _signature_rows(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
 def _sets(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for _, _, data, offsets in text_chunks(batch.column(0)):
+        for _, _, data, offsets in text_chunks(batch.column(0), rows=ROWS):
             sets, at = shingle_sets(*word_hashes(data, offsets), join.width)
             yield pa.RecordBatch.from_arrays([pa.array(_node(sets, at)), list_column(sets, at)], ["node", "elements"])
 
 
+def _fine(sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity sketches of 1 to 2 bits an element (a power of two), end to end, and their offsets; none for sets of so
+    few elements that a partner has no more than LARGE. Half of one's words XOR the other half are the sketch of half as many bits."""
+    sizes = np.diff(at)
+    has = sizes > LARGE // 2
+    bits = np.where(has, 1 << (np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)), 0)
+    ends = np.cumsum(bits)
+    inside = np.repeat(has, sizes)
+    cell = mix(sets[inside] ^ _U(0x8EBC6AF09C88C6E3)).astype(np.int64) & (np.repeat(bits, sizes)[inside] - 1)
+    odd = np.bincount(cell + np.repeat(ends - bits, sizes)[inside], minlength=int(ends[-1]) if len(ends) else 0) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64), np.concatenate([[0], ends // 64])
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    while words.shape[-1] > width:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
+    return words
+
+
+def _near_on_fine(join: Join, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (u, v, u_n, v_n) whose fine sketches don't dismiss them."""
+    for batch in batches:
+        n = batch.num_rows
+        total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+        sides = [(c.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(c.value_lengths().to_numpy())]))
+                 for c in (batch.column(4), batch.column(5))]
+        keep = np.zeros(n, bool)
+        for i in range(n):
+            a, b = (words[at[i]:at[i + 1]] for words, at in sides)
+            if not len(a) or not len(b):  # a partner of less than half the size
+                keep[i] = True
+                continue
+            apart = int(np.bitwise_count(_folded(a, len(b)) ^ _folded(b, len(a))).sum(dtype=np.int64))
+            keep[i] = apart * (join.den + join.num) <= total[i] * (join.den - join.num)
+        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep)) for k in range(4)], ["u", "v", "u_n", "v_n"])
+
+
 def _shared(texts: DataFrame, n_texts: int, join: Join) -> DataFrame:
     """(sig, node) of signatures that at least two different sets have.
 
@@ -181,8 +223,13 @@ def _shared(texts: DataFrame, n_texts: int, join: Join) -> DataFrame:
     table = stored(bloom.filter_table(prints, "h", n_words), "repeated-print-bits")
     near = bloom.probe(rows.select("sig", "node", F.xxhash64("print").alias("h")), "h", table, n_words, "maybe").where("maybe")
     near = stored(near.select("sig", "node").distinct(), "likely-shared")
-    multi = near.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("sig")
-    return stored(near.join(multi, "sig", "left_semi"), "buckets")
+    discard(prints, table)
+    # stored, so that the join has a table on either side and a hot signature's partition is split
+    multi = stored(near.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("sig"),
+                   "shared-signatures")
+    buckets = stored(near.join(multi, "sig", "left_semi"), "buckets")
+    discard(near, multi)
+    return buckets
 
 
 def _side(table: DataFrame, name: str) -> DataFrame:
@@ -198,6 +245,10 @@ def _close(pairs: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
                        & (apart * (join.den + join.num) <= total * (join.den - join.num))).select("u", "v", "u_n", "v_n")
 
 
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+
+
 def _verified(close: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """The pairs (u, v) that link."""
     whole = close.join(_side(sets, "u"), "u").join(_side(sets, "v"), "v")
@@ -205,7 +256,7 @@ def _verified(close: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     return whole.where(common * join.den >= (F.col("u_n") + F.col("v_n") - common) * join.num).select("u", "v")
 
 
-def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+def _closer_buckets(rows: DataFrame, sets: DataFrame, of_pivots: DataFrame, join: Join) -> DataFrame:
     """(key, node, weight): buckets of members that may link though they don't reach their pivot's component.
 
     rows: (cluster, pivot, pivot_comp, node, comp, weight). Take a member x that doesn't link with pivot p, and a y that
@@ -215,7 +266,7 @@ def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     fixed order, the first elements of d(x) and of d(y), as many as are left without that number and one more, have one
     in common. Here elements that p hasn't come first: a copy's own edits, which hardly any other member has. A bucket
     therefore holds the few members that share an edit, and never the pivot."""
-    both = rows.join(sets, "node").join(sets.select(F.col("node").alias("pivot"), F.col("elements").alias("of_pivot")), "pivot")
+    both = rows.join(sets, "node").join(of_pivots.select(F.col("node").alias("pivot"), F.col("elements").alias("of_pivot")), "pivot")
     apart = F.concat(F.array_except("elements", "of_pivot"), F.array_except("of_pivot", "elements"))
     both = both.select("cluster", "node", "weight", (F.col("comp") != F.col("pivot_comp")).alias("outside"), apart.alias("apart"),
                        (F.size("elements") + F.size("of_pivot")).alias("total"))
@@ -229,13 +280,39 @@ def _closer_buckets(rows: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
 def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one cell of a bucket (rows of block i with rows of block j) that sizes and sketches don't dismiss."""
     one, other = rows[rows["i_side"]], rows[rows["j_side"]]
-    sketch = np.stack([np.asarray(x, np.int64) for x in other["sketch"]]).view(np.uint64) if len(other) else np.zeros((0, SKETCH_WORDS), np.uint64)
+    other = other.reset_index(drop=True)
     node, comp, n = other["node"].to_numpy(), other["comp"].to_numpy(), other["n"].to_numpy()
+    by_width: dict[str, dict[int, tuple[np.ndarray, np.ndarray]]] = {}  # kind of sketch -> width -> rows, words
+    for kind in ("sketch", "fine"):
+        widths = np.array([0 if x is None else len(x) for x in other[kind]], np.int64)
+        by_width[kind] = {int(w): (at := np.flatnonzero(widths == w), np.stack([np.asarray(x, np.int64) for x in other[kind][at]]).view(np.uint64))
+                          for w in np.unique(widths[widths > 0])}
+    folded: dict[tuple[int, int], np.ndarray] = {}
+
+    def words_of(kind: str, own: int, width: int) -> np.ndarray:
+        if own == width:
+            return by_width[kind][own][1]
+        if (own, width) not in folded:
+            folded[own, width] = _folded(by_width[kind][own][1], width)
+        return folded[own, width]
+
     found = []
     for x in one.itertuples(index=False):
-        apart = np.bitwise_count(sketch ^ np.asarray(x.sketch, np.int64).view(np.uint64)).sum(1, dtype=np.int64)
         ok = (comp != x.comp) & (np.minimum(n, x.n) * join.den >= np.maximum(n, x.n) * join.num)
-        ok &= apart * (join.den + join.num) <= (n + x.n) * (join.den - join.num)
+        told = np.zeros(len(n), bool)  # by the sketch of fixed width where both have it, else by the fine one
+        for kind, words in (("sketch", x.sketch), ("fine", x.fine)):
+            if words is None or not len(words):
+                continue
+            mine = np.asarray(words, np.int64).view(np.uint64)
+            for own, (at, _) in by_width[kind].items():
+                open_ = ok[at] & ~told[at]
+                if not open_.any():
+                    continue
+                width = min(own, len(mine))
+                apart = np.bitwise_count(words_of(kind, own, width)[open_] ^ _folded(mine, width)).sum(1, dtype=np.int64)
+                rows = at[open_]
+                ok[rows] = apart * (join.den + join.num) <= (n[rows] + x.n) * (join.den - join.num)
+                told[rows] = True
         found += [(x.node, y) for y in node[ok]]
     return pd.DataFrame(found, columns=["node", "other"], dtype="int64")
 
@@ -251,15 +328,16 @@ def _within(members: DataFrame, nodes: DataFrame, join: Join) -> DataFrame:
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("own", "with"), F.greatest("own", "with")
     cells = dealt.select("key", i.alias("i"), j.alias("j"), (F.col("own") == i).alias("i_side"), (F.col("own") == j).alias("j_side"),
-                         "node", "comp", "n", "sketch")
+                         "node", "comp", "n", F.when(F.col("n") <= LARGE, F.col("sketch")).alias("sketch"), "fine")
     return cells.groupBy("key", "i", "j").applyInPandas(partial(_compare_block, join), "node long, other long")
 
 
-def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], join: Join) -> DataFrame:
+def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[..., DataFrame], join: Join) -> DataFrame:
     """(node, comp) of all nodes that link with another, from (sig, node). ``sets_of`` gives whole sets of nodes."""
     # the member with most shared signatures differs least from the others: a good pivot
-    weight = buckets.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
+    weight = stored(buckets.groupBy("node").agg(F.count(F.lit(1)).alias("weight")), "weights")
     rows = stored(buckets.join(weight, "node").select(F.col("sig").alias("key"), "node", "weight"), "bucket-rows")
+    discard(weight, buckets)
     links, comps = None, nodes.select("node", F.col("node").alias("comp")).limit(0)
 
     def with_comp(table: DataFrame) -> DataFrame:
@@ -268,20 +346,32 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame]
     def open_members(table: DataFrame) -> DataFrame:
         """Rows of buckets that hold several components, with the bucket's size and pivot."""
         known = stored(with_comp(table), "rows")
-        keys = known.groupBy("key").agg(
+        keys = stored(known.groupBy("key").agg(
             F.count(F.lit(1)).alias("members"), F.min("comp").alias("a"), F.max("comp").alias("b"),
             F.max(F.struct("weight", "node", "comp")).alias("p")).where("a < b").select(
-            "key", "members", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-        return stored(known.join(keys, "key"), "members")
+            "key", "members", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "open-buckets")
+        members = stored(known.join(keys, "key"), "members")
+        discard(known, keys)
+        return members
 
     def add_links(pairs: DataFrame) -> None:
         nonlocal links, comps
         pairs = pairs.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
         close = stored(_close(pairs, nodes, join), "close-pairs")
+        is_large = F.greatest("u_n", "v_n") > LARGE
+        large = close.where(is_large)
+        if not large.isEmpty():
+            fine = nodes.select("node", "fine")
+            both = large.join(_side(fine, "u"), "u").join(_side(fine, "v"), "v").select("u", "v", "u_n", "v_n", "u_fine", "v_fine")
+            near = both.mapInArrow(partial(_near_on_fine, join), "u long, v long, u_n long, v_n long")
+            left = stored(close.where(~is_large).unionByName(near), "close-pairs")
+            discard(close)
+            close = left
         if close.isEmpty():
             return
-        sets = sets_of(close.select(F.col("u").alias("node")).unionByName(close.select(F.col("v").alias("node"))).distinct())
+        sets = sets_of(_nodes_of(close))
         new = stored(_verified(close, sets, join), "links")
+        discard(close, sets)
         if not new.isEmpty():
             links = new if links is None else links.unionByName(new)
             comps = stored(components(links), "components")
@@ -296,19 +386,22 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame]
         return members.where((F.col("members") > FEW) & (F.col("node") != F.col("pivot"))).drop("comp", "pivot_comp")
 
     larger = star(rows)
+    discard(rows)
     # members of buckets of one pivot go on together; what the pivot can tell of them is known
     rest = with_comp(larger.select(F.col("pivot").alias("cluster"), "pivot", "node", "weight").distinct())
     of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
     rest = stored(rest.join(of_pivot, "pivot", "left").withColumn("pivot_comp", F.coalesce("pivot_comp", "pivot")), "rest")
     unsettled = rest.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("a"), F.max("comp").alias("b"))
-    rest = stored(rest.join(unsettled.where("a < b").drop("a", "b"), "cluster"), "unsettled")
+    unsettled = stored(unsettled.where("a < b").drop("a", "b"), "unsettled-clusters")
+    rest = stored(rest.join(unsettled, "cluster"), "unsettled")
     if rest.isEmpty():
         return comps
     add_links(_within(rest.where(F.col("members") <= MANY).select(F.col("cluster").alias("key"), "members", "node", "comp"), nodes, join))
     huge = rest.where(F.col("members") > MANY)
     if not huge.isEmpty():
-        of_huge = sets_of(huge.select("node").unionByName(huge.select(F.col("pivot").alias("node"))).distinct())
-        rows = stored(_closer_buckets(huge, of_huge, join), "closer-buckets")
+        of_pivots = sets_of(huge.select(F.col("pivot").alias("node")).distinct())
+        # the members' sets, the largest thing here, are dealt by node once, for the join as well
+        rows = stored(_closer_buckets(huge, sets_of(huge.select("node").distinct(), keep=False), of_pivots, join), "closer-buckets")
         left = open_members(star(rows).select("key", "node", "weight"))
         add_links(_within(left.select("key", "members", "node", "comp"), nodes, join))
     return comps
@@ -316,33 +409,40 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame]
 
 def _classified(docs: DataFrame, join: Join, id_col: str, text_col: str) -> DataFrame:
     """One row per input row: doc_id, text_hash, n_shingles, component_id."""
+    bounded_batches(docs.sparkSession)
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
-    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, text_hash long, n long, node long, sketch array<long>"),
+    profiles = stored(two.mapInArrow(partial(_profiles, join), "doc_id long, text_hash long, n long, node long, sketch array<long>, fine array<long>"),
                       "profiles")
     some = profiles.where("n > 0")
     classes = stored(some.groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("first_id"),
-                                              F.min("sketch").alias("sketch")), "classes")
+                                              F.min("sketch").alias("sketch"), F.min("fine").alias("fine")), "classes")
 
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        """Whole sets: from one document of each class, found by a bounded filter on its id."""
+    def sets_of(nodes: DataFrame, keep: bool = True) -> DataFrame:
+        """Whole sets: from one document of each class, found by a bounded filter on its id. A stored table, or, if it
+        isn't to be kept, a plan that deals them by node."""
         wanted = classes.join(nodes, "node", "left_semi").select("node", F.coalesce("first_id", F.lit(0).cast("long")).alias("first_id"))
-        wanted = stored(wanted, "candidates").withColumn("h", F.xxhash64("first_id"))
+        candidates = stored(wanted, "candidates")
+        wanted = candidates.withColumn("h", F.xxhash64("first_id"))
         n_words = bloom.words_for(wanted.count())
         table = bloom.filter_table(wanted, "h", n_words)
         hashed = two.select("text", F.xxhash64(F.coalesce("doc_id", F.lit(0).cast("long"))).alias("h"))
         texts = bloom.probe(hashed, "h", table, n_words, "maybe").where("maybe").select("text")
-        return stored(texts.mapInArrow(partial(_sets, join), "node long, elements array<long>").join(
-            wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+        sets = texts.mapInArrow(partial(_sets, join), "node long, elements array<long>").join(
+            wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+        if keep:
+            sets = stored(sets, "sets")
+            discard(candidates)
+        return sets
 
     buckets = _shared(two.select("text"), profiles.count(), join)
     if buckets.isEmpty():
         comps = classes.select("node", F.col("node").alias("comp"))
     else:
-        comps = _connect(buckets, classes.select("node", "n", "sketch"), sets_of, join)
-    labelled = classes.join(comps, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp"))
-    ids = labelled.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    by_node = labelled.join(ids, "comp").select("node", "component_id")
+        comps = _connect(buckets, classes.select("node", "n", "sketch", "fine"), sets_of, join)
+    labelled = stored(classes.join(comps, "node", "left").select("node", "first_id", F.coalesce("comp", "node").alias("comp")), "labelled")
+    ids = stored(labelled.groupBy("comp").agg(F.min("first_id").alias("component_id")), "component-ids")
+    by_node = stored(labelled.join(ids, "comp").select("node", "component_id"), "components-by-node")
     linked = some.join(by_node, "node").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
     alone = profiles.where("n = 0").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)

@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from railyard.llm.common import documents, remainder_is
+from railyard.llm.common import bounded_batches, documents, remainder_is
 from railyard.llm.wordhash import text_chunks
 
 DIMENSIONS = 4096
 CENTROIDS = 4
 FIT_DOCS = 400
+ROWS = 256  # texts whose vectors of DIMENSIONS are held at a time
 REJECT_SHARE = 0.5
 REJECT_QUANTILE = 0.02
 FULL_EVIDENCE = 64
@@ -65,7 +66,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a task: in how many texts each feature occurs, then the number of texts."""
     total = np.zeros(DIMENSIONS + 1, np.int64)
     for batch in batches:
-        for first, end, data, offsets in text_chunks(batch.column(0)):
+        for first, end, data, offsets in text_chunks(batch.column(0), rows=ROWS):
             total[:-1] += (trigram_counts(data, offsets) > 0).sum(0)
             total[-1] += end - first
     yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIMENSIONS + 1)), pa.array(total)], ["feature", "n"])
@@ -73,7 +74,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _vectors(idf: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, end, data, offsets in text_chunks(batch.column(1)):
+        for first, end, data, offsets in text_chunks(batch.column(1), rows=ROWS):
             x = unit_vectors(trigram_counts(data, offsets), idf)
             at = pa.array(np.arange(end - first + 1, dtype=np.int32) * DIMENSIONS)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first),
@@ -113,6 +114,7 @@ class Model:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     totals = dict(rows.select("text").mapInArrow(_frequencies, "feature long, n long").groupBy("feature").agg(
@@ -137,7 +139,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def _predict(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, text, has a letter) -> (row, language, score, rejected)."""
     for batch in batches:
-        for first, end, data, offsets in text_chunks(batch.column(1)):
+        for first, end, data, offsets in text_chunks(batch.column(1), rows=ROWS):
             letters = batch.column(2).slice(first, end - first).to_numpy(zero_copy_only=False).astype(bool)
             n = end - first
             if len(model.langs):

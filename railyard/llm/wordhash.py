@@ -43,8 +43,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, UTF-8 bytes, offsets) of runs of whole texts; null counts as empty."""
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, UTF-8 bytes, offsets) of runs of whole texts, of at most ``rows`` texts where what is made of
+    a run grows with their number; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -57,6 +58,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     first = 0
     while first < n:
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
+        end = min(end, first + rows) if rows else end
         yield first, end, data[offsets[first]:offsets[end]], offsets[first:end + 1] - offsets[first]
         first = end
 

@@ -126,3 +126,84 @@ def test_query_matches_brute_force_on_whole_table(spark, sf001):
     rows = {(r.doc_id, r.text) for r in docs.collect()}
     want = sorted((r[0], *v) for r, v in brute(rows, Join(3, 90, 100)).items())
     assert sorted(tuple(r) for r in op9_jaccard_join(spark, sf001).collect()) == want
+
+
+def test_fine_sketches_fold_and_never_dismiss_a_link():
+    """Two sets of different sizes meet on sketches of one width; their distance bounds the sets' difference."""
+    import numpy as np
+    import pyarrow as pa
+
+    from railyard.llm import jaccard_join as J
+    from railyard.llm.wordhash import list_column
+
+    rng = np.random.default_rng(8)
+    join = J.Join(width=5, num=8, den=10)
+    sets, pairs = [], []
+    for n in (1, 40, 300, 700, 1023, 1025, 5000):
+        base = rng.integers(0, 2 ** 63, n, dtype=np.uint64)
+        for share in (0.0, 0.05, 0.11, 0.5, 1.0):
+            other = base.copy()
+            k = int(n * share)
+            other[:k] = rng.integers(0, 2 ** 63, k, dtype=np.uint64)
+            other = np.concatenate([other, rng.integers(0, 2 ** 63, int(n * 0.04), dtype=np.uint64)])
+            pairs.append((len(sets), len(sets) + 1))
+            sets += [base, other]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    words, ends = J._fine(np.concatenate(sets), at)
+    sketches = [words[ends[i]:ends[i + 1]] for i in range(len(sets))]
+    assert all(len(w) * 64 >= len(x) if len(x) > J.LARGE // 2 else not len(w) for w, x in zip(sketches, sets))
+    side = lambda k: list_column(np.concatenate([sketches[p[k]] for p in pairs]),
+                                 np.concatenate([[0], np.cumsum([len(sketches[p[k]]) for p in pairs])]))
+    rows = pa.RecordBatch.from_arrays([
+        pa.array([p[0] for p in pairs]), pa.array([p[1] for p in pairs]), pa.array([len(sets[p[0]]) for p in pairs]),
+        pa.array([len(sets[p[1]]) for p in pairs]), side(0), side(1)], ["u", "v", "u_n", "v_n", "a", "b"])
+    kept = {tuple(r.values())[:2] for b in J._near_on_fine(join, iter([rows])) for r in b.to_pylist()}
+    for u, v in pairs:
+        a, b = set(sets[u].tolist()), set(sets[v].tolist())
+        if len(a & b) * join.den >= len(a | b) * join.num:
+            assert (u, v) in kept
+        elif len(a ^ b) > 0.6 * (len(a) + len(b)) and len(a) >= 300:
+            assert (u, v) not in kept
+
+
+def test_large_sets_are_compared_on_fine_sketches(docs_of, monkeypatch):
+    """Long texts that share a passage but don't link, and such that do; the result is that of the whole sets."""
+    import random
+
+    from railyard.llm import jaccard_join as J
+
+    rng = random.Random(3)
+    word = lambda: f"w{rng.randrange(10 ** 6)}"
+    shared = [word() for _ in range(60)]
+    texts = [" ".join(shared + [word() for _ in range(900)]) for _ in range(25)]
+    for t in texts[:5]:
+        words = t.split()
+        words[500] = "edited"
+        texts.append(" ".join(words))
+    seen = []
+    real = J._verified
+    monkeypatch.setattr(J, "_verified", lambda close, sets, join: (seen.append(close.count()), real(close, sets, join))[1])
+    got = {r.doc_id: r.component_id for r in J.near_components(docs_of(texts), J.Join(5, 8, 10)).collect()}
+    assert got == {i: i if i < 25 else i - 25 for i in range(30)}
+    assert sum(seen) == 5
+
+
+def test_blocks_of_large_sets_emit_only_near_pairs():
+    import numpy as np
+    import pandas as pd
+
+    from railyard.llm import jaccard_join as J
+
+    rng = np.random.default_rng(9)
+    join = J.Join(width=5, num=8, den=10)
+    sets = [np.sort(rng.integers(0, 2 ** 63, n, dtype=np.uint64)) for n in (300, 300, 1000, 1100, 4000, 4100, 5000, 9000)]
+    sets += [np.sort(np.concatenate([sets[4][:-100], rng.integers(0, 2 ** 63, 300, dtype=np.uint64)]))]
+    sets += [sets[2][:-20], sets[0][5:], np.sort(np.concatenate([sets[7], sets[1]]))]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    flat = np.concatenate(sets)
+    words, ends = J._fine(flat, at)
+    rows = pd.DataFrame({"i_side": True, "j_side": True, "node": np.arange(len(sets)), "comp": np.arange(len(sets)),
+                         "n": [len(x) for x in sets], "sketch": [w if len(x) <= J.LARGE else None for w, x in zip(J._sketch(flat, at).view(np.int64), sets)],
+                         "fine": [words[ends[i]:ends[i + 1]].view(np.int64) for i in range(len(sets))]})
+    got = {tuple(sorted(p)) for p in J._compare_block(join, rows).itertuples(index=False, name=None)}
+    assert got == {(4, 8), (2, 9), (0, 10), (7, 11)}
