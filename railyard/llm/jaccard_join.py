@@ -47,6 +47,7 @@ SKETCH_WORDS = 16
 LARGE = 512  # elements from which on a set has a fine sketch
 MANY = 4096  # members of a cluster of buckets that are compared block by block
 ROWS = 1024  # texts hashed at a time
+PIVOT_BYTES = 32 << 20  # sets of the pivots of huge clusters up to which they are broadcast
 BLOCK = 2048  # members of a block of a large bucket
 
 
@@ -400,6 +401,9 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[..., DataFr
     huge = rest.where(F.col("members") > MANY)
     if not huge.isEmpty():
         of_pivots = sets_of(huge.select(F.col("pivot").alias("node")).distinct())
+        held = of_pivots.agg(F.coalesce(F.sum(F.size("elements")), F.lit(0))).first()[0] * 8
+        if held <= PIVOT_BYTES:  # else they meet in a shuffle, with the members' sets
+            of_pivots = F.broadcast(of_pivots)
         # the members' sets, the largest thing here, are dealt by node once, for the join as well
         rows = stored(_closer_buckets(huge, sets_of(huge.select("node").distinct(), keep=False), of_pivots, join), "closer-buckets")
         left = open_members(star(rows).select("key", "node", "weight"))
