@@ -266,18 +266,37 @@ def _closer_buckets(rows: DataFrame, sets: DataFrame, of_pivots: DataFrame, join
     ((|d(x)| - c * (x + p)) + (1 - c) * |d(y)|) / 2 elements, either term of which alone is a bound too. So, in any
     fixed order, the first elements of d(x) and of d(y), as many as are left without that number and one more, have one
     in common. Here elements that p hasn't come first: a copy's own edits, which hardly any other member has. A bucket
-    therefore holds the few members that share an edit, and never the pivot."""
+    therefore holds the few members that share an edit, and never the pivot.
+
+    Far from the pivot the usual prefix of a set is shorter. In the same order, own elements before those that p has
+    too, let L(x) be one more than the elements of x that a linked set may lack. The first element that x and y share is
+    among the first L(x) of x and the first L(y) of y. If x is far, with L(x) own elements or more, that element is an
+    own one of both. So far members go into the buckets of their first L own elements, near ones into those of all
+    their own and of the rule above, which holds for two near members."""
     both = rows.join(sets, "node").join(of_pivots.select(F.col("node").alias("pivot"), F.col("elements").alias("of_pivot")), "pivot")
-    apart = F.concat(F.array_except("elements", "of_pivot"), F.array_except("of_pivot", "elements"))
-    both = both.select("cluster", "node", "weight", (F.col("comp") != F.col("pivot_comp")).alias("outside"), apart.alias("apart"),
-                       (F.size("elements") + F.size("of_pivot")).alias("total"))
-    n, whole = F.size("apart"), join.den + join.num
-    shared = F.when(F.col("outside"), (n * whole - F.col("total") * (join.den - join.num)) / (2 * whole)).otherwise(n * join.num / whole)
-    first = n - F.greatest(F.floor(shared).cast("int"), F.lit(0))
-    return both.select(F.explode(F.slice("apart", F.lit(1), first)).alias("element"), "cluster", "node", "weight").select(
+    both = both.select("cluster", "node", "weight", (F.col("comp") != F.col("pivot_comp")).alias("outside"),
+                       F.array_except("elements", "of_pivot").alias("own"), F.array_except("of_pivot", "elements").alias("lacked"),
+                       F.size("elements").alias("n"), (F.size("elements") + F.size("of_pivot")).alias("total"))
+    apart, whole = F.size("own") + F.size("lacked"), join.den + join.num
+    shared = F.when(F.col("outside"), (apart * whole - F.col("total") * (join.den - join.num)) / (2 * whole)).otherwise(apart * join.num / whole)
+    of_apart = F.greatest(apart - F.greatest(F.floor(shared).cast("int"), F.lit(0)), F.size("own"))
+    prefix = F.floor(F.col("n") * (join.den - join.num) / join.den).cast("int") + 1
+    elements = F.when(F.size("own") >= prefix, F.slice("own", F.lit(1), prefix)).otherwise(
+        F.slice(F.concat("own", "lacked"), F.lit(1), of_apart))
+    return both.select(F.explode(elements).alias("element"), "cluster", "node", "weight").select(
         F.xxhash64("cluster", "element").alias("key"), "node", "weight")
 
 
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows (key, node, weight) of keys that occur twice, and few others; ``rows``, a stored table, is deleted."""
+    keys = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key"), "repeated-keys")
+    n_words = bloom.words_for(keys.count())
+    table = stored(bloom.filter_table(keys, "key", n_words), "repeated-key-bits")
+    met = stored(bloom.probe(rows, "key", table, n_words, "maybe").where("maybe").drop("maybe"), "met")
+    discard(rows, keys, table)
+    return met
+
+
 def _compare_block(join: Join, rows: pd.DataFrame) -> pd.DataFrame:
     """Pairs of one cell of a bucket (rows of block i with rows of block j) that sizes and sketches don't dismiss."""
     one, other = rows[rows["i_side"]], rows[rows["j_side"]]
@@ -405,7 +424,7 @@ def _connect(buckets: DataFrame, nodes: DataFrame, sets_of: Callable[..., DataFr
         if held <= PIVOT_BYTES:  # else they meet in a shuffle, with the members' sets
             of_pivots = F.broadcast(of_pivots)
         # the members' sets, the largest thing here, are dealt by node once, for the join as well
-        rows = stored(_closer_buckets(huge, sets_of(huge.select("node").distinct(), keep=False), of_pivots, join), "closer-buckets")
+        rows = _met(stored(_closer_buckets(huge, sets_of(huge.select("node").distinct(), keep=False), of_pivots, join), "closer-buckets"))
         left = open_members(star(rows).select("key", "node", "weight"))
         add_links(_within(left.select("key", "members", "node", "comp"), nodes, join))
     return comps

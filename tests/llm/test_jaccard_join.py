@@ -207,3 +207,33 @@ def test_blocks_of_large_sets_emit_only_near_pairs():
                          "fine": [words[ends[i]:ends[i + 1]].view(np.int64) for i in range(len(sets))]})
     got = {tuple(sorted(p)) for p in J._compare_block(join, rows).itertuples(index=False, name=None)}
     assert got == {(4, 8), (2, 9), (0, 10), (7, 11)}
+
+
+@pytest.mark.parametrize("join", [Join(3, 90, 100), Join(5, 8, 10)])
+def test_linked_members_near_or_far_from_the_pivot_share_a_closer_bucket(spark, join):
+    """Members at all distances from the pivot; each has linked ones, by edits of its own or towards the pivot."""
+    rng = random.Random(4)
+    pivot = set(range(200))
+    sets = [pivot]
+    for far in (0, 3, 10, 20, 25, 30, 45, 60, 120, 190):
+        for _ in range(4):
+            one = set(rng.sample(sorted(pivot), 200 - far)) | {rng.randrange(1000, 10**6) for _ in range(far)}
+            sets.append(one)
+            for edits in (1, 4, 8, 18):
+                gone = rng.sample(sorted(one), edits)
+                sets += [one - set(gone), one - set(gone) | {rng.randrange(10**6, 10**7) for _ in gone}]
+
+    def links(a, b):
+        common = len(a & b)
+        return common * join.den >= (len(a) + len(b) - common) * join.num
+
+    whole = spark.createDataFrame([(i, sorted(s)) for i, s in enumerate(sets)], "node long, elements array<long>")
+    rows = spark.createDataFrame([(0, 0, 0, i, 0 if links(s, pivot) else i, 1) for i, s in enumerate(sets) if i],
+                                 "cluster long, pivot long, pivot_comp long, node long, comp long, weight long")
+    buckets = {}
+    for r in jaccard_join._closer_buckets(rows, whole, whole.where("node = 0"), join).collect():
+        buckets.setdefault(r.node, set()).add(r.key)
+    outside = [i for i, s in enumerate(sets) if not links(s, pivot)]
+    pairs = [(x, y) for x in outside for y in range(1, len(sets)) if x != y and links(sets[x], sets[y])]
+    assert len(pairs) > 100
+    assert all(buckets[x] & buckets[y] for x, y in pairs)
