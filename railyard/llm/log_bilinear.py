@@ -1,16 +1,23 @@
 """Language-model scoring with a log-bilinear neural model (operator 10).
 
-Tokens are lower-cased words and one end per text. Every token has a class: the ``TOP`` most frequent words and the end
-have their own, the others one of ``SUFFIXES`` given by their last and first bytes. The model gives the class after two
-classes: a context vector is the sum of each context class's vector times the matrix of its position, and its products
-with all class vectors, plus biases, are scores. Vectors, matrices and biases are trained in numpy by noise-contrastive
-estimation against the class frequencies. Scoring normalises the scores over all classes, in batched matrix products,
-and multiplies by the word's add-one share of its class, which leaves room for words never seen: probabilities of all
-tokens, the unseen one of each class included, sum to one.
-
-Word counts and class trigram counts cover every learning text; both are summed by Spark. Training draws its examples
-from the whole table of trigram counts. On the driver are this table, of at most (CLASSES + 1)^2 * CLASSES rows of 12
-bytes as plain Arrow arrays, and the counts of the ``KNOWN`` most frequent words (a little fewer: no count is split; the end and the ``TOP`` words are always in); counts of all other words stay in a table and are joined to the occurrences of such words.
+Tokens are lower-cased words and one end per text. The end and the most frequent words, as many as the square root of
+the number of learning tokens (``own_words``), are units of the model; every other word belongs to one of ``SUFFIXES``
+units given by its last and first bytes. Units are numbered by falling count, and about as many units as there are
+classes form a class. A context vector is the sum of the vectors of the two units before, each times the matrix of its
+position. Its products with the vectors of all classes give the class, those with the units of that class the unit, so a
+token costs two normalisations over about the root of the number of units. Scoring does both in batched matrix products
+and multiplies by the word's add-one share of its unit, which leaves room for words never seen: probabilities of all
+tokens, the unseen one of each suffix included, sum to one.
+
+Vectors, matrices and biases are trained in numpy by noise-contrastive estimation, against the frequencies of classes
+and of units within the class. Word counts and training cover every learning token. Texts are written as blocks of units
+and read ``PASSES`` times, in more rounds the more blocks there are. In a round, tasks take Adagrad steps over their
+blocks from the same parameters; Spark sums their changes, each parameter row's weighted by the steps that touched it,
+as integers, and the driver applies the means. Scores depend a little on how rows lie in partitions, as the steps do.
+
+On the driver are the parameters (25 floats for each of at most about 2 * ``OWN_MOST`` rows), once more their summed
+changes, and the counts of the ``KNOWN`` most frequent words (a little fewer: no count is split; the end and the ``TOP``
+words are always in); counts of all other words stay in a table and are joined to the occurrences of such words.
 
 Defined cases: a null text counts as empty and has the end token only; ties among frequent words go by hash; rows of
 equal or null ids are scored row by row; other columns take no part. Without learning texts all counts are 0.
@@ -20,28 +27,34 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm.common import documents, remainder_is, stored
 from railyard.llm.wordhash import list_column, lower_case, mix, text_chunks, words_in
+from railyard.session import scratch_path
+from railyard.sources import files
 
 _U = np.uint64
 TOP, SUFFIXES = 95, 32
-CLASSES = 1 + TOP + SUFFIXES
-START = CLASSES  # the class before a text
+OWN_MOST = 1 << 15
 KNOWN = 100_000
 BLOCK_TOKENS = 2_000_000
+UNIT_BLOCK = 1 << 18  # tokens of a block to train on
+DIM, NOISE, BATCH, PASSES, RATE = 24, 4, 1024, 2, 0.1
+SCORED = 1 << 15  # tokens whose scores are held at a time
+SCALE = 1 << 20  # changes of parameters are summed as integers of this fraction
 END_HASH = np.uint64(0x5DEECE66D1234567)
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes and suffix classes (0 for the end) of all tokens, and the texts' offsets among them."""
+    """Hashes and suffixes (from 1, 0 for the end) of all tokens, and the texts' offsets among them."""
     hashes, at, starts, ends = words_in(data, offsets)
     n = len(offsets) - 1
     at_all = at + np.arange(n + 1)
@@ -52,7 +65,7 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
         b = lower_case(data).astype(np.uint64)
         before = np.where(ends - starts > 1, b[np.maximum(ends - 2, 0)], 0)
         key = b[ends - 1] | before << _U(8) | b[starts] << _U(16)
-        suffix[place] = (mix(key) % _U(SUFFIXES)).astype(np.int64) + 1 + TOP
+        suffix[place] = (mix(key) % _U(SUFFIXES)).astype(np.int64) + 1
     return out, suffix, at_all
 
 
@@ -75,55 +88,70 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block(found)
 
 
+def own_words(n: int) -> int:
+    """How many words are units of their own after ``n`` learning tokens."""
+    return min(OWN_MOST, max(TOP, math.isqrt(n)))
+
+
 @dataclass
 class Vocabulary:
-    """Known words by hash, their counts and classes; totals; the log10 denominators of the classes' shares."""
+    """Known words by hash, their counts and units; totals; the log10 denominators of the shares within suffixes."""
 
     hashes: np.ndarray
     counts: np.ndarray
-    classes: np.ndarray  # 0: as the suffix says
+    units: np.ndarray  # -1: as the suffix says
+    suffix_units: np.ndarray  # of suffixes, first the end's
+    unit_counts: np.ndarray
     n: int
     v: int
     share: np.ndarray
 
-    def look_up(self, hashes: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(known, count, class) of tokens."""
-        if not len(self.hashes):
-            return np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), suffix
-        x = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        known = self.hashes[x] == hashes
-        own = np.where(known, self.classes[x], 0)
-        return known, np.where(known, self.counts[x], 0), np.where((own > 0) & (suffix > 0), own, suffix)
-
-
-def contexts(classes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The classes one and two tokens before, START before a text."""
-    one, two = np.empty_like(classes), np.empty_like(classes)
-    one[1:], two[2:] = classes[:-1], classes[:-2]
+    @property
+    def start(self) -> int:
+        """The unit before a text."""
+        return len(self.unit_counts)
+
+    def look_up(self, hashes: np.ndarray, suffix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(known, count, unit, shares its unit) of tokens."""
+        known, count, own = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), np.full(len(hashes), -1)
+        if len(self.hashes):
+            x = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            known = self.hashes[x] == hashes
+            count = np.where(known, self.counts[x], 0)
+            own = np.where(known, self.units[x], -1)
+        own = np.where(suffix > 0, own, self.suffix_units[0])
+        return known, count, np.where(own >= 0, own, self.suffix_units[suffix]), own < 0
+
+
+def contexts(units: np.ndarray, at: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """The units one and two tokens before, ``start`` before a text."""
+    one, two = np.empty_like(units), np.empty_like(units)
+    one[1:], two[2:] = units[:-1], units[:-2]
     first = at[:-1]
-    one[first] = START
-    two[first] = START
+    one[first] = start
+    two[first] = start
     second = first[np.diff(at) > 1] + 1
-    two[second] = START
+    two[second] = start
     return one, two
 
 
-def _trigrams(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(vocabulary: Vocabulary, shares: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(share, units) of blocks of whole texts, two starts before each; a task's blocks are dealt to the shares in turn."""
+    turn = TaskContext.get().partitionId()
+
     def block(found: list) -> pa.RecordBatch:
-        code, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["code", "n"])
+        units = np.concatenate(found).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array([turn % shares], pa.int32()), pa.ListArray.from_arrays([0, len(units)], pa.array(units))], ["share", "units"])
 
     found, size = [], 0
     for batch in batches:
         for _, _, data, offsets in text_chunks(batch.column(0)):
             hashes, suffix, at = tokens(data, offsets)
-            c = vocabulary.look_up(hashes, suffix)[2]
-            one, two = contexts(c, at)
-            found.append((two * (CLASSES + 1) + one) * CLASSES + c)
-            size += len(c)
-            if size >= 2 * BLOCK_TOKENS:
+            found.append(np.insert(vocabulary.look_up(hashes, suffix)[2], np.repeat(at[:-1], 2), vocabulary.start))
+            size += len(hashes)
+            if size >= UNIT_BLOCK:
                 yield block(found)
-                found, size = [], 0
+                found, size, turn = [], 0, turn + 1
     if found:
         yield block(found)
 
@@ -132,84 +160,165 @@ def _trigrams(vocabulary: Vocabulary, batches: Iterator[pa.RecordBatch]) -> Iter
 
 @dataclass
 class LogBilinear:
-    vectors: np.ndarray  # of classes as context, START included
-    one: np.ndarray  # matrices of the two positions
-    two: np.ndarray
-    targets: np.ndarray
-    bias: np.ndarray
-
-    def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.vectors[one] @ self.one + self.vectors[two] @ self.two
-
-    def log10_table(self) -> np.ndarray:
-        """Normalised log10 probabilities of all classes after all pairs of classes, row ``two * (CLASSES + 1) + one``."""
-        n = CLASSES + 1
-        out = np.empty((n * n, CLASSES), np.float32)
-        for two in range(n):  # a batch of contexts
-            s = self.context(np.arange(n), np.full(n, two)) @ self.targets.T + self.bias
-            s -= s.max(1, keepdims=True)
-            out[two * n:(two + 1) * n] = (s - np.log(np.exp(s).sum(1, keepdims=True))) / math.log(10)
+    """Parameter rows end to end: vectors of units as context (the start included), of classes, of units as targets, and
+    the two matrices. The last column is a target's bias. ``seen``: mean squares of the gradients of each row, summed."""
+
+    counts: np.ndarray  # of units, falling
+    rows: np.ndarray
+    seen: np.ndarray
+
+    @classmethod
+    def new(cls, counts: np.ndarray) -> LogBilinear:
+        rng, m = np.random.RandomState(3), len(counts)
+        out = cls(np.asarray(counts, np.float64) + 1.0, np.zeros((0, DIM + 1), np.float32), np.zeros(0))
+        eye = np.hstack([np.eye(DIM), np.zeros((DIM, 1))])
+        targets = rng.randn(out.classes + m, DIM + 1) * 0.1
+        targets[:, DIM] = out.log_noise()
+        vectors = rng.randn(m + 1, DIM + 1) * 0.1
+        vectors[:, DIM] = 0
+        out.rows = np.vstack([vectors, targets, eye * 0.5, eye * 0.3]).astype(np.float32)
+        out.seen = np.full(len(out.rows), 1e-3)
+        return out
+
+    @property
+    def size(self) -> int:
+        """Units of a class, but for the last one."""
+        return max(1, math.isqrt(len(self.counts)))
+
+    @property
+    def classes(self) -> int:
+        return -(-len(self.counts) // self.size)
+
+    @property
+    def first_target(self) -> int:
+        return len(self.counts) + 1
+
+    def log_noise(self) -> np.ndarray:
+        """Log frequencies of the classes, then of the units within their class."""
+        per_class = np.add.reduceat(self.counts, np.arange(0, len(self.counts), self.size))
+        inside = self.counts / per_class[np.arange(len(self.counts)) // self.size]
+        return np.log(np.concatenate([per_class / per_class.sum(), inside]))
+
+    def context(self, two: np.ndarray, one: np.ndarray) -> np.ndarray:
+        """Context vectors with a last entry 1 that meets the targets' biases."""
+        q = self.rows[one, :DIM] @ self.rows[-2 * DIM:-DIM, :DIM] + self.rows[two, :DIM] @ self.rows[-DIM:, :DIM]
+        return np.hstack([q, np.ones((len(q), 1), np.float32)])
+
+    def log10(self, two: np.ndarray, one: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of units after two units."""
+        out = np.empty(len(unit))
+        targets = self.rows[self.first_target:-2 * DIM]
+        for a in range(0, len(unit), SCORED):
+            some = slice(a, a + SCORED)
+            q, word = self.context(two[some], one[some]), unit[some]
+            of = word // self.size
+            part = _log_share(q @ targets[:self.classes].T, of)
+            order = np.argsort(of, kind="stable")
+            ends = np.cumsum(np.bincount(of, minlength=self.classes))
+            for c in np.unique(of):
+                rows = order[ends[c - 1] if c else 0:ends[c]]
+                own = targets[self.classes + c * self.size:self.classes + min((c + 1) * self.size, len(self.counts))]
+                part[rows] += _log_share(q[rows] @ own.T, word[rows] - c * self.size)
+            out[some] = part / math.log(10)
         return out
 
 
-def train(codes: np.ndarray, counts: np.ndarray, dim: int = 24, steps: int = 2500, batch: int = 1024, noise: int = 12, rate: float = 0.08) -> LogBilinear:
-    """Noise-contrastive estimation on class trigrams drawn by their counts, with Adagrad."""
-    rng = np.random.RandomState(3)
-    unigram = np.bincount(codes % CLASSES, counts, CLASSES) + 1.0
-    p_noise = unigram / unigram.sum()
-    m = LogBilinear(rng.randn(CLASSES + 1, dim) * 0.1, np.eye(dim) * 0.5, np.eye(dim) * 0.3, rng.randn(CLASSES, dim) * 0.1, np.log(p_noise))
-    if not len(codes):
-        return m
-    order = np.argsort(codes)
-    codes, share = codes[order], np.cumsum(counts[order], dtype=np.float64)
-    share /= share[-1]
-    noise_share, log_kp = np.cumsum(p_noise), np.log(noise * p_noise)
-    seen = {k: np.full(v.shape, 1e-3) for k, v in vars(m).items()}
-
-    def step(name: str, g: np.ndarray) -> None:
-        seen[name] += g * g
-        getattr(m, name)[...] += rate * g / np.sqrt(seen[name])
-
-    for _ in range(steps):
-        code = codes[np.minimum(np.searchsorted(share, rng.rand(batch)), len(codes) - 1)].astype(np.int64)
-        target, one, two = code % CLASSES, code // CLASSES % (CLASSES + 1), code // CLASSES // (CLASSES + 1)
-        words = np.column_stack([target, np.minimum(np.searchsorted(noise_share, rng.rand(batch, noise)), CLASSES - 1)])
-        q = m.context(one, two)
-        r = m.targets[words]
-        delta = np.einsum("bd,bkd->bk", q, r) + m.bias[words] - log_kp[words]
-        g = -1 / (1 + np.exp(-np.clip(delta, -30, 30)))
-        g[:, 0] += 1  # towards the data, away from the noise
-        g /= batch
-        gq = np.einsum("bk,bkd->bd", g, r)
-        flat = words.ravel()
-        gt = np.zeros_like(m.targets)
-        np.add.at(gt, flat, (g[:, :, None] * q[:, None, :]).reshape(-1, dim))
-        gv = np.zeros_like(m.vectors)
-        np.add.at(gv, one, gq @ m.one.T)
-        np.add.at(gv, two, gq @ m.two.T)
-        g1, g2 = m.vectors[one].T @ gq, m.vectors[two].T @ gq
-        step("targets", gt)
-        step("bias", np.bincount(flat, g.ravel(), CLASSES))
-        step("vectors", gv)
-        step("one", g1)
-        step("two", g2)
-    return m
+def _log_share(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    scores = scores - scores.max(1, keepdims=True)
+    return scores[np.arange(len(at)), at].astype(np.float64) - np.log(np.exp(scores).sum(1, dtype=np.float64))
+
+
+def distinct_trigrams(units: np.ndarray, one: np.ndarray, two: np.ndarray, n_units: int) -> tuple[np.ndarray, ...]:
+    """(two, one, unit) of different trigrams, the number of each and where every token's is among them."""
+    code, inverse, times = np.unique((two * (n_units + 1) + one) * n_units + units, return_inverse=True, return_counts=True)
+    return code // n_units // (n_units + 1), code // n_units % (n_units + 1), code % n_units, times, inverse
+
+
+def train(model: LogBilinear, blocks: Iterator[np.ndarray], seed: int = 0) -> tuple[LogBilinear, np.ndarray]:
+    """Adagrad steps of noise-contrastive estimation over blocks of units; the new model and the steps that touched each
+    row. Equal trigrams of a block are one example that weighs as many."""
+    rng = np.random.RandomState(seed)
+    rows, seen, touched = model.rows.copy(), model.seen.copy(), np.zeros(len(model.rows), np.int64)
+    m, size, base = len(model.counts), model.size, model.first_target
+    log_noise = model.log_noise()
+    log_kp = (log_noise + math.log(NOISE)).astype(np.float32)
+    ends = np.concatenate([[0.0], np.cumsum(model.counts)])
+    class_ends = ends[np.minimum(np.arange(model.classes + 1) * size, m)]
+    matrices = np.arange(len(rows) - 2 * DIM, len(rows))
+    result = replace(model, rows=rows, seen=seen)
+    for block in blocks:
+        here = np.flatnonzero(block != m)
+        two, one, unit, times, _ = distinct_trigrams(block[here], block[here - 1], block[here - 2], m)
+        order = rng.permutation(len(unit))
+        for a in range(0, len(order), BATCH):
+            x = order[a:a + BATCH]
+            n, t, o, w = len(x), two[x], one[x], unit[x]
+            of = w // size
+            noise_class = np.searchsorted(class_ends, rng.rand(n, NOISE) * class_ends[-1], "right") - 1
+            lo, hi = class_ends[of][:, None], class_ends[of + 1][:, None]
+            noise_unit = np.clip(np.searchsorted(ends, lo + rng.rand(n, NOISE) * (hi - lo), "right") - 1, (of * size)[:, None], np.minimum(of * size + size, m)[:, None] - 1)
+            words = np.column_stack([of, np.minimum(noise_class, model.classes - 1), model.classes + w, model.classes + noise_unit])
+            q = result.context(t, o)
+            r = rows[base + words]
+            delta = np.einsum("bd,bkd->bk", q, r) - log_kp[words]
+            g = -1 / (1 + np.exp(-np.clip(delta, -30, 30)))
+            g[:, [0, NOISE + 1]] += 1  # towards the data, away from the noise
+            g *= times[x].astype(np.float32)[:, None]
+            gq = np.einsum("bk,bkd->bd", g, r)[:, :DIM]
+            v1, v2, pad = rows[o, :DIM], rows[t, :DIM], np.zeros((2 * n + 2 * DIM, 1), np.float32)
+            of_vectors = np.vstack([gq @ rows[-2 * DIM:-DIM, :DIM].T, gq @ rows[-DIM:, :DIM].T, v1.T @ gq, v2.T @ gq])
+            grads = np.vstack([np.hstack([of_vectors, pad]), (g[:, :, None] * q[:, None, :]).reshape(-1, DIM + 1)])
+            at = np.concatenate([o, t, matrices, base + words.ravel()])
+            by_row = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.diff(at[by_row], prepend=-1))
+            at, grads = at[by_row][first], np.add.reduceat(grads[by_row], first)
+            seen[at] += (grads * grads).mean(1)
+            rows[at] += RATE * grads / np.sqrt(seen[at])[:, None].astype(np.float32)
+            touched[at] += 1
+    return result, touched
+
+
+def _changes(model: LogBilinear, seed: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, times, c0, c1, ...): a task's changes of parameter rows and squares, times the steps that touched each."""
+    blocks = (row.values.to_numpy(zero_copy_only=False).astype(np.int64) for batch in batches for row in batch.column(0))
+    new, touched = train(model, blocks, seed * 1_000_003 + TaskContext.get().partitionId())
+    at = np.flatnonzero(touched)
+    change = np.column_stack([new.rows[at].astype(np.float64) - model.rows[at], new.seen[at] - model.seen[at]])
+    whole = np.rint(change * (touched[at, None] * float(SCALE))).astype(np.int64)
+    columns = [pa.array(at.astype(np.int32)), pa.array(touched[at]), *map(pa.array, whole.T.copy())]
+    yield pa.RecordBatch.from_arrays(columns, _CHANGE)
+
+
+_CHANGE = ["row", "times", *(f"c{i}" for i in range(DIM + 2))]
+
+
+def trained(model: LogBilinear, blocks: DataFrame, shares: int) -> LogBilinear:
+    """The model after ``PASSES`` over the blocks (share, units), a share of them a round."""
+    kinds = ", ".join(f"{c} {'int' if c == 'row' else 'long'}" for c in _CHANGE)
+    for k in range(PASSES * shares):
+        changes = blocks.where(F.col("share") == k % shares).select("units").mapInArrow(partial(_changes, model, k), kinds)
+        sums = changes.groupBy("row").agg(*[F.sum(c).alias(c) for c in _CHANGE[1:]]).toArrow()
+        at = sums["row"].to_numpy()
+        mean = np.column_stack([sums[c].to_numpy() for c in _CHANGE[2:]]) / SCALE / sums["times"].to_numpy()[:, None]
+        model = replace(model, rows=model.rows.copy(), seen=model.seen.copy())
+        model.rows[at] += mean[:, :-1].astype(np.float32)
+        model.seen[at] += mean[:, -1]
+    return model
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------------
 
 def _score(vocabulary: Vocabulary, model: LogBilinear, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = model.log10_table().ravel()
     for batch in batches:
         for first, end, data, offsets in text_chunks(batch.column(1)):
             hashes, suffix, at = tokens(data, offsets)
-            known, count, c = vocabulary.look_up(hashes, suffix)
-            one, two = contexts(c, at)
+            known, count, unit, shared = vocabulary.look_up(hashes, suffix)
+            one, two = contexts(unit, at, vocabulary.start)
+            *trigrams, _, inverse = distinct_trigrams(unit, one, two, vocabulary.start)
             n = end - first
             row = np.repeat(np.arange(n), np.diff(at))
             log_count = np.log10(count + 1.0)
-            in_suffix = c > TOP
-            terms = table[(two * (CLASSES + 1) + one) * CLASSES + c] + np.where(in_suffix, log_count - vocabulary.share[c], 0.0)
+            terms = model.log10(*trigrams)[inverse] + np.where(shared, log_count - vocabulary.share[suffix], 0.0)
             rare = np.bincount(row[~known], minlength=n)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at)),
@@ -236,26 +345,37 @@ def learn(texts: DataFrame) -> tuple[Vocabulary, LogBilinear, DataFrame]:
     counts = stored(texts.mapInArrow(_counted, "w long, suffix long, n long").groupBy("w").agg(
         F.min("suffix").alias("suffix"), F.sum("n").alias("n")), "word-counts")
     total = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    # the end and the words with a class of their own are known whatever the threshold
+    # the end and the TOP words are known whatever the threshold
     end = int(END_HASH.view(np.int64))
-    own = [r.w for r in counts.where(F.col("w") != end).orderBy(F.desc("n"), "w").limit(TOP).select("w").collect()]
-    known = counts.where((F.col("n") >= _least_count(counts)) | F.col("w").isin(end, *own)).toPandas().sort_values(["n", "w"], ascending=[False, True], ignore_index=True)
-    is_end = known["w"].to_numpy() == END_HASH.view(np.int64)
-    top = np.zeros(len(known), np.int64)
-    words = np.flatnonzero(~is_end)[:TOP]
-    top[words] = 1 + np.arange(len(words))
-    per_class = np.zeros((2, CLASSES))
+    first = [r.w for r in counts.where(F.col("w") != end).orderBy(F.desc("n"), "w").limit(TOP).select("w").collect()]
+    known = counts.where((F.col("n") >= _least_count(counts)) | F.col("w").isin(end, *first)).toPandas().sort_values(["n", "w"], ascending=[False, True], ignore_index=True)
+    per_suffix = np.zeros((2, SUFFIXES + 1), np.int64)
     for r in counts.where("suffix > 0").groupBy("suffix").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
-        per_class[:, r.suffix] = r.n, r.v
-    for k in words:
-        per_class[:, known["suffix"].iloc[k]] -= known["n"].iloc[k], 1
-    hashes = known["w"].to_numpy().view(np.uint64)
+        per_suffix[:, r.suffix] = r.n, r.v
+    w, n, suffix = known["w"].to_numpy(np.int64), known["n"].to_numpy(np.int64), known["suffix"].to_numpy(np.int64)
+    own = np.flatnonzero(w != end)[:own_words(int(total.n or 0))]
+    np.subtract.at(per_suffix[0], suffix[own], n[own])
+    np.subtract.at(per_suffix[1], suffix[own], 1)
+    per_suffix[0, 0] = n[w == end].sum()
+    of_units = np.concatenate([per_suffix[0], n[own]])  # the end, the suffixes, the words
+    falling = np.argsort(-of_units, kind="stable")
+    number = np.empty(len(falling), np.int64)
+    number[falling] = np.arange(len(falling))
+    units = np.full(len(w), -1)
+    units[own] = number[SUFFIXES + 1:]
+    per_suffix[:, 0] = 0
+    hashes = w.view(np.uint64)
     order = np.argsort(hashes)
-    vocabulary = Vocabulary(hashes[order], known["n"].to_numpy()[order], top[order], int(total.n or 0), int(total.v),
-                            np.log10(per_class.sum(0) + 1.0))
-    grams = texts.mapInArrow(partial(_trigrams, vocabulary), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    table = grams.select(F.col("code").cast("int"), "n").toArrow()
-    return vocabulary, train(table["code"].to_numpy(), table["n"].to_numpy()), counts
+    vocabulary = Vocabulary(hashes[order], n[order], units[order], number[:SUFFIXES + 1], of_units[falling], int(total.n or 0), int(total.v),
+                            np.log10(per_suffix.sum(0) + 1.0))
+    shares = (vocabulary.n // UNIT_BLOCK + 1).bit_length()
+    path = scratch_path(texts.sparkSession, "unit-blocks")
+    texts.mapInArrow(partial(_blocks, vocabulary, shares), "share int, units array<int>").write.partitionBy("share").option(
+        "compression", "zstd").parquet(path)
+    blocks = texts.sparkSession.read.schema("units array<int>, share int").parquet(path)
+    model = trained(LogBilinear.new(vocabulary.unit_counts), blocks, shares)
+    files.delete(texts.sparkSession, path)
+    return vocabulary, model, counts
 
 
 def scores(docs: DataFrame, learning, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

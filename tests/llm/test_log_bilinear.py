@@ -4,7 +4,6 @@ import math
 import re
 import zlib
 from collections import Counter
-from functools import partial
 
 import numpy as np
 import pytest
@@ -52,53 +51,120 @@ def test_edges(docs_of):
 def test_probabilities_sum_to_one(spark, sf001):
     texts = spark.read.parquet(f"{sf001}/documents.parquet").select("text")
     vocabulary, model, counts = B.learn(texts)
-    table = 10.0 ** model.log10_table().astype(float)
-    assert table.sum(1) == pytest.approx(np.ones(len(table)), abs=1e-3)
+    m = vocabulary.start
+    for two, one in [(m, m), (m, 0), (0, m - 1), (5, 9), (m - 1, m // 2)]:
+        logs = model.log10(np.full(m, two), np.full(m, one), np.arange(m))
+        assert (10.0 ** logs).sum() == pytest.approx(1, abs=1e-4)
     known = counts.toPandas()
-    _, n, cls = vocabulary.look_up(known["w"].to_numpy().view(np.uint64), known["suffix"].to_numpy())
-    inside = np.where(cls > B.TOP, np.log10(n + 1.0) - vocabulary.share[cls], 0.0)
-    total = np.bincount(cls, 10 ** inside, B.CLASSES)
-    unseen = 10 ** -vocabulary.share  # one unseen word of each suffix class
-    assert total[B.TOP + 1:] + unseen[B.TOP + 1:] == pytest.approx(np.ones(B.SUFFIXES), abs=1e-9)
-    assert total[:B.TOP + 1] == pytest.approx(np.ones(B.TOP + 1))
+    suffix = known["suffix"].to_numpy()
+    _, n, unit, shared = vocabulary.look_up(known["w"].to_numpy().view(np.uint64), suffix)
+    assert (~shared).sum() == B.own_words(vocabulary.n) + 1 and len(set(unit[~shared])) == B.own_words(vocabulary.n) + 1
+    assert not set(unit[shared]) & set(unit[~shared]) and set(unit[shared]) <= set(vocabulary.suffix_units[1:])
+    rest = counts.select(F.col("w"), F.col("n")).toPandas().set_index("w")["n"].loc[known["w"]].to_numpy()
+    inside = np.bincount(suffix[shared], (rest[shared] + 1.0) / 10 ** vocabulary.share[suffix[shared]], B.SUFFIXES + 1)
+    unseen = 10 ** -vocabulary.share  # one unseen word of each suffix
+    assert inside[1:] + unseen[1:] == pytest.approx(np.ones(B.SUFFIXES), abs=1e-9)
+
+
+def test_own_words_grow_with_the_tokens():
+    assert [B.own_words(n) for n in (0, 10 ** 4, 10 ** 6, 10 ** 8)] == [95, 100, 1000, 10000]
+
+
+def as_block(texts, start):
+    return np.concatenate([np.concatenate([[start, start], t]) for t in texts])
 
 
 def test_training_approaches_the_distribution():
-    """On a known Markov chain of classes the model nears its entropy."""
+    """On a known Markov chain of units the model nears its entropy."""
     rng = np.random.RandomState(0)
     p = rng.dirichlet(np.full(12, 0.3), 12)
-    one, two, c = (rng.randint(0, 12, 40000) for _ in range(3))
-    c = np.array([rng.choice(12, p=p[x]) for x in one])
-    codes, counts = np.unique((two * (B.CLASSES + 1) + one) * B.CLASSES + c, return_counts=True)
-    m = B.train(codes, counts)
-    table = m.log10_table()
-    got = table[two * (B.CLASSES + 1) + one, c].mean()
-    best = np.log10(p[one, c]).mean()
+    texts = []
+    for _ in range(400):
+        t = [rng.randint(12)]
+        while len(t) < 100:
+            t.append(rng.choice(12, p=p[t[-1]]))
+        texts.append(np.array(t))
+    counts = np.bincount(np.concatenate(texts), minlength=12)
+    number = np.empty(12, int)
+    number[np.argsort(-counts, kind="stable")] = np.arange(12)
+    texts, p = [number[t] for t in texts], p[np.ix_(np.argsort(number), np.argsort(number))]
+    new, touched = B.train(B.LogBilinear.new(np.sort(counts)[::-1]), (as_block(texts[k::20], 12) for _ in range(3) for k in range(20)))
+    one, c = (np.concatenate(x) for x in ([t[1:-1] for t in texts], [t[2:] for t in texts]))
+    two = np.concatenate([t[:-2] for t in texts])
+    got, best = new.log10(two, one, c).mean(), np.log10(p[one, c]).mean()
     flat = np.log10(np.bincount(c, minlength=12)[c] / len(c)).mean()
     assert got > flat + 0.7 * (best - flat)
+    assert (touched[:13] > 0).all()
+
+
+def test_trains_on_every_token(docs_of, monkeypatch):
+    """However large the corpus, every learning token is in one block of one round of a pass."""
+    monkeypatch.setattr(B, "UNIT_BLOCK", 1000)
+    rounds = []
 
+    def seen(model, blocks, shares):
+        rounds.extend((r.share, shares, r.units) for r in blocks.collect())
+        return model
 
-def test_trains_on_all_trigrams(docs_of, monkeypatch):
-    """However large the corpus, every class trigram takes part with its own count."""
-    seen, train = {}, B.train
-    monkeypatch.setattr(B, "train", lambda codes, counts: seen.update(zip(codes.tolist(), counts.tolist())) or train(codes, counts, steps=2))
-    texts = ["a b c d " * 100000, "a b c d " * 100000, *(f"{x} {y} {z}" for x in "abcd" for y in "abcd" for z in "abcd")]
+    monkeypatch.setattr(B, "trained", seen)
+    texts = ["a b c d " * 3000, "a b c d " * 3000, *(f"{x} {y} {z}" for x in "abcd" for y in "abcd" for z in "abcd"), "", None]
     vocabulary, _, _ = B.learn(docs_of(texts).select("text"))
-    own = {w: int(c) for w, c in zip(vocabulary.hashes.tolist(), vocabulary.classes)}
+    assert all(0 <= share < shares == (vocabulary.n // 1000 + 1).bit_length() for share, shares, _ in rounds)
+    unit = {int(h): int(u) for h, u in zip(vocabulary.hashes, vocabulary.units)}
     want = Counter()
     for t in texts:
-        hashes, _, _ = B.tokens(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))
-        two, one = B.START, B.START
-        for c in (own[h] for h in hashes.tolist()):
-            want[(two * (B.CLASSES + 1) + one) * B.CLASSES + c] += 1
-            two, one = one, c
-    assert seen == want and sum(seen.values()) == vocabulary.n > 800000
+        hashes, suffix, _ = B.tokens(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len(t or "")]))
+        want[tuple(unit[int(h)] if s else vocabulary.suffix_units[0] for h, s in zip(hashes, suffix))] += 1
+    got = Counter()
+    for _, _, block in rounds:
+        text = None
+        for u in [*block, vocabulary.start]:
+            if u == vocabulary.start:
+                if text:
+                    got[tuple(text)] += 1
+                text = []
+            else:
+                text.append(u)
+    assert got == want and sum(len(t) * n for t, n in got.items()) == vocabulary.n
+
+
+def test_score_by_hand(docs_of, monkeypatch):
+    """The score of a text from the model's parameters, token by token in plain Python."""
+    learnt = {}
+    learn = B.learn
+    monkeypatch.setattr(B, "learn", lambda texts: learnt.setdefault("all", learn(texts)))
+    texts = [" ".join(f"w{i * i % (20 + k)}{'xyz'[i % 3]}" for i in range(300)) for k in range(40)] + ["unseen words", ""]
+    docs = docs_of(texts)
+    got = {r.doc_id: r.score for r in B.scores(docs, F.col("doc_id") != 40).collect()}
+    vocabulary, model, counts = learnt["all"]
+    count = {r.w: r.n for r in counts.collect()}
+    rows, m, d = model.rows.astype(float), vocabulary.start, B.DIM
+    targets = rows[m + 1:-2 * d]
+
+    def log_share(q, own, at):
+        s = [sum(x * y for x, y in zip(q, t[:d])) + t[d] for t in own]
+        return (s[at] - math.log(sum(map(math.exp, s)))) / math.log(10)
+
+    assert any(vocabulary.look_up(B.tokens(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t)]))[0], np.ones(len(t.split()) + 1, int))[3].any() for t in texts[:3])
+    for r in docs.collect()[-5:]:
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        hashes, suffix, _ = B.tokens(data, np.array([0, len(data)]))
+        _, _, unit, shared = vocabulary.look_up(hashes, suffix)
+        one, two, want = m, m, 0.0
+        for h, s, u, of_many in zip(hashes, suffix, unit, shared):
+            q = rows[one, :d] @ rows[-2 * d:-d, :d] + rows[two, :d] @ rows[-d:, :d]
+            c = u // model.size
+            want += log_share(q, targets[:model.classes], c)
+            want += log_share(q, targets[model.classes:][c * model.size:min(m, (c + 1) * model.size)], u - c * model.size)
+            if of_many:
+                want += math.log10(count.get(int(h.view(np.int64)), 0) + 1) - vocabulary.share[s]
+            one, two = u, one
+        assert got[r.doc_id] == pytest.approx(want, rel=1e-4)
 
 
 def test_known_words_change_no_score(docs_of, monkeypatch):
     """Few long texts: the end is rarer than the known words, and its class has no other token."""
     docs = docs_of([" ".join(f"w{i % (7 + k)}" for i in range(400)) + f" once{k}" for k in range(3)])
-    monkeypatch.setattr(B, "train", partial(B.train, steps=20))
     want = {r.doc_id: r for r in B.scores(docs, F.lit(True)).collect()}
     monkeypatch.setattr(B, "KNOWN", 0)
     for r in B.scores(docs, F.lit(True)).collect():
