@@ -9,9 +9,10 @@ token costs two normalisations over about the root of the number of units. Scori
 and multiplies by the word's add-one share of its unit, which leaves room for words never seen: probabilities of all
 tokens, the unseen one of each suffix included, sum to one.
 
-Vectors, matrices and biases are trained in numpy by noise-contrastive estimation, against the frequencies of classes
-and of units within the class. Word counts and training cover every learning token. Texts are written as blocks of units
-and read ``PASSES`` times, in more rounds the more blocks there are. In a round, tasks take Adagrad steps over their
+Vectors, matrices and biases are trained in numpy by noise-contrastive estimation: classes against noise by their
+frequencies, which a batch shares, units against even noise within their class, whose units are about as frequent. Word
+counts and training cover every learning token. Texts are written as blocks of units and read ``PASSES`` times, in more
+rounds the more blocks there are. In a round, tasks take Adagrad steps over their
 blocks from the same parameters; Spark sums their changes, each parameter row's weighted by the steps that touched it,
 as integers, and the driver applies the means. Scores depend a little on how rows lie in partitions, as the steps do.
 
@@ -46,9 +47,11 @@ TOP, SUFFIXES = 95, 32
 OWN_MOST = 1 << 15
 KNOWN = 100_000
 BLOCK_TOKENS = 2_000_000
-UNIT_BLOCK = 1 << 18  # tokens of a block to train on
-DIM, NOISE, BATCH, PASSES, RATE = 24, 4, 1024, 2, 0.1
-SCORED = 1 << 15  # tokens whose scores are held at a time
+UNIT_BLOCK = 1 << 20  # tokens of a block to train on
+DIM, BATCH, PASSES, RATE = 24, 1024, 1, 0.1
+CLASS_NOISE, UNIT_NOISE = 16, 2  # noise classes of a batch, noise units of an example
+CHUNK_BYTES = 4 << 20  # texts whose equal trigrams are scored once
+SCORED, SCORES = 1 << 17, 1 << 13  # tokens whose context vectors and whose scores are held at a time
 SCALE = 1 << 20  # changes of parameters are summed as integers of this fraction
 END_HASH = np.uint64(0x5DEECE66D1234567)
 
@@ -205,27 +208,38 @@ class LogBilinear:
         return np.hstack([q, np.ones((len(q), 1), np.float32)])
 
     def log10(self, two: np.ndarray, one: np.ndarray, unit: np.ndarray) -> np.ndarray:
-        """Normalised log10 probabilities of units after two units."""
+        """Normalised log10 probabilities of units after two units; neighbours of equal context share its vector."""
         out = np.empty(len(unit))
-        targets = self.rows[self.first_target:-2 * DIM]
+        targets, m = self.rows[self.first_target:-2 * DIM], len(self.counts)
         for a in range(0, len(unit), SCORED):
             some = slice(a, a + SCORED)
-            q, word = self.context(two[some], one[some]), unit[some]
-            of = word // self.size
-            part = _log_share(q @ targets[:self.classes].T, of)
+            t, o, word = two[some], one[some], unit[some]
+            new = np.diff(t * (m + 1) + o, prepend=-1) != 0
+            run, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            q = self.context(t[first], o[first])
+            of, part = word // self.size, np.empty(len(word))
+            log_sums = _log_sums(q, targets[:self.classes])
+            part = np.einsum("nd,nd->n", q[run], targets[of]).astype(np.float64) - log_sums[run]
             order = np.argsort(of, kind="stable")
             ends = np.cumsum(np.bincount(of, minlength=self.classes))
             for c in np.unique(of):
                 rows = order[ends[c - 1] if c else 0:ends[c]]
-                own = targets[self.classes + c * self.size:self.classes + min((c + 1) * self.size, len(self.counts))]
-                part[rows] += _log_share(q[rows] @ own.T, word[rows] - c * self.size)
+                own = targets[self.classes + c * self.size:self.classes + min((c + 1) * self.size, m)]
+                mine = q[run[rows]]
+                part[rows] += np.einsum("nd,nd->n", mine, own[word[rows] - c * self.size]) - _log_sums(mine, own)
             out[some] = part / math.log(10)
         return out
 
 
-def _log_share(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(1, keepdims=True)
-    return scores[np.arange(len(at)), at].astype(np.float64) - np.log(np.exp(scores).sum(1, dtype=np.float64))
+def _log_sums(q: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Logs of the sums of the exponentials of the products with all targets."""
+    out = np.empty(len(q))
+    for a in range(0, len(q), SCORES):
+        scores = q[a:a + SCORES] @ targets.T
+        most = scores.max(1, keepdims=True)
+        scores -= most
+        out[a:a + SCORES] = np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0]
+    return out
 
 
 def distinct_trigrams(units: np.ndarray, one: np.ndarray, two: np.ndarray, n_units: int) -> tuple[np.ndarray, ...]:
@@ -237,47 +251,70 @@ def distinct_trigrams(units: np.ndarray, one: np.ndarray, two: np.ndarray, n_uni
 def train(model: LogBilinear, blocks: Iterator[np.ndarray], seed: int = 0) -> tuple[LogBilinear, np.ndarray]:
     """Adagrad steps of noise-contrastive estimation over blocks of units; the new model and the steps that touched each
     row. Equal trigrams of a block are one example that weighs as many."""
-    rng = np.random.RandomState(seed)
+    rng = np.random.default_rng(seed)
     rows, seen, touched = model.rows.copy(), model.seen.copy(), np.zeros(len(model.rows), np.int64)
-    m, size, base = len(model.counts), model.size, model.first_target
-    log_noise = model.log_noise()
-    log_kp = (log_noise + math.log(NOISE)).astype(np.float32)
-    ends = np.concatenate([[0.0], np.cumsum(model.counts)])
-    class_ends = ends[np.minimum(np.arange(model.classes + 1) * size, m)]
-    matrices = np.arange(len(rows) - 2 * DIM, len(rows))
+    m, size, base, classes = len(model.counts), model.size, model.first_target, model.classes
+    of_units = base + classes
+    log_class = model.log_noise()[:classes].astype(np.float32) + np.float32(math.log(CLASS_NOISE))
+    class_ends = np.cumsum(np.add.reduceat(model.counts, np.arange(0, m, size)))
+    sizes = np.minimum(np.arange(1, classes + 1) * size, m) - np.arange(classes) * size
+    log_unit = np.log(UNIT_NOISE / sizes).astype(np.float32)
+    one_matrix, two_matrix = rows[-2 * DIM:-DIM, :DIM], rows[-DIM:, :DIM]
+    always = np.concatenate([np.arange(base, of_units), np.arange(len(rows) - 2 * DIM, len(rows))])
     result = replace(model, rows=rows, seen=seen)
+
+    def step(at: np.ndarray, grads: np.ndarray) -> None:
+        seen[at] += np.einsum("nd,nd->n", grads, grads) / (DIM + 1)
+        rows[at] += grads * (RATE / np.sqrt(seen[at])).astype(np.float32)[:, None]
+        touched[at] += 1
+
     for block in blocks:
         here = np.flatnonzero(block != m)
         two, one, unit, times, _ = distinct_trigrams(block[here], block[here - 1], block[here - 2], m)
         order = rng.permutation(len(unit))
         for a in range(0, len(order), BATCH):
             x = order[a:a + BATCH]
-            n, t, o, w = len(x), two[x], one[x], unit[x]
+            x = x[np.argsort(unit[x])]
+            n, t, o, w, weight = len(x), two[x], one[x], unit[x], times[x].astype(np.float32)[:, None]
+            v1, v2 = rows[o, :DIM], rows[t, :DIM]
+            q = np.ones((n, DIM + 1), np.float32)
+            q[:, :DIM] = v1 @ one_matrix + v2 @ two_matrix
             of = w // size
-            noise_class = np.searchsorted(class_ends, rng.rand(n, NOISE) * class_ends[-1], "right") - 1
-            lo, hi = class_ends[of][:, None], class_ends[of + 1][:, None]
-            noise_unit = np.clip(np.searchsorted(ends, lo + rng.rand(n, NOISE) * (hi - lo), "right") - 1, (of * size)[:, None], np.minimum(of * size + size, m)[:, None] - 1)
-            words = np.column_stack([of, np.minimum(noise_class, model.classes - 1), model.classes + w, model.classes + noise_unit])
-            q = result.context(t, o)
-            r = rows[base + words]
-            delta = np.einsum("bd,bkd->bk", q, r) - log_kp[words]
-            g = -1 / (1 + np.exp(-np.clip(delta, -30, 30)))
-            g[:, [0, NOISE + 1]] += 1  # towards the data, away from the noise
-            g *= times[x].astype(np.float32)[:, None]
-            gq = np.einsum("bk,bkd->bd", g, r)[:, :DIM]
-            v1, v2, pad = rows[o, :DIM], rows[t, :DIM], np.zeros((2 * n + 2 * DIM, 1), np.float32)
-            of_vectors = np.vstack([gq @ rows[-2 * DIM:-DIM, :DIM].T, gq @ rows[-DIM:, :DIM].T, v1.T @ gq, v2.T @ gq])
-            grads = np.vstack([np.hstack([of_vectors, pad]), (g[:, :, None] * q[:, None, :]).reshape(-1, DIM + 1)])
-            at = np.concatenate([o, t, matrices, base + words.ravel()])
-            by_row = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.diff(at[by_row], prepend=-1))
-            at, grads = at[by_row][first], np.add.reduceat(grads[by_row], first)
-            seen[at] += (grads * grads).mean(1)
-            rows[at] += RATE * grads / np.sqrt(seen[at])[:, None].astype(np.float32)
-            touched[at] += 1
+            # classes: towards the data, away from the noise that the batch shares
+            noise = np.bincount(np.minimum(np.searchsorted(class_ends, rng.random(CLASS_NOISE) * class_ends[-1], "right"), classes - 1), minlength=classes)
+            some = np.flatnonzero(noise)
+            targets = rows[base:of_units]
+            g_noise = -_sigmoid(q @ targets[some].T - log_class[some]) * noise[some].astype(np.float32) * weight
+            own = targets[of]
+            g_own = (1 - _sigmoid(np.einsum("nd,nd->n", q, own) - log_class[of]))[:, None] * weight
+            # units: the same within the class
+            words = np.column_stack([w, of[:, None] * size + (rng.random((n, UNIT_NOISE)) * sizes[of][:, None]).astype(np.int64)])
+            r = rows[of_units + words]
+            g = -_sigmoid(np.einsum("nkd,nd->nk", r, q) - log_unit[of][:, None])
+            g[:, 0] += 1
+            g *= weight
+            gq = (g_noise @ targets[some] + g_own * own + sum(g[:, [k]] * r[:, k] for k in range(1 + UNIT_NOISE)))[:, :DIM]
+            dense = np.zeros((len(always), DIM + 1), np.float32)
+            dense[some] = g_noise.T @ q
+            first = np.flatnonzero(np.diff(of, prepend=-1))
+            dense[of[first]] += np.add.reduceat(g_own * q, first)
+            dense[classes:classes + DIM, :DIM], dense[classes + DIM:, :DIM] = v1.T @ gq, v2.T @ gq
+            grads = np.zeros((n * (3 + UNIT_NOISE), DIM + 1), np.float32)
+            grads[:n, :DIM], grads[n:2 * n, :DIM] = gq @ one_matrix.T, gq @ two_matrix.T
+            grads[2 * n:] = (g[:, :, None] * q[:, None, :]).reshape(-1, DIM + 1)
+            at = np.concatenate([o, t, of_units + words.ravel()]).astype(np.int32)
+            by_row = np.argsort(at)
+            at = at[by_row]
+            first = np.flatnonzero(np.diff(at, prepend=-1))
+            step(at[first], np.add.reduceat(grads[by_row], first))
+            step(always, dense)
     return result, touched
 
 
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
 def _changes(model: LogBilinear, seed: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, times, c0, c1, ...): a task's changes of parameter rows and squares, times the steps that touched each."""
     blocks = (row.values.to_numpy(zero_copy_only=False).astype(np.int64) for batch in batches for row in batch.column(0))
@@ -310,7 +347,7 @@ def trained(model: LogBilinear, blocks: DataFrame, shares: int) -> LogBilinear:
 
 def _score(vocabulary: Vocabulary, model: LogBilinear, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, end, data, offsets in text_chunks(batch.column(1)):
+        for first, end, data, offsets in text_chunks(batch.column(1), CHUNK_BYTES):
             hashes, suffix, at = tokens(data, offsets)
             known, count, unit, shared = vocabulary.look_up(hashes, suffix)
             one, two = contexts(unit, at, vocabulary.start)
