@@ -47,10 +47,10 @@ TOP, SUFFIXES = 95, 32
 OWN_MOST = 1 << 15
 KNOWN = 100_000
 BLOCK_TOKENS = 2_000_000
-UNIT_BLOCK = 1 << 20  # tokens of a block to train on
+UNIT_BLOCK = 1 << 19  # tokens of a block to train on
 DIM, BATCH, PASSES, RATE = 24, 1024, 1, 0.1
 CLASS_NOISE, UNIT_NOISE = 16, 2  # noise classes of a batch, noise units of an example
-CHUNK_BYTES = 4 << 20  # texts whose equal trigrams are scored once
+CHUNK_BYTES = 2 << 20  # texts whose equal trigrams are scored once
 SCORED, SCORES = 1 << 17, 1 << 13  # tokens whose context vectors and whose scores are held at a time
 SCALE = 1 << 20  # changes of parameters are summed as integers of this fraction
 END_HASH = np.uint64(0x5DEECE66D1234567)
