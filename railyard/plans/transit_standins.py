@@ -97,6 +97,12 @@ def raw_positions_from_events(events: DataFrame) -> DataFrame:
 
 
 SNAPSHOT_DAYS = 28
+# raw rows that one task derives and ranks: few enough to sort in memory, copies included
+ROWS_PER_TASK = 500_000
+
+
+def _tasks(lineitem: DataFrame, copies: int) -> int:
+    return max(_files(lineitem.sparkSession), -(-lineitem.count() * copies // ROWS_PER_TASK))
 
 
 def raw_trip_updates_from_lines(lineitem: DataFrame, orders: DataFrame, events: DataFrame, copies: int = 2) -> DataFrame:
@@ -104,8 +110,12 @@ def raw_trip_updates_from_lines(lineitem: DataFrame, orders: DataFrame, events:
     newest = events.select(bucket_start(epoch_seconds(F.max("ts")), DAY)).scalar()
     last_ship = lineitem.select(F.max("l_shipdate")).scalar()
     behind = F.pmod(F.datediff(last_ship, "l_shipdate"), F.lit(SNAPSHOT_DAYS))
+    # a partition's rows are multiplied by the copies after the join: their number follows the rows that come out, as
+    # partitions merged by the size of what goes in would be sorted on disk
+    tasks = _tasks(lineitem, copies)
+    lines, o = lineitem.repartition(tasks, "l_orderkey"), o.repartition(tasks, "l_orderkey")
     # computed once per row, then reused (the scalar subqueries run once)
-    j = (lineitem.join(o, "l_orderkey").withColumn("__fts", newest - behind * DAY)
+    j = (lines.join(o, "l_orderkey").withColumn("__fts", newest - behind * DAY)
          .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
     feed_ts, copy, order, nr = F.col("__fts"), F.col("__copy"), F.col("l_orderkey"), F.col("l_linenumber")
     minutes = F.datediff("l_shipdate", "o_orderdate") * 60
