@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from railyard.plans import transit_standins as tq
+from railyard.sources import versions
+from railyard.streaming import incremental
 
 LINEITEM = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, "
             "l_linestatus string, l_shipdate timestamp_ntz")
@@ -24,3 +29,22 @@ def test_partitions_of_raw_trip_updates_follow_the_copies(spark, monkeypatch):
     raw = tq.raw_trip_updates_from_lines(li, od, ev, copies=5)
     assert raw.count() == 20 * 4 * 5
     assert raw.rdd.getNumPartitions() == 20 * 4 * 5 // 20
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_a_merge_into_few_buckets_shuffles_its_rows_once(spark, tmp_dir, monkeypatch, few):
+    plans, write = [], versions.write_batch
+
+    def spy(rows, root, name=None, **kw):
+        plans.append(bool(kw.get("rebalance", True)))
+        return write(rows, root, name, **kw)
+
+    monkeypatch.setattr(versions, "write_batch", spy)
+    monkeypatch.setattr(incremental, "FEW_BUCKETS", few)
+    how = dict(keys=["k"], order=["at"], tie_breakers=["v"], bucket=F.col("k") % 3)
+    for batch, rows in enumerate(([(k, 1, k) for k in range(30)], [(k, 2, -k) for k in range(0, 30, 2)])):
+        df = spark.createDataFrame(rows, "k long, at long, v long")
+        incremental.merge_batch(df, batch, tmp_dir, **how)
+    got = {tuple(r) for r in incremental.read_current(spark, tmp_dir).collect()}
+    assert got == {(k, 1, k) if k % 2 else (k, 2, -k) for k in range(30)}
+    assert plans == [few == 0] * 2  # only a merge into many buckets needs the second shuffle
