@@ -16,7 +16,9 @@ declared feed schema — no inference.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.functions.scalars import bucket_start, epoch_seconds
@@ -31,13 +33,13 @@ from railyard.sources.raw import read_feed
 INGESTED_AT_MICROS = 1_700_000_000_000_000
 
 
-def _snapshots(entities: DataFrame, snapshot_col: str, path: str) -> str:
-    """Nest entities per snapshot time, write one JSON snapshot per line."""
-    nested = nest_bounded(entities, [snapshot_col], "entity", F.col("e"))
+def _snapshots(entities: DataFrame, snapshot_col: str, path: str, finish: Callable[[Column], Column] | None = None) -> str:
+    """Nest entities per snapshot time, write one JSON snapshot per line; ``finish`` makes the entity of ``e``."""
+    nested = nest_bounded(entities, [snapshot_col], "entity", F.col("e"), finish=finish)
     header = F.struct(F.lit("2.0").alias("gtfs_realtime_version"),
                       F.pmod(F.floor(F.col(snapshot_col) / DAY), F.lit(2)).cast("int").alias("incrementality"),
                       F.col(snapshot_col).alias("timestamp"))
-    nested.select(header.alias("header"), "entity").write.json(path)
+    nested.select(header.alias("header"), "entity").write.option("compression", "gzip").json(path)
     return path
 
 
@@ -86,36 +88,46 @@ def trip_update_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, "l_orderkey").withColumn("snap", epoch_seconds("l_shipdate")) \
         .withColumn("mins", F.datediff("l_shipdate", "o_orderdate") * 60)
-    nr = F.col("l_linenumber")
-    stop = F.struct(
+    # what is collected holds the values only; the feed's fields are made of them afterwards
+    line = F.struct(F.col("l_linenumber").alias("nr"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+                    F.col("l_quantity").cast("int").alias("quantity"), F.col("mins"),
+                    (F.col("l_returnflag") != "R").alias("arrives"), (F.col("l_linestatus") != "F").alias("departs"))
+    trips = nest_bounded(j, ["l_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "snap"], "lines", line)
+    entities = trips.select("snap", F.struct("l_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "lines").alias("e"))
+    path = scratch_path(spark, "feed-trip-updates")
+    return read_feed(spark, _snapshots(entities, "snap", path, lambda e: _trip_entity(e, F.col("snap"))))
+
+
+def _stop(line: Column, snap: Column) -> Column:
+    nr, mins = line["nr"], line["mins"]
+    return F.struct(
         nr.cast("long").alias("stop_sequence"),
-        F.col("l_partkey").cast("string").alias("stop_id"),
+        line["part"].cast("string").alias("stop_id"),
         F.when(nr < 6, nr).alias("schedule_relationship"),
-        F.when(F.col("l_returnflag") != "R", F.struct(
-            F.col("mins").alias("delay"), (F.col("snap") + F.col("mins")).alias("time"),
-            F.col("l_suppkey").cast("int").alias("uncertainty"))).alias("arrival"),
-        F.when(F.col("l_linestatus") != "F", F.struct(
-            (F.col("mins") + 30).alias("delay"), (F.col("snap") + F.col("mins") + 1800).alias("time"),
-            F.col("l_quantity").cast("int").alias("uncertainty"))).alias("departure"),
+        F.when(line["arrives"], F.struct(
+            mins.alias("delay"), (snap + mins).alias("time"), line["supp"].cast("int").alias("uncertainty"))).alias("arrival"),
+        F.when(line["departs"], F.struct(
+            (mins + 30).alias("delay"), (snap + mins + 1800).alias("time"),
+            line["quantity"].alias("uncertainty"))).alias("departure"),
     )
-    trips = nest_bounded(j, ["l_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "snap"], "stops", stop)
-    order = F.col("l_orderkey")
-    e = F.struct(
+
+
+def _trip_entity(e: Column, snap: Column) -> Column:
+    order, customer = e["l_orderkey"], e["o_custkey"]
+    return F.struct(
         order.cast("string").alias("id"),
         F.struct(
-            F.struct(F.concat(F.lit("t"), order).alias("trip_id"), F.concat(F.lit("r"), "o_custkey").alias("route_id"),
+            F.struct(F.concat(F.lit("t"), order).alias("trip_id"), F.concat(F.lit("r"), customer).alias("route_id"),
                      (order % 2).alias("direction_id"),
                      F.concat(F.lpad((order % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("start_time"),
-                     F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
+                     F.date_format(e["o_orderdate"], "yyyyMMdd").alias("start_date"),
                      (order % 10).cast("int").alias("schedule_relationship")).alias("trip"),
-            F.struct(F.concat(F.lit("v"), "o_custkey").alias("id"), F.col("o_orderpriority").alias("label")).alias("vehicle"),
+            F.struct(F.concat(F.lit("v"), customer).alias("id"), e["o_orderpriority"].alias("label")).alias("vehicle"),
             (order % 1000).cast("int").alias("delay"),
-            (F.col("snap") + 5).alias("timestamp"),
-            F.col("stops").alias("stop_time_update"),
+            (snap + 5).alias("timestamp"),
+            F.transform(e["lines"], lambda line: _stop(line, snap)).alias("stop_time_update"),
         ).alias("trip_update"),
     )
-    entities = trips.select("snap", e.alias("e"))
-    return read_feed(spark, _snapshots(entities, "snap", scratch_path(spark, "feed-trip-updates")))
 
 
 def q_feed_vehicles(spark, sf_dir):

@@ -14,6 +14,10 @@ Every function reads whole tables and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,24 +178,29 @@ def q_unnest(spark, sf_dir):
 
 
 def nest_bounded(df: DataFrame, keys: list[str], item: str, payload: list[str] | Column,
-                 max_items: int = 1024) -> DataFrame:
+                 max_items: int = 1024, finish: Callable[[Column], Column] | None = None) -> DataFrame:
     """Group rows into ``(keys, item: array<element>)`` rows of about
     ``max_items`` elements (element = ``struct(payload)`` or the given
     Column): a key with n rows is dealt evenly, by a row number, over
     ceil(n/max_items) chunks, so neither a hot key nor a row that repeats very
-    often becomes one huge row. Rows and counts are stored first: a task that
-    is run again deals its rows alike, and the join of the two tables splits a
-    hot key's partition (an aggregate on the join's key would keep it whole).
-    Chunk choice does not affect the flattened result."""
+    often becomes one huge row. Rows are stored first (a task that is run again
+    deals its rows alike), and the counts of keys with more than ``max_items``
+    rows, at most one for so many rows: joined to few, rows need no shuffle but
+    the one that collects them. ``finish`` makes the item of what was collected.
+    Chunk choice does not affect the flattened result. Rows with a NULL key
+    are dropped."""
     element = payload if isinstance(payload, Column) else F.struct(*payload)
     spark = df.sparkSession
     rows_at, counts_at = scratch_path(spark, "nest-rows"), scratch_path(spark, "nest-counts")
-    df.select(*keys, element.alias("__item"), F.monotonically_increasing_id().alias("__nr")).write.parquet(rows_at)
+    known = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    (df.where(known).select(*keys, element.alias("__item"), F.monotonically_increasing_id().alias("__nr"))
+     .write.option("compression", "zstd").parquet(rows_at))
     rows = spark.read.parquet(rows_at)
-    rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).write.parquet(counts_at)
-    salted = rows.join(spark.read.parquet(counts_at), keys).withColumn(
-        "__chunk", F.pmod(F.xxhash64("__nr"), F.ceil(F.col("__n") / F.lit(max_items))).cast("int"))
-    return salted.groupBy(*keys, "__chunk").agg(F.collect_list("__item").alias(item)).drop("__chunk")
+    (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max_items).write.parquet(counts_at))
+    salted = rows.join(spark.read.parquet(counts_at), keys, "left").withColumn(
+        "__chunk", F.pmod(F.xxhash64("__nr"), F.ceil(F.coalesce("__n", F.lit(1)) / F.lit(max_items))).cast("int"))
+    nested = salted.groupBy(*keys, "__chunk").agg(F.collect_list("__item").alias(item)).drop("__chunk")
+    return nested.withColumn(item, F.transform(item, finish)) if finish else nested
 
 
 def q_unnest_two_level(spark, sf_dir):

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
+from railyard.plans import feed_standins as fq
 from railyard.plans import transit_standins as tq
+from railyard.plans.standins import nest_bounded
 from railyard.sources import versions
 from railyard.streaming import incremental
 
@@ -48,3 +50,31 @@ def test_a_merge_into_few_buckets_shuffles_its_rows_once(spark, tmp_dir, monkeyp
     got = {tuple(r) for r in incremental.read_current(spark, tmp_dir).collect()}
     assert got == {(k, 1, k) if k % 2 else (k, 2, -k) for k in range(30)}
     assert plans == [few == 0] * 2  # only a merge into many buckets needs the second shuffle
+
+
+def test_nested_chunks_are_bounded_and_only_large_keys_are_counted(spark):
+    df = spark.createDataFrame([(k, v) for k, n in ((1, 3), (2, 900), (None, 5)) for v in range(n)], "k long, v long")
+    nested = nest_bounded(df, ["k"], "vs", ["v"], max_items=100, finish=lambda e: e["v"] + F.col("k")).collect()
+    assert sum(r.k == 1 for r in nested) == 1
+    assert max(len(r.vs) for r in nested) < 200
+    assert sorted((r.k, v) for r in nested for v in r.vs) == [(1, v + 1) for v in range(3)] + [(2, v + 2) for v in range(900)]
+
+
+def test_trip_update_snapshots_are_written_compressed(spark, tmp_dir):
+    li, od, _ = lines(spark)
+    li.write.parquet(f"{tmp_dir}/lineitem.parquet")
+    od.write.parquet(f"{tmp_dir}/orders.parquet")
+    feed = fq.trip_update_feed(spark, tmp_dir)
+    assert all(f.endswith(".json.gz") for f in feed.inputFiles())
+    stops = feed.select("header.timestamp", F.explode("entity").alias("e")).select(
+        "timestamp", "e.trip_update.trip.trip_id", F.explode("e.trip_update.stop_time_update").alias("s"))
+    day = int(DAY_2.replace(tzinfo=timezone.utc).timestamp())
+    mins = 8 * 60
+    for r in stops.collect():
+        n = r.s.stop_sequence
+        assert (r.timestamp, r.s.stop_id) == (day, str(10 * int(r.trip_id[1:]) + n))
+        assert (r.s.arrival is None) == (n % 2 == 0)  # returned lines don't arrive
+        assert r.s.arrival is None or tuple(r.s.arrival) == (mins, day + mins, n)
+        assert r.s.departure is None or tuple(r.s.departure) == (mins + 30, day + mins + 1800, n)
+        assert (r.s.departure is None) == (n % 2 == 0)
+    assert stops.count() == 80
