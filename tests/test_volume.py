@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from railyard.plans import feed_standins as fq
 from railyard.plans import transit_standins as tq
 from railyard.plans.standins import nest_bounded
+from railyard.schemas import ROUTES, STOPS, TRIPS
 from railyard.sources import versions
 from railyard.streaming import incremental
 
@@ -78,3 +79,13 @@ def test_trip_update_snapshots_are_written_compressed(spark, tmp_dir):
         assert r.s.departure is None or tuple(r.s.departure) == (mins + 30, day + mins + 1800, n)
         assert (r.s.departure is None) == (n % 2 == 0)
     assert stops.count() == 80
+
+
+def test_silver_joins_trips_before_the_names_of_routes_and_stops(spark):
+    li, od, ev = lines(spark)
+    i = dict(raw_tu=tq.raw_trip_updates_from_lines(li, od, ev), trips=spark.createDataFrame([], TRIPS),
+             routes=spark.createDataFrame([], ROUTES), stops=spark.createDataFrame([], STOPS))
+    plan = tq._silver_tu(i)._jdf.queryExecution().analyzed().toString()
+    joins = [next(k for k in ("trip_id", "route_id", "stop_id") if f"({k}#" in row)
+             for row in plan.splitlines() if "Join LeftOuter" in row]
+    assert joins == ["stop_id", "route_id", "trip_id"]  # the outermost first
