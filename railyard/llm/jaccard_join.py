@@ -73,20 +73,31 @@ def bands(join: Join, largest: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=None)
-def layout(join: Join, top: int) -> tuple[int, int, int, int, int] | None:
-    """(n1, n2, k2, spare, weak) for sets of at most ``top`` elements; None if only equal sets can link.
+def layout(join: Join, top: int) -> tuple[int, int, int, int] | None:
+    """(n1, n2, k2, spare) for sets of at most ``top`` elements; None if only equal sets can link.
 
-    ``spare`` partitions more than the pigeonhole needs let a set leave out signatures over fewer than ``weak``
-    elements, if no more than ``spare`` of its partitions have such: one of those left still is shared."""
+    ``spare`` partitions more than the pigeonhole needs let every set leave out its thinnest signatures (``_kept``)."""
     k = join.largest_difference(2 * top)
     if not k:
         return None
     if k <= 2:
-        return 1, k + 2, k, 0, 2
+        return 1, k + 2, k, 0
     k2, n2 = (1, 3) if k <= 24 else (0, 1)
     covered = top / (k + 1) * (k2 + 1) * (n2 - k2) / n2
-    spare = 1 + k // (12 if covered >= 8 else 8)
-    return k // (k2 + 1) + 1 + spare, n2, k2, spare, 3 if covered >= 8 else 2
+    spare = 1 + k // (12 if covered >= 8 else 6)
+    return k // (k2 + 1) + 1 + spare, n2, k2, spare
+
+
+def _kept(covered: np.ndarray, value: np.ndarray, spare: int) -> np.ndarray:
+    """Which signatures (set, partition, subset) a set emits: it leaves out the first ones, by number of elements, then
+    by value, as long as they lie in no more than ``spare`` partitions.
+
+    Two linked sets share signatures in ``spare`` + 1 partitions at least, in the same order. The last of them comes
+    after those of ``spare`` other partitions in either set, so both emit it. Signatures over no or one element, which
+    sets that have nothing to do with each other share, are the first to go."""
+    order = (covered.astype(np.uint64) << _U(32)) | (value >> _U(32))
+    first = np.partition(order.min(2), spare, axis=1)[:, spare]
+    return order >= first[:, None, None]
 
 
 def _cell_sums(cell: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -109,7 +120,7 @@ def signatures(join: Join, sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray
         which = np.flatnonzero((own <= band) & (band <= upper) & (sizes > 0))
         if plan is None or not len(which):
             continue
-        n1, n2, k2, spare, weak = plan
+        n1, n2, k2, spare = plan
         spans = [slice(at[w], at[w + 1]) for w in which]
         elements = np.concatenate([mixed[s] for s in spans])
         row = np.repeat(np.arange(len(which)), sizes[which])
@@ -120,11 +131,9 @@ def signatures(join: Join, sets: np.ndarray, at: np.ndarray) -> tuple[np.ndarray
         count = np.bincount(cell, minlength=len(which) * n1 * n2).reshape(shape)
         subsets = list(combinations(range(n2), n2 - k2))
         covered = np.stack([count[:, :, list(s)].sum(2) for s in subsets], 2)
-        thin = covered < weak
-        leave_out = thin.any(2).sum(1) <= spare
-        keep = ~(thin & leave_out[:, None, None])
         tag = mix(np.arange(n1 * len(subsets), dtype=np.uint64) + _U(band << 32)).reshape(n1, len(subsets))
         value = mix(np.stack([total[:, :, list(s)].sum(2, dtype=np.uint64) for s in subsets], 2) + tag)
+        keep = _kept(covered, value, spare)
         found.append(value[keep])
         owner.append(np.repeat(which, keep.sum((1, 2))))
     if not found:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from railyard.llm import jaccard_join
@@ -71,6 +72,32 @@ def test_edits_match_brute_force(docs_of, join):
     check(docs_of(texts), join)
 
 
+def signatures_of(join, sets):
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    found, owner = jaccard_join.signatures(join, np.concatenate(sets), at)
+    return [set(found[owner == i].tolist()) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("join", [Join(3, 90, 100), Join(5, 8, 10), Join(2, 7, 10)])
+def test_sets_at_the_threshold_share_a_signature(join):
+    rng = np.random.default_rng(join.num)
+    for n in (5, 9, 10, 20, 37, 60, 110, 240, 700, 1900):
+        for _ in range(12):
+            m = int(rng.integers(n, n * join.den // join.num + 1))
+            common = -(-join.num * (n + m) // (join.num + join.den))
+            if common > n or common == m:  # they can't link, or are equal
+                continue
+            all_ = rng.integers(0, 1 << 63, n + m - common).astype(np.uint64)
+            one, other = signatures_of(join, [np.sort(all_[:n]), np.sort(np.concatenate([all_[:common], all_[n:]]))])
+            assert one & other
+
+
+def test_sets_without_a_common_element_share_no_signature():
+    rng = np.random.default_rng(1)
+    found = signatures_of(Join(5, 8, 10), [np.sort(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in rng.integers(150, 1500, 300)])
+    assert sum(map(len, found)) == len(set().union(*found))
+
+
 def test_chain_of_near_copies_is_one_component(docs_of):
     base = [f"a{i}" for i in range(150)]
     texts = [" ".join([f"b{j}" for j in range(i)] + base[i:]) for i in range(0, 60)]
