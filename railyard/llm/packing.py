@@ -15,7 +15,9 @@ rows, repeated ids and null ids are packed row by row. Other columns take no par
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -48,9 +50,14 @@ class _Encoder:
     """Ids of whole texts as little-endian 32-bit bytes, remembered by blank-separated piece of text.
 
     The tokenizers this is used with split at blanks and line feeds before anything else, so a text's ids are those of
-    its pieces in order (``encodes_by_piece`` tells). The memory is bounded; beyond it pieces are encoded again."""
+    its pieces in order (``by_piece``). Most lower-case the text and split a full stop or comma from the word it ends,
+    so that a word is remembered once for all its spellings (``by_word``; nothing is lower-cased that would become a
+    special token), and split no word of a-z before the model does (``by_model``). Probes tell. The memory is bounded;
+    beyond it pieces are encoded again."""
 
     kept: dict[Tokens, _Encoder] = {}
+    PROBE = ["Ab c's, don't  x", "é\n1,2  ", " á b", "<|endoftext|> z", "The END. Of, it.\nSo.", "A.. b., 'c'. d.e É. x!."]
+    apart = staticmethod(partial(re.compile(r"(?<=[a-zA-Z])([.,])(?=[ \n]|$)").sub, r" \1"))
 
     def __init__(self, tokens: Tokens):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,9 +65,12 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_file(tokens.path)
         self.end = np.uint32(tokens.end_id).tobytes()
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {"": b""}
-        probe = ["Ab c's, don't  x", "é\n1,2  ", " á b", "<|endoftext|> z"]
-        self.by_piece = all(self._plain([t])[0] == b"".join(self._plain(t.replace("\n", " ").split(" "))) for t in probe)
+        self.by_piece = all(self._plain([t])[0] == b"".join(self._plain(t.replace("\n", " ").split(" "))) for t in self.PROBE)
+        self.by_word = self.by_piece and all(self._plain([t])[0] == b"".join(self._plain(self._pieces(t))) for t in self.PROBE)
+        words = ["a", "s", "the", "thent", "unbelievably", "x" * 99, "qzjvkwxq"]
+        self.by_model = all(np.array(self._of_model(w), np.uint32).tobytes() == self._plain([w])[0] for w in words)
 
     @classmethod
     def of(cls, tokens: Tokens) -> _Encoder:
@@ -71,30 +81,37 @@ class _Encoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _of_model(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _pieces(self, text: str) -> list[str]:
+        """Pieces of a text in lower case (A-Z only), a full stop or comma that ends a word apart."""
+        lower = text.encode().lower().decode()
+        if any(s in lower for s in self.special):
+            return text.replace("\n", " ").split(" ")
+        return self.apart(lower).replace("\n", " ").split(" ")
+
+    def _fresh(self, pieces: list[str]) -> dict[str, bytes]:
+        words = [p for p in pieces if p.isascii() and p.isalpha() and p.islower()] if self.by_model else []
+        out = {w: array("I", self._of_model(w)).tobytes() for w in words}
+        others = [p for p in pieces if p not in out]
+        return out | dict(zip(others, self._plain(others)))
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         if not self.by_piece:
             for text in texts:
                 yield self._plain([text])[0] + self.end
             return
+        known = self.known
         for text in texts:
-            pieces, known = text.replace("\n", " ").split(" "), self.known
-            missing = [p for p in set(pieces) if p not in known]
-            if missing:
-                fresh = dict(zip(missing, self._plain(missing)))
+            pieces = self._pieces(text) if self.by_word else text.replace("\n", " ").split(" ")
+            found = list(map(known.get, pieces))
+            if None in found:
+                fresh = self._fresh(list({p for p, ids in zip(pieces, found) if ids is None}))
                 if len(known) < CACHED_WORDS:
                     known.update(fresh)
-                else:
-                    known = _Both(fresh, known)
-            yield b"".join(map(known.__getitem__, pieces)) + self.end
-
-
-class _Both(dict):
-    def __init__(self, first: dict, second: dict):
-        super().__init__(first)
-        self.second = second
-
-    def __missing__(self, key):
-        return self.second[key]
+                found = [fresh[p] if ids is None else ids for p, ids in zip(pieces, found)]
+            yield b"".join(found) + self.end
 
 
 def _measure(tokens: Tokens, window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

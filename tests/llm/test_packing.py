@@ -52,6 +52,22 @@ def test_round_trip(docs_of, tokenizer, window):
     check(pieces, texts, tokenizer, window)
 
 
+def test_spellings_of_a_word_are_encoded_once():
+    encoder = P._Encoder(P.word_tokens())
+    texts = ["The thent. THE, the\nThent the.", "thent, The  thent."]
+    assert list(encoder.encode(texts)) == [ids + encoder.end for ids in encoder._plain(texts)]
+    assert sorted(encoder.known) == ["", ",", ".", "the", "thent"]
+
+
+@pytest.mark.parametrize("words", [800_000, 3])
+def test_ids_are_the_tokenizers(monkeypatch, words):
+    monkeypatch.setattr(P, "CACHED_WORDS", words)
+    encoder = P._Encoder(P.word_tokens())
+    texts = ["<|ENDOFTEXT|>. A, b", "A<|endoftext|>. The, end.", "\u212a \u0130 \u03a3. \u0391\u03a3, A\u0301. e\u0301, E\u030a", "a.\u0301 b. \u0301c",
+             "don't. 's. 'S, X. it'LL, we'Re.", "a.. b., c,. . , .", "A.\r\nB,\tC.\x0bD,\x1cE. ", "\x00A. \u00a0B,\u2028c.\u00a0", "x1. 1. A1, 2,b.", "Q" * 5000 + ". r", ""]
+    assert list(encoder.encode(texts + texts)) == 2 * [ids + encoder.end for ids in encoder._plain(texts)]
+
+
 def test_small_tables(docs_of, tokenizer):
     assert P.pack(docs_of(["x"]).limit(0), P.word_tokens()).collect() == []
     texts = [(None, None)]
