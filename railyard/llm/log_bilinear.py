@@ -50,8 +50,9 @@ BLOCK_TOKENS = 2_000_000
 UNIT_BLOCK = 1 << 19  # tokens of a block to train on
 DIM, BATCH, PASSES, RATE = 24, 1024, 1, 0.1
 CLASS_NOISE, UNIT_NOISE = 16, 2  # noise classes of a batch, noise units of an example
-CHUNK_BYTES = 2 << 20  # texts whose equal trigrams are scored once
-SCORED, SCORES = 1 << 17, 1 << 13  # tokens whose context vectors and whose scores are held at a time
+CHUNK_BYTES = 4 << 20  # texts whose equal trigrams are scored once
+SCORED, SCORES = 1 << 17, 1 << 10  # tokens whose context vectors and whose scores are held at a time
+SAFE = 80  # exponentials of so much and less, both ways, fit 32-bit floats
 SCALE = 1 << 20  # changes of parameters are summed as integers of this fraction
 END_HASH = np.uint64(0x5DEECE66D1234567)
 
@@ -76,8 +77,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(w, suffix, n) of blocks of tokens; Spark sums them."""
     def block(found: list) -> pa.RecordBatch:
         h, s = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-        w, first, n = np.unique(h, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(s[first]), pa.array(n)], ["w", "suffix", "n"])
+        words = pa.array(h.view(np.int64)).dictionary_encode()
+        of = words.indices.to_numpy()
+        suffix = np.empty(len(words.dictionary), np.int64)
+        suffix[of] = s  # equal hashes have equal suffixes
+        return pa.RecordBatch.from_arrays([words.dictionary, pa.array(suffix), pa.array(np.bincount(of))], ["w", "suffix", "n"])
 
     found, size = [], 0
     for batch in batches:
@@ -118,10 +122,14 @@ class Vocabulary:
         """(known, count, unit, shares its unit) of tokens."""
         known, count, own = np.zeros(len(hashes), bool), np.zeros(len(hashes), np.int64), np.full(len(hashes), -1)
         if len(self.hashes):
-            x = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-            known = self.hashes[x] == hashes
-            count = np.where(known, self.counts[x], 0)
-            own = np.where(known, self.units[x], -1)
+            # each different token is searched for once
+            words = pa.array(hashes).dictionary_encode()
+            distinct, of = words.dictionary.to_numpy(), words.indices.to_numpy()
+            x = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
+            found = self.hashes[x] == distinct
+            known = found[of]
+            count = np.where(found, self.counts[x], 0)[of]
+            own = np.where(found, self.units[x], -1)[of]
         own = np.where(suffix > 0, own, self.suffix_units[0])
         return known, count, np.where(own >= 0, own, self.suffix_units[suffix]), own < 0
 
@@ -217,35 +225,80 @@ class LogBilinear:
             new = np.diff(t * (m + 1) + o, prepend=-1) != 0
             run, first = np.cumsum(new) - 1, np.flatnonzero(new)
             q = self.context(t[first], o[first])
-            of, part = word // self.size, np.empty(len(word))
-            log_sums = _log_sums(q, targets[:self.classes])
-            part = np.einsum("nd,nd->n", q[run], targets[of]).astype(np.float64) - log_sums[run]
-            order = np.argsort(of, kind="stable")
-            ends = np.cumsum(np.bincount(of, minlength=self.classes))
-            for c in np.unique(of):
-                rows = order[ends[c - 1] if c else 0:ends[c]]
+            of = word // self.size
+            # neighbours of equal context and class have both normalisations in common
+            new |= np.diff(of, prepend=-1) != 0
+            pair, first = np.cumsum(new) - 1, np.flatnonzero(new)
+            of, pair_run = of[first], run[first]
+            part = _products(q, pair_run, targets, of) - _log_sums(q, targets[:self.classes])[pair_run]
+            order, at = sorted_places(of)
+            starts = run_starts(at)
+            for start, end in zip(starts, np.append(starts[1:], len(at))):
+                pairs, c = order[start:end], at[start]
                 own = targets[self.classes + c * self.size:self.classes + min((c + 1) * self.size, m)]
-                mine = q[run[rows]]
-                part[rows] += np.einsum("nd,nd->n", mine, own[word[rows] - c * self.size]) - _log_sums(mine, own)
-            out[some] = part / math.log(10)
+                part[pairs] -= _log_sums(q.take(pair_run[pairs], 0), own)
+            out[some] = (part[pair] + _products(q, run, targets, self.classes + word)) / math.log(10)
         return out
 
 
 def _log_sums(q: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Logs of the sums of the exponentials of the products with all targets."""
     out = np.empty(len(q))
+    # no product is larger than the product of the norms: mostly too small for an exponential to overflow
+    safe = len(q) and np.einsum("nd,nd->n", q, q).max() * np.einsum("nd,nd->n", targets, targets).max() < SAFE ** 2
+    held, ones = np.empty((min(len(q), SCORES), len(targets)), np.float32), np.ones(len(targets), np.float32)
     for a in range(0, len(q), SCORES):
-        scores = q[a:a + SCORES] @ targets.T
-        most = scores.max(1, keepdims=True)
-        scores -= most
-        out[a:a + SCORES] = np.log(np.exp(scores, out=scores).sum(1)) + most[:, 0]
+        some = q[a:a + SCORES]
+        scores = np.matmul(some, targets.T, out=held[:len(some)])
+        most = 0 if safe else scores.max(1)
+        if not safe:
+            scores -= most[:, None]
+        out[a:a + SCORES] = np.log(np.exp(scores, out=scores) @ ones) + most
+    return out
+
+
+def _products(q: np.ndarray, of: np.ndarray, targets: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The products of contexts ``of`` with targets ``at``."""
+    out = np.empty(len(of))
+    for a in range(0, len(of), SCORES):
+        out[a:a + SCORES] = np.einsum("nd,nd->n", q.take(of[a:a + SCORES], 0), targets.take(at[a:a + SCORES], 0))
+    return out
+
+
+def sorted_places(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of whole numbers from 0, and the numbers in it. Numbers of 16 bits have a fast stable sort; larger
+    ones are sorted with their place as one number, several times as fast as an argsort, if both fit."""
+    bits, most = len(keys).bit_length(), int(keys.max(initial=0))
+    if most < 1 << 16 or most >> (63 - bits):
+        order = np.argsort(keys.astype(np.uint16) if most < 1 << 16 else keys, kind="stable")
+        return order, keys.take(order)
+    both = np.sort(keys.astype(np.int64) << bits | np.arange(len(keys)))
+    return both & ((1 << bits) - 1), both >> bits
+
+
+def run_starts(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin."""
+    return np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+
+
+def sums_of_runs(rows: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of the rows that runs of ``order`` name, which begin at ``first``; runs of one row, the most, are copied."""
+    out, length = rows.take(order.take(first), 0), np.diff(first, append=len(order))
+    many = np.flatnonzero(length > 1)
+    if len(many):
+        out[many] = np.add.reduceat(rows.take(order[np.repeat(length > 1, length)], 0), np.cumsum(length[many]) - length[many])
     return out
 
 
 def distinct_trigrams(units: np.ndarray, one: np.ndarray, two: np.ndarray, n_units: int) -> tuple[np.ndarray, ...]:
     """(two, one, unit) of different trigrams, the number of each and where every token's is among them."""
-    code, inverse, times = np.unique((two * (n_units + 1) + one) * n_units + units, return_inverse=True, return_counts=True)
-    return code // n_units // (n_units + 1), code // n_units % (n_units + 1), code % n_units, times, inverse
+    order, code = sorted_places((two * (n_units + 1) + one) * n_units + units)
+    first = run_starts(code)
+    times = np.diff(first, append=len(code))
+    inverse = np.empty(len(code), np.int64)
+    inverse[order] = np.repeat(np.arange(len(first)), times)
+    before, unit = np.divmod(code[first], n_units)
+    return *np.divmod(before, n_units + 1), unit, times, inverse
 
 
 def train(model: LogBilinear, blocks: Iterator[np.ndarray], seed: int = 0) -> tuple[LogBilinear, np.ndarray]:
@@ -259,54 +312,67 @@ def train(model: LogBilinear, blocks: Iterator[np.ndarray], seed: int = 0) -> tu
     class_ends = np.cumsum(np.add.reduceat(model.counts, np.arange(0, m, size)))
     sizes = np.minimum(np.arange(1, classes + 1) * size, m) - np.arange(classes) * size
     log_unit = np.log(UNIT_NOISE / sizes).astype(np.float32)
-    one_matrix, two_matrix = rows[-2 * DIM:-DIM, :DIM], rows[-DIM:, :DIM]
+    matrices = np.zeros((2, DIM + 1, DIM + 1), np.float32)  # a row for the bias column of the vectors, which is 0, as theirs
     always = np.concatenate([np.arange(base, of_units), np.arange(len(rows) - 2 * DIM, len(rows))])
     result = replace(model, rows=rows, seen=seen)
 
     def step(at: np.ndarray, grads: np.ndarray) -> None:
-        seen[at] += np.einsum("nd,nd->n", grads, grads) / (DIM + 1)
-        rows[at] += grads * (RATE / np.sqrt(seen[at])).astype(np.float32)[:, None]
+        squares = seen[at] + np.einsum("nd,nd->n", grads, grads) / (DIM + 1)
+        seen[at] = squares
+        grads *= (RATE / np.sqrt(squares)).astype(np.float32)[:, None]
+        grads += rows.take(at, 0)
+        rows[at] = grads
         touched[at] += 1
 
     for block in blocks:
         here = np.flatnonzero(block != m)
         two, one, unit, times, _ = distinct_trigrams(block[here], block[here - 1], block[here - 2], m)
+        before, times = np.column_stack([one, two]), times.astype(np.float32)
         order = rng.permutation(len(unit))
         for a in range(0, len(order), BATCH):
             x = order[a:a + BATCH]
-            x = x[np.argsort(unit[x])]
-            n, t, o, w, weight = len(x), two[x], one[x], unit[x], times[x].astype(np.float32)[:, None]
-            v1, v2 = rows[o, :DIM], rows[t, :DIM]
-            q = np.ones((n, DIM + 1), np.float32)
-            q[:, :DIM] = v1 @ one_matrix + v2 @ two_matrix
+            by_unit, w = sorted_places(unit.take(x))
+            x = x.take(by_unit)
+            n, at, weight = len(x), before.take(x, 0), times.take(x)
+            matrices[:, :DIM] = rows[-2 * DIM:].reshape(2, DIM, DIM + 1)
+            both = rows.take(at, 0).reshape(n, -1)
+            q = both @ matrices.reshape(-1, DIM + 1)
+            q[:, DIM] = 1
             of = w // size
             # classes: towards the data, away from the noise that the batch shares
             noise = np.bincount(np.minimum(np.searchsorted(class_ends, rng.random(CLASS_NOISE) * class_ends[-1], "right"), classes - 1), minlength=classes)
             some = np.flatnonzero(noise)
             targets = rows[base:of_units]
-            g_noise = -_sigmoid(q @ targets[some].T - log_class[some]) * noise[some].astype(np.float32) * weight
-            own = targets[of]
-            g_own = (1 - _sigmoid(np.einsum("nd,nd->n", q, own) - log_class[of]))[:, None] * weight
-            # units: the same within the class
-            words = np.column_stack([w, of[:, None] * size + (rng.random((n, UNIT_NOISE)) * sizes[of][:, None]).astype(np.int64)])
-            r = rows[of_units + words]
-            g = -_sigmoid(np.einsum("nkd,nd->nk", r, q) - log_unit[of][:, None])
-            g[:, 0] += 1
+            noise_rows = targets[some]
+            g_noise = -_sigmoid(q @ noise_rows.T - log_class[some]) * noise[some].astype(np.float32) * weight[:, None]
+            own = targets.take(of, 0)
+            g_own = ((1 - _sigmoid(np.einsum("nd,nd->n", q, own) - log_class[of])) * weight)[:, None]
+            # units: the same within the class; first the token's own, then the noise
+            words = np.empty((1 + UNIT_NOISE, n), np.int64)
+            words[0] = w
+            words[1:] = of * size + (rng.random((n, UNIT_NOISE)) * sizes[of][:, None]).astype(np.int64).T
+            words += of_units
+            r = rows.take(words, 0)
+            g = -_sigmoid(np.einsum("knd,nd->kn", r, q) - log_unit[of])
+            g[0] += 1
             g *= weight
-            gq = (g_noise @ targets[some] + g_own * own + sum(g[:, [k]] * r[:, k] for k in range(1 + UNIT_NOISE)))[:, :DIM]
+            r *= g[:, :, None]
+            own *= g_own
+            gq = g_noise @ noise_rows + own
+            for of_row in r:
+                gq += of_row
             dense = np.zeros((len(always), DIM + 1), np.float32)
             dense[some] = g_noise.T @ q
-            first = np.flatnonzero(np.diff(of, prepend=-1))
+            first = run_starts(of)
             dense[of[first]] += np.add.reduceat(g_own * q, first)
-            dense[classes:classes + DIM, :DIM], dense[classes + DIM:, :DIM] = v1.T @ gq, v2.T @ gq
-            grads = np.zeros((n * (3 + UNIT_NOISE), DIM + 1), np.float32)
-            grads[:n, :DIM], grads[n:2 * n, :DIM] = gq @ one_matrix.T, gq @ two_matrix.T
-            grads[2 * n:] = (g[:, :, None] * q[:, None, :]).reshape(-1, DIM + 1)
-            at = np.concatenate([o, t, of_units + words.ravel()]).astype(np.int32)
-            by_row = np.argsort(at)
-            at = at[by_row]
-            first = np.flatnonzero(np.diff(at, prepend=-1))
-            step(at[first], np.add.reduceat(grads[by_row], first))
+            gq[:, DIM] = 0
+            dense[classes:] = (both.T @ gq).reshape(matrices.shape)[:, :DIM].reshape(2 * DIM, DIM + 1)
+            grads = np.empty((n * (3 + UNIT_NOISE), DIM + 1), np.float32)
+            np.matmul(gq, matrices.reshape(-1, DIM + 1).T, out=grads[:2 * n].reshape(n, -1))
+            np.multiply(g[:, :, None], q, out=grads[2 * n:].reshape(r.shape))
+            by_row, at = sorted_places(np.concatenate([at.ravel(), words.ravel()]))
+            first = run_starts(at)
+            step(at[first], sums_of_runs(grads, by_row, first))
             step(always, dense)
     return result, touched
 

@@ -170,3 +170,38 @@ def test_known_words_change_no_score(docs_of, monkeypatch):
     for r in B.scores(docs, F.lit(True)).collect():
         assert (r.score, r.base_score) == pytest.approx((want[r.doc_id].score, want[r.doc_id].base_score), rel=1e-9)
         assert r.n_known == want[r.doc_id].n_known
+
+
+def test_one_normalisation_a_context_and_class(monkeypatch):
+    """Trigrams of equal context whose units are of one class share the normalisation within it, too."""
+    model = B.LogBilinear.new(np.arange(100, 0, -1))  # classes of ten units
+    rng = np.random.RandomState(1)
+    two, one, unit, times, inverse = B.distinct_trigrams(*(rng.randint(0, n, 5000) for n in (100, 3, 3)), 100)
+    want, log_sums, normalised = model.log10(two[:1], one[:1], unit[:1]), B._log_sums, []
+    monkeypatch.setattr(B, "_log_sums", lambda q, targets: normalised.append(len(q)) or log_sums(q, targets))
+    got = model.log10(two, one, unit)
+    contexts, pairs = set(zip(two, one)), set(zip(two, one, unit // model.size))
+    assert sum(normalised) == len(contexts) + len(pairs) < len(unit)
+    assert got[0] == pytest.approx(want[0]) and len(inverse) == times.sum() == 5000
+    x = rng.permutation(len(unit))  # whatever the order
+    assert model.log10(two[x], one[x], unit[x]) == pytest.approx(got[x], abs=1e-5)
+
+
+def test_log_sums_of_large_products():
+    q, targets = np.array([[300.0, 1], [0, 1], [-300, 1]], np.float32), np.array([[1, 0], [-1, 2]], np.float32)
+    assert B._log_sums(q, targets) == pytest.approx([300, math.log(1 + math.e ** 2), 302])
+    assert len(B._log_sums(q[:0], targets)) == 0
+
+
+@pytest.mark.parametrize("most", [1, 50, 70_000, 2 ** 62])
+def test_sorted_places_and_sums(most):
+    rng = np.random.RandomState(2)
+    keys = rng.randint(0, most, 3000)
+    keys[::7] = keys[3]
+    order, at = B.sorted_places(keys)
+    assert (order == np.argsort(keys, kind="stable")).all() and (at == keys[order]).all()
+    rows, first = rng.randn(3000, 3).astype(np.float32), B.run_starts(at)
+    want = np.zeros((len(first), 3))
+    np.add.at(want, np.unique(keys, return_inverse=True)[1], rows)
+    assert B.sums_of_runs(rows, order, first) == pytest.approx(want, abs=1e-3)
+    assert [len(x) for x in B.sorted_places(keys[:0])] == [0, 0] and len(B.run_starts(keys[:0])) == 0
