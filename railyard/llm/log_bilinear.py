@@ -66,9 +66,8 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     out, suffix = np.full(len(hashes) + n, END_HASH), np.zeros(len(hashes) + n, np.int64)
     out[place] = hashes
     if len(hashes):
-        b = lower_case(data).astype(np.uint64)
-        before = np.where(ends - starts > 1, b[np.maximum(ends - 2, 0)], 0)
-        key = b[ends - 1] | before << _U(8) | b[starts] << _U(16)
+        first, before, last = (lower_case(data[at]).astype(np.uint64) for at in (starts, np.maximum(ends - 2, 0), ends - 1))
+        key = last | np.where(ends - starts > 1, before, 0) << _U(8) | first << _U(16)
         suffix[place] = (mix(key) % _U(SUFFIXES)).astype(np.int64) + 1
     return out, suffix, at_all
 
