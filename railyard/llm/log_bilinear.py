@@ -421,13 +421,22 @@ def _score(vocabulary: Vocabulary, model: LogBilinear, batches: Iterator[pa.Reco
             row = np.repeat(np.arange(n), np.diff(at))
             log_count = np.log10(count + 1.0)
             terms = model.log10(*trigrams)[inverse] + np.where(shared, log_count - vocabulary.share[suffix], 0.0)
-            rare = np.bincount(row[~known], minlength=n)
+            rare, times, rare_at = distinct_words(hashes[~known], row[~known], n)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(first, n), batch.column(2).slice(first, n), pa.array(np.diff(at)),
                 pa.array(np.bincount(row[known], count[known] > 0, n).astype(np.int64)),
                 pa.array(np.bincount(row, log_count, n)), pa.array(np.bincount(row, terms, n)),
-                list_column(hashes[~known], np.concatenate(([0], np.cumsum(rare))))],
-                ["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare"])
+                list_column(rare, rare_at), list_column(times, rare_at)],
+                ["doc_id", "held_out", "n_tokens", "n_known", "base", "model", "rare", "times"])
+
+
+def distinct_words(hashes: np.ndarray, row: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different words of each of ``n`` texts, how often each occurs, and the texts' offsets among them."""
+    words = pa.array(hashes).dictionary_encode()
+    order, pair = sorted_places(row * max(len(words.dictionary), 1) + words.indices.to_numpy())
+    first = run_starts(pair)
+    at = order[first]
+    return hashes[at], np.diff(first, append=len(pair)), np.searchsorted(row[at], np.arange(n + 1))
 
 
 def _least_count(counts: DataFrame) -> int:
@@ -488,13 +497,13 @@ def scores(docs: DataFrame, learning, id_col: str = "doc_id", text_col: str = "t
     vocabulary, model, counts = learn(rows.where(~F.col("held_out")).select("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.select("doc_id", "text", "held_out").mapInArrow(
-        partial(_score, vocabulary, model), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<long>")
+        partial(_score, vocabulary, model), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, model double, rare array<long>, times array<long>")
     scored = stored(scored.withColumn("row_id", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("row_id", F.explode("rare").alias("w")).groupBy("row_id", "w").agg(F.count(F.lit(1)).alias("times"))
+    rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "times")).alias("r")).select("row_id", F.col("r.rare").alias("w"), "r.times")
     rare = rare.join(counts.select("w", "n"), "w").groupBy("row_id").agg(
         F.sum("times").alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more"))
     more, log_total = F.coalesce("more", F.lit(0.0)), math.log10(vocabulary.n + vocabulary.v + 1)
-    return scored.drop("rare").join(rare, "row_id", "left").select(
+    return scored.drop("rare", "times").join(rare, "row_id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0).cast("long"))).alias("n_known"),
         F.lit(vocabulary.n).cast("long").alias("train_tokens"), (F.col("base") + more - F.col("n_tokens") * log_total).alias("base_score"),
         (F.col("model") + more).alias("score"))

@@ -205,3 +205,12 @@ def test_sorted_places_and_sums(most):
     np.add.at(want, np.unique(keys, return_inverse=True)[1], rows)
     assert B.sums_of_runs(rows, order, first) == pytest.approx(want, abs=1e-3)
     assert [len(x) for x in B.sorted_places(keys[:0])] == [0, 0] and len(B.run_starts(keys[:0])) == 0
+
+
+def test_distinct_words_of_texts():
+    """A word that isn't known is joined once a text, however often the text has it."""
+    hashes, row = np.array([7, 7, 3, 7, 9, 3, 3], np.uint64), np.array([0, 0, 0, 2, 2, 4, 4])
+    words, times, at = B.distinct_words(hashes, row, 6)
+    got = [sorted(zip(words[a:b].tolist(), times[a:b].tolist())) for a, b in zip(at, at[1:])]
+    assert got == [[(3, 1), (7, 2)], [], [(7, 1), (9, 1)], [], [(3, 2)], []]
+    assert B.distinct_words(hashes[:0], row[:0], 2)[2].tolist() == [0, 0, 0]
