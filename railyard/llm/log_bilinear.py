@@ -14,7 +14,7 @@ frequencies, which a batch shares, units against even noise within their class,
 counts and training cover every learning token. Texts are written as blocks of units and read ``PASSES`` times, in more
 rounds the more blocks there are. In a round, tasks take Adagrad steps over their
 blocks from the same parameters; Spark sums their changes, each parameter row's weighted by the steps that touched it,
-as integers, and the driver applies the means. Scores depend a little on how rows lie in partitions, as the steps do.
+as integers (of two parts where one could overflow), and the driver applies the means. Scores depend a little on how rows lie in partitions, as the steps do.
 
 On the driver are the parameters (25 floats for each of at most about 2 * ``OWN_MOST`` rows), once more their summed
 changes, and the counts of the ``KNOWN`` most frequent words (a little fewer: no count is split; the end and the ``TOP``
@@ -54,6 +54,8 @@ CHUNK_BYTES = 4 << 20  # texts whose equal trigrams are scored once
 SCORED, SCORES = 1 << 17, 1 << 10  # tokens whose context vectors and whose scores are held at a time
 SAFE = 80  # exponentials of so much and less, both ways, fit 32-bit floats
 SCALE = 1 << 20  # changes of parameters are summed as integers of this fraction
+HIGH = 1 << 40  # those of the squares in two parts, as they grow with the square of a task's steps: beyond so much, and below
+FILE_BLOCKS = 64  # blocks in a file at most: its reader holds all of them
 END_HASH = np.uint64(0x5DEECE66D1234567)
 
 
@@ -381,17 +383,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _changes(model: LogBilinear, seed: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, times, c0, c1, ...): a task's changes of parameter rows and squares, times the steps that touched each."""
+    """(row, times, c0, c1, ..., high): a task's changes of parameter rows and squares, times the steps that touched each."""
     blocks = (row.values.to_numpy(zero_copy_only=False).astype(np.int64) for batch in batches for row in batch.column(0))
     new, touched = train(model, blocks, seed * 1_000_003 + TaskContext.get().partitionId())
     at = np.flatnonzero(touched)
     change = np.column_stack([new.rows[at].astype(np.float64) - model.rows[at], new.seen[at] - model.seen[at]])
-    whole = np.rint(change * (touched[at, None] * float(SCALE))).astype(np.int64)
-    columns = [pa.array(at.astype(np.int32)), pa.array(touched[at]), *map(pa.array, whole.T.copy())]
+    whole = np.rint(change * (touched[at, None] * float(SCALE)))
+    high = np.floor(whole[:, -1] / HIGH)
+    whole[:, -1] -= high * HIGH
+    columns = [pa.array(at.astype(np.int32)), pa.array(touched[at]), *map(pa.array, np.column_stack([whole, high]).astype(np.int64).T.copy())]
     yield pa.RecordBatch.from_arrays(columns, _CHANGE)
 
 
-_CHANGE = ["row", "times", *(f"c{i}" for i in range(DIM + 2))]
+_CHANGE = ["row", "times", *(f"c{i}" for i in range(DIM + 2)), "high"]
 
 
 def trained(model: LogBilinear, blocks: DataFrame, shares: int) -> LogBilinear:
@@ -401,7 +405,9 @@ def trained(model: LogBilinear, blocks: DataFrame, shares: int) -> LogBilinear:
         changes = blocks.where(F.col("share") == k % shares).select("units").mapInArrow(partial(_changes, model, k), kinds)
         sums = changes.groupBy("row").agg(*[F.sum(c).alias(c) for c in _CHANGE[1:]]).toArrow()
         at = sums["row"].to_numpy()
-        mean = np.column_stack([sums[c].to_numpy() for c in _CHANGE[2:]]) / SCALE / sums["times"].to_numpy()[:, None]
+        total = np.column_stack([sums[c].to_numpy() for c in _CHANGE[2:-1]]).astype(np.float64)
+        total[:, -1] += sums["high"].to_numpy() * float(HIGH)
+        mean = total / SCALE / sums["times"].to_numpy()[:, None]
         model = replace(model, rows=model.rows.copy(), seen=model.seen.copy())
         model.rows[at] += mean[:, :-1].astype(np.float32)
         model.seen[at] += mean[:, -1]
@@ -482,7 +488,7 @@ def learn(texts: DataFrame) -> tuple[Vocabulary, LogBilinear, DataFrame]:
     shares = (vocabulary.n // UNIT_BLOCK + 1).bit_length()
     path = scratch_path(texts.sparkSession, "unit-blocks")
     texts.mapInArrow(partial(_blocks, vocabulary, shares), "share int, units array<int>").write.partitionBy("share").option(
-        "compression", "zstd").parquet(path)
+        "compression", "zstd").option("maxRecordsPerFile", FILE_BLOCKS).parquet(path)
     blocks = texts.sparkSession.read.schema("units array<int>, share int").parquet(path)
     model = trained(LogBilinear.new(vocabulary.unit_counts), blocks, shares)
     files.delete(texts.sparkSession, path)

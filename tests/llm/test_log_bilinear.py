@@ -214,3 +214,18 @@ def test_distinct_words_of_texts():
     got = [sorted(zip(words[a:b].tolist(), times[a:b].tolist())) for a, b in zip(at, at[1:])]
     assert got == [[(3, 1), (7, 2)], [], [(7, 1), (9, 1)], [], [(3, 2)], []]
     assert B.distinct_words(hashes[:0], row[:0], 2)[2].tolist() == [0, 0, 0]
+
+
+def test_squares_of_long_tasks_dont_overflow(spark):
+    # frequent trigrams and many steps in a task: the summed squares, times the steps, are beyond 64 bits
+    model, m, steps = B.LogBilinear.new(np.full(4, 10.0)), 4, 300
+    block = np.concatenate([[m, m], np.arange(1 << 18) % m])
+    rows = spark.createDataFrame([(block.tolist(),)], "units array<int>").crossJoin(spark.range(steps)).select(F.lit(0).alias("share"), "units")
+    alone, at = B.train(model, iter([block] * steps), 0)
+    squares = alone.seen - model.seen
+    assert (squares * at * B.SCALE).max() > 2.0 ** 63
+    got = B.trained(model, rows.coalesce(1), 1)
+    np.testing.assert_allclose(got.seen[at > 0], alone.seen[at > 0], rtol=1e-6)
+    np.testing.assert_allclose(got.rows, alone.rows, atol=1e-5)
+    two = B.trained(model, rows.repartition(2), 1).seen  # the sum over tasks was an error
+    assert np.isfinite(two).all() and two.max() > 0.3 * alone.seen.max()
