@@ -33,10 +33,13 @@ from pyspark.sql.types import StructType
 
 from railyard.functions.scalars import now_epoch
 from railyard.operators.enrich import ref_routes, ref_stops, ref_trips
+from railyard.operators.latest import POSITION_KEYS, TRIP_UPDATE_KEYS
+from railyard.operators.slices import in_slices
 from railyard.operators.timeops import FEED_DATE, fresh
 from railyard.plans.gold import gold_current_vehicle_positions
 from railyard.plans.refresh import RefreshConfig, check_keys
 from railyard.plans.silver import silver_trip_updates, silver_vehicle_positions
+from railyard.session import freed_shuffles
 from railyard.sources import versions
 from railyard.sources.raw import read_raw
 from railyard.sources.reference import Delivery, current_delivery, load_reference_set, read_reference_set
@@ -107,7 +110,7 @@ def _days_of_keys(spark: SparkSession, root: str, base: Version, target: str, ol
     return days.distinct()
 
 
-def _rebuild(spark: SparkSession, cfg: RefreshConfig, name: str, raw_name: str, silver: Callable, as_of: int,
+def _rebuild(spark: SparkSession, cfg: RefreshConfig, name: str, raw_name: str, silver: Callable, keys: tuple[str, ...], as_of: int,
              delivery: Delivery, ref: dict[str, DataFrame]) -> tuple[Version, list[int | None]]:
     root, target = f"{cfg.out.rstrip('/')}/{name}", f"{cfg.out.rstrip('/')}/reference"
     path = raw_name if "/" in raw_name or ":" in raw_name else table_location(spark, raw_name)
@@ -135,9 +138,10 @@ def _rebuild(spark: SparkSession, cfg: RefreshConfig, name: str, raw_name: str,
     if known and not touched:
         empty = spark.createDataFrame([], versions.MANIFEST)
         return versions.publish(spark, root, base, None, empty, base.schema, "feed_timestamp", note=note, horizon=horizon), []
-    raw = read_raw(spark, raw_name)
-    out = silver(_of_days(raw, touched), ref["routes"], ref["stops"], ref["trips"], cfg.window_seconds, as_of)
-    batch = versions.write_batch(out.withColumn(PART, _day()), root, name)
+    raw = _of_days(read_raw(spark, raw_name), touched)
+    parts = [silver(some, ref["routes"], ref["stops"], ref["trips"], cfg.window_seconds, as_of) for some in in_slices(raw, keys)]
+    out = parts[0]
+    batch = versions.write_batch([part.withColumn(PART, _day()) for part in parts], root, name)
     fresh_rows = versions.entries(spark, root, batch, out.schema, "feed_timestamp")
     gone = versions.buckets_where(spark, root, touched) if known else versions.manifest_of(spark, root, base)
     schema = StructType.fromJson(out.schema.jsonValue())
@@ -161,6 +165,11 @@ def _of_days(raw: DataFrame, days: list[int | None]) -> DataFrame:
 def refresh_changed(spark: SparkSession, cfg: RefreshConfig) -> Refreshed:
     """Equal to ``refresh`` in what it publishes. The raw tables must be folders of Parquet files, or catalog tables
     over such; ``cfg.as_of`` must be a number or None (wall clock)."""
+    with freed_shuffles(spark):
+        return _refresh_changed(spark, cfg)
+
+
+def _refresh_changed(spark: SparkSession, cfg: RefreshConfig) -> Refreshed:
     as_of = cfg.as_of if cfg.as_of is not None else spark.range(1).select(now_epoch().cast("long")).first()[0]
     out, target = cfg.out.rstrip("/"), f"{cfg.out.rstrip('/')}/reference"
     load_reference_set(spark, cfg.landing, target, max_unparsed=cfg.max_unparsed)
@@ -170,9 +179,10 @@ def refresh_changed(spark: SparkSession, cfg: RefreshConfig) -> Refreshed:
         check_keys(ref)
     done = Refreshed(dict(ref))
     now: dict[str, Version] = {}
-    for name, raw, silver in (("slv_vehicle_positions", cfg.raw_positions, silver_vehicle_positions),
-                              ("slv_trip_updates", cfg.raw_trip_updates, silver_trip_updates)):
-        now[name], done.rebuilt[name] = _rebuild(spark, cfg, name, raw, silver, as_of, delivery, ref)
+    for name, raw, silver, keys in (
+            ("slv_vehicle_positions", cfg.raw_positions, silver_vehicle_positions, POSITION_KEYS),
+            ("slv_trip_updates", cfg.raw_trip_updates, silver_trip_updates, TRIP_UPDATE_KEYS)):
+        now[name], done.rebuilt[name] = _rebuild(spark, cfg, name, raw, silver, keys, as_of, delivery, ref)
         done.tables[name] = versions.read_table(spark, f"{out}/{name}", now[name])
     gold, root = "gld_current_vehicle_positions", f"{out}/gld_current_vehicle_positions"
     vp, tu = done.tables["slv_vehicle_positions"], done.tables["slv_trip_updates"]
